@@ -1,0 +1,5 @@
+"""Incremental (available-now) runs of the daily fact builders."""
+
+from daybook.streaming.incremental import append_daily_fx, append_daily_prices
+
+__all__ = ["append_daily_fx", "append_daily_prices"]
