@@ -109,6 +109,9 @@ FACT_ENTRY = StructType([
 COMPANY_FACTS = StructType([
     StructField("cik", LongType(), True),
     StructField("entityName", StringType(), True),
+    # Position of this document's first entry when a company's entries are
+    # split over several documents (absent in single-document sources → 0).
+    StructField("offset", LongType(), True),
     StructField(
         "facts",
         MapType(

@@ -69,20 +69,25 @@ def flatten_company_facts(docs: DataFrame) -> DataFrame:
     """Company-facts documents → one row per share-count entry.
 
     Output: ``cik`` (10-digit text), ``concept``, ``pos`` (index within the
-    concept's entry list, i.e. document order), ``form, end, filed, val``.
+    concept's entry list, i.e. document order, plus the document's
+    ``offset`` when one company's entries span several documents),
+    ``form, end, filed, val``.
     A missing taxonomy, concept or unit yields no rows.
     """
+    offset = F.coalesce(F.col("offset"), F.lit(0)) if "offset" in docs.columns else F.lit(0)
     concepts = docs.select(
         F.col("cik"),
+        offset.cast("long").alias("offset"),
         F.explode(F.col("facts")[FACTS_TAXONOMY]).alias("concept", "body"),
     )
     entries = concepts.select(
-        "cik", "concept", F.posexplode(F.col("body.units")[SHARES_UNIT]).alias("pos", "e")
+        "cik", "offset", "concept",
+        F.posexplode(F.col("body.units")[SHARES_UNIT]).alias("pos", "e"),
     )
     return entries.select(
         zero_pad_cik(F.col("cik")).alias("cik"),
         "concept",
-        F.col("pos").cast("long").alias("pos"),
+        (F.col("offset") + F.col("pos")).alias("pos"),
         F.col("e.form").alias("form"),
         F.col("e.end").alias("end"),
         F.col("e.filed").alias("filed"),

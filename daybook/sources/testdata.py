@@ -83,7 +83,15 @@ def _form(priority):
 
 
 def filing_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Flat company facts ``cik, concept, pos, form, end, filed, val``."""
+    """Flat company facts ``cik, concept, pos, form, end, filed, val``.
+
+    ``pos`` (document order) only has to increase along the total order
+    within a (CIK, concept); a global sort on (CIK, concept, order columns)
+    followed by ``monotonically_increasing_id`` gives that.  The sort
+    range-partitions on all those columns, so one company with a huge
+    history is still spread over many tasks (a window partitioned by
+    (CIK, concept) would put it in one).
+    """
     li = table(spark, sf_dir, "lineitem")
     orders = table(spark, sf_dir, "orders")
     rows = li.join(orders, li["l_orderkey"] == orders["o_orderkey"]).select(
@@ -95,13 +103,14 @@ def filing_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("l_quantity") * F.lit(1e6)).cast("string").alias("val"),
         "o_orderdate", "l_shipdate", "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice",
     )
-    doc_order = Window.partitionBy("cik", "concept").orderBy(
-        "o_orderdate", "l_shipdate", "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice"
+    ordered = rows.orderBy(
+        "cik", "concept",
+        "o_orderdate", "l_shipdate", "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice",
     )
-    return rows.select(
+    return ordered.select(
         "cik",
         "concept",
-        (F.row_number().over(doc_order) - 1).cast("long").alias("pos"),
+        F.monotonically_increasing_id().alias("pos"),
         "form",
         "end",
         "filed",
@@ -109,35 +118,33 @@ def filing_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def facts_documents(flat: DataFrame) -> DataFrame:
-    """Regroup flat facts into one company-facts document per CIK (one JSON column).
+# Most entries one written company-facts document may hold.
+DOC_CHUNK = 1000
+
+
+def facts_documents(flat: DataFrame, chunk: int = DOC_CHUNK) -> DataFrame:
+    """Regroup flat facts into company-facts JSON documents (one text column).
 
-    Shape: ``{"cik": n, "facts": {"us-gaap": {concept: {"units": {"shares": [...]}}}}}``
-    with entries in ``pos`` order.  Used to exercise the JSON reading path.
+    Shape: ``{"cik": n, "offset": k, "facts": {"us-gaap": {concept:
+    {"units": {"shares": [...]}}}}}``.  A document holds one concept and at
+    most ``chunk`` entries in ``pos`` order; ``offset`` orders the documents
+    of one (CIK, concept), so no company history is gathered into one row.
+    Used to exercise the JSON reading path.
     """
-    per_concept = flat.groupBy("cik", "concept").agg(
+    bucket = F.floor(F.col("pos") / F.lit(chunk))
+    per_chunk = flat.groupBy("cik", "concept", bucket.alias("chunk")).agg(
         F.sort_array(F.collect_list(F.struct("pos", "form", "end", "filed", "val"))).alias("es")
     )
-    per_concept = per_concept.select(
-        "cik",
-        "concept",
-        F.transform("es", lambda e: e.dropFields("pos")).alias("es"),
-    )
-    per_cik = per_concept.groupBy("cik").agg(
-        F.map_from_entries(
-            F.collect_list(
-                F.struct(
-                    F.col("concept"),
-                    F.struct(F.create_map(F.lit("shares"), F.col("es")).alias("units")),
-                )
-            )
-        ).alias("concepts")
+    entries = F.transform("es", lambda e: e.dropFields("pos"))
+    concept_map = F.create_map(
+        F.col("concept"), F.struct(F.create_map(F.lit("shares"), entries).alias("units"))
     )
     doc = F.struct(
         F.col("cik").cast("long").alias("cik"),
-        F.create_map(F.lit("us-gaap"), F.col("concepts")).alias("facts"),
+        (F.col("chunk") * F.lit(chunk)).cast("long").alias("offset"),
+        F.create_map(F.lit("us-gaap"), concept_map).alias("facts"),
     )
-    return per_cik.select(F.to_json(doc).alias("value"))
+    return per_chunk.select(F.to_json(doc).alias("value"))
 
 
 def cik_entries_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
