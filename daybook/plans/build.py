@@ -77,14 +77,19 @@ def build_all(
     report: dict[str, dict[str, int]] = {}
 
     report["date_table"] = write_table(
-        trading_calendar(spark, start, end), path("date_table"), {"open_days": F.col("nasdaq_open")}
+        trading_calendar(spark, start, end),
+        path("date_table"),
+        {"open_days": F.col("nasdaq_open")},
+        sort_within=["date_key"],
     )
 
     tickers = read_tickers(spark, land("tickers.csv"))
     report["asset_table"] = write_table(asset_dimension(tickers), path("asset_table"))
 
     df, by = part(daily_prices(read_price_history(spark, land("prices")), tickers, start, end))
-    report["daily_table"] = write_table(df, path("daily_table"), partition_by=by)
+    report["daily_table"] = write_table(
+        df, path("daily_table"), partition_by=by, sort_within=["ticker", "date_key"]
+    )
 
     filings = shares_outstanding(
         read_company_facts(spark, land("companyfacts")),
@@ -93,7 +98,9 @@ def build_all(
         start,
         end,
     )
-    report["edgar_10q_table"] = write_table(filings, path("edgar_10q_table"))
+    report["edgar_10q_table"] = write_table(
+        filings, path("edgar_10q_table"), sort_within=["ticker", "date_key"]
+    )
 
     daily = spark.read.parquet(path("daily_table"))
     if partition_by_year:
@@ -105,6 +112,7 @@ def build_all(
         path("equity_table_extended"),
         {"missing_filing": F.col("edgar_shares_outstanding").isNull()},
         partition_by=by,
+        sort_within=["ticker", "date_key"],
     )
 
     if include_fx:
@@ -118,5 +126,10 @@ def build_all(
                 end,
             )
         )
-        report["daily_currency_table"] = write_table(df, path("daily_currency_table"), partition_by=by)
+        report["daily_currency_table"] = write_table(
+            df,
+            path("daily_currency_table"),
+            partition_by=by,
+            sort_within=["currency", "transaction_currency", "date_key"],
+        )
     return report
