@@ -26,11 +26,14 @@ first; left rows with NULLs find no spine row and keep NULL payloads.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
 _BY, _KEY, _MATCH, _IS_LEFT = "__asof_by", "__asof_key", "__asof_match", "__asof_left"
+_BUCKET, _PREV = "__asof_bucket", "__asof_prev"
 
 
 def asof_spine(
@@ -42,6 +45,7 @@ def asof_spine(
     right_on: str,
     payload: list[str],
     matched_key: str,
+    bucket: Callable[[Column], Column] | None = None,
 ) -> DataFrame:
     """One row per distinct left key with the matched right payload struct."""
     key_type = left_keys.schema[left_on].dataType
@@ -65,11 +69,38 @@ def asof_spine(
     spine = lk.unionByName(r).groupBy(_BY, _KEY).agg(
         F.max(_MATCH).alias(_MATCH), F.bool_or(_IS_LEFT).alias(_IS_LEFT)
     )
-    carry = Window.partitionBy(_BY).orderBy(_KEY).rowsBetween(Window.unboundedPreceding, 0)
+    if bucket is None:
+        carry = Window.partitionBy(_BY).orderBy(_KEY).rowsBetween(Window.unboundedPreceding, 0)
+        return (
+            spine.withColumn(_MATCH, F.last(_MATCH, ignorenulls=True).over(carry))
+            .where(F.col(_IS_LEFT))
+            .drop(_IS_LEFT)
+        )
+    return _two_level_fill(spine.withColumn(_BUCKET, bucket(F.col(_KEY))))
+
+
+def _two_level_fill(spine: DataFrame) -> DataFrame:
+    """Forward fill split by key bucket, for keys with very many values per ``by``.
+
+    Within a (by, bucket) the last right payload so far is carried as usual.
+    Across buckets, one row per (by, bucket) holds the bucket's last right
+    payload; a window over those rows (bounded by the number of buckets)
+    gives each bucket the last payload of any earlier bucket, which fills
+    left keys that have no right row earlier in their own bucket.
+    """
+    within = Window.partitionBy(_BY, _BUCKET).orderBy(_KEY).rowsBetween(Window.unboundedPreceding, 0)
+    filled = spine.withColumn(_MATCH, F.last(_MATCH, ignorenulls=True).over(within))
+    per_bucket = spine.groupBy(_BY, _BUCKET).agg(
+        F.max_by(_MATCH, F.when(F.col(_MATCH).isNotNull(), F.col(_KEY))).alias(_PREV)
+    )
+    earlier = Window.partitionBy(_BY).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    carried = per_bucket.select(
+        _BY, _BUCKET, F.last(_PREV, ignorenulls=True).over(earlier).alias(_PREV)
+    )
     return (
-        spine.withColumn(_MATCH, F.last(_MATCH, ignorenulls=True).over(carry))
-        .where(F.col(_IS_LEFT))
-        .drop(_IS_LEFT)
+        filled.where(F.col(_IS_LEFT))
+        .join(carried, [_BY, _BUCKET], "left")
+        .select(_BY, _KEY, F.coalesce(F.col(_MATCH), F.col(_PREV)).alias(_MATCH))
     )
 
 
@@ -83,6 +114,7 @@ def asof_join(
     payload: list[str],
     matched_key: str = "matched_key",
     left_keys: DataFrame | None = None,
+    bucket: Callable[[Column], Column] | None = None,
 ) -> DataFrame:
     """Left rows (all, with multiplicity) + ``matched_key`` + ``payload`` columns.
 
@@ -90,6 +122,9 @@ def asof_join(
     the ordered keys.  The right key is cast to the left key's type.
     ``left_keys`` may name a cheaper frame with the same distinct
     ``(by, left_on)`` values as ``left`` (e.g. the input of a dedup step).
+    ``bucket`` (key → coarser, order-preserving key, e.g. the day of a
+    timestamp) splits the forward fill per (by, bucket) for keys with
+    unboundedly many distinct values per ``by``; daily keys do not need it.
     """
     spine = asof_spine(
         (left_keys if left_keys is not None else left).select(by, left_on),
@@ -99,6 +134,7 @@ def asof_join(
         right_on=right_on,
         payload=payload,
         matched_key=matched_key,
+        bucket=bucket,
     )
     joined = left.join(
         spine,
