@@ -5,6 +5,7 @@ from daybook.functions.keys import (
     as_col,
     date_key,
     day_name,
+    exchange_day,
     filed_key,
     iso_key,
     key_to_date,
@@ -17,6 +18,7 @@ __all__ = [
     "as_col",
     "date_key",
     "day_name",
+    "exchange_day",
     "filed_key",
     "iso_key",
     "key_to_date",

@@ -26,6 +26,11 @@ def date_key(c: Column | str) -> Column:
     return (F.year(d) * 10000 + F.month(d) * 100 + F.dayofmonth(d)).cast("int")
 
 
+def exchange_day(ts: Column | str, tz: str = "America/New_York") -> Column:
+    """The exchange-local calendar day of a UTC instant (for landed UTC timestamps)."""
+    return F.to_date(F.from_utc_timestamp(as_col(ts), tz))
+
+
 def key_to_date(c: Column | str) -> Column:
     """int YYYYMMDD → DATE."""
     k = as_col(c)

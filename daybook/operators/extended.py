@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from daybook.operators.asof import asof_join
@@ -32,7 +34,11 @@ def one_row_per_ticker_day(daily: DataFrame) -> DataFrame:
     )
 
 
-def equity_extended(daily: DataFrame, filings: DataFrame) -> DataFrame:
+def equity_extended(
+    daily: DataFrame,
+    filings: DataFrame,
+    bucket: Callable[[Column], Column] | None = None,
+) -> DataFrame:
     """T7: every daily row with the filing of greatest ``date_key`` on or before it.
 
     ``filings`` has the shares-table contract (ticker, cik, date_key,
@@ -40,6 +46,7 @@ def equity_extended(daily: DataFrame, filings: DataFrame) -> DataFrame:
     filing).  The filing is keyed by period end, so figures are used from the
     period end on, and prices are split-adjusted while share counts are as
     reported; both are properties of the inputs, kept as they are.
+    ``bucket`` is passed to ``asof_join`` (two-level forward fill).
     """
     right = filings.select(
         F.col("ticker"),
@@ -56,6 +63,7 @@ def equity_extended(daily: DataFrame, filings: DataFrame) -> DataFrame:
         payload=["edgar_shares_outstanding", "edgar_cik"],
         matched_key="edgar_10q_date_key",
         left_keys=daily,
+        bucket=bucket,
     )
     return joined.select(
         *DAILY_COLUMNS,

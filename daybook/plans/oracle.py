@@ -178,6 +178,7 @@ f AS (
 
 ORACLE_SQL: dict[str, str] = {
     "asof_market_cap": EXTENDED + "\nSELECT * FROM extended",
+    "asof_market_cap_monthly": EXTENDED + "\nSELECT * FROM extended",
     "missing_filings": EXTENDED + "\nSELECT * FROM extended WHERE edgar_shares_outstanding IS NULL",
     "shares_outstanding": f"WITH {FILINGS.strip()}\nSELECT * FROM shares",
     "shares_outstanding_json": f"WITH {FILINGS.strip()}\nSELECT * FROM shares",

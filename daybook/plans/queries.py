@@ -80,6 +80,15 @@ def q_asof_market_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return equity_extended(q_daily_prices(spark, sf_dir), q_shares_outstanding(spark, sf_dir))
 
 
+def q_asof_market_cap_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flagship with the two-level (per ticker-month) forward fill."""
+    return equity_extended(
+        q_daily_prices(spark, sf_dir),
+        q_shares_outstanding(spark, sf_dir),
+        bucket=lambda k: (k / 100).cast("int"),
+    )
+
+
 def q_latest_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Extended table over quotes with many rows per ticker-day (collapsed to one)."""
     return equity_extended(td.event_quotes(spark, sf_dir), td.event_signups(spark, sf_dir))
@@ -113,6 +122,7 @@ def q_coverage_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "asof_market_cap": q_asof_market_cap,
+    "asof_market_cap_monthly": q_asof_market_cap_monthly,
     "shares_outstanding": q_shares_outstanding,
     "shares_outstanding_json": q_shares_outstanding_json,
     "daily_prices": q_daily_prices,
