@@ -6,15 +6,15 @@ greatest ``right_on <= left_on``; no such row → NULL payload.
 Plan ("key spine"), chosen so that neither a hot ``by`` value nor a long
 right history concentrates work:
 
-1. Union the distinct left keys ``(by, left_on)`` with the right rows
-   ``(by, right_on, payload)`` and aggregate by ``(by, key)``.  The aggregate
-   is partial (map-side), so duplicate left keys and duplicate right keys
-   collapse before the shuffle.  Right ties on one key keep the largest
-   payload, a deterministic choice.
-2. Forward-fill the last right payload over that spine with a window
-   partitioned by ``by``.  The window sees one row per distinct key, so its
-   size per ``by`` value is bounded by the number of distinct key values
-   (days, for daily keys) and not by the number of rows.
+1. Take the distinct left keys ``(by, left_on)`` and the right rows reduced
+   to one per ``(by, right_on)`` (right ties keep the largest payload, a
+   deterministic choice).  Both are partial (map-side) aggregates, so
+   duplicate keys collapse before the shuffle.
+2. Union them and forward-fill the last right payload with a window
+   partitioned by ``by`` (a right row sorts before a left key it equals).
+   The window sees at most two rows per distinct key, so its size per
+   ``by`` value is bounded by the number of distinct key values (days, for
+   daily keys) and not by the number of rows.
 3. Equi-join the left rows to the spine on ``(by, left_on)``: exactly one
    spine row per key, so no candidate pairs are enumerated.  AQE turns the
    join into a broadcast at run time only when the measured spine is small,
@@ -53,24 +53,39 @@ def asof_spine(
     match = F.struct(
         F.col(right_on).cast(key_type).alias(matched_key), *[F.col(c) for c in payload]
     )
-    r = right.where(F.col(by).isNotNull() & F.col(right_on).isNotNull()).select(
-        F.col(by).cast(by_type).alias(_BY),
-        F.col(right_on).cast(key_type).alias(_KEY),
-        match.alias(_MATCH),
-        F.lit(False).alias(_IS_LEFT),
+    # Right: one row per (by, key); ties keep the largest payload.
+    r = (
+        right.where(F.col(by).isNotNull() & F.col(right_on).isNotNull())
+        .select(
+            F.col(by).cast(by_type).alias(_BY),
+            F.col(right_on).cast(key_type).alias(_KEY),
+            match.alias(_MATCH),
+        )
+        .groupBy(_BY, _KEY)
+        .agg(F.max(_MATCH).alias(_MATCH))
+        .withColumn(_IS_LEFT, F.lit(False))
     )
     match_type = r.schema[_MATCH].dataType
-    lk = left_keys.where(F.col(by).isNotNull() & F.col(left_on).isNotNull()).select(
-        F.col(by).alias(_BY),
-        F.col(left_on).alias(_KEY),
-        F.lit(None).cast(match_type).alias(_MATCH),
-        F.lit(True).cast(BooleanType()).alias(_IS_LEFT),
-    )
-    spine = lk.unionByName(r).groupBy(_BY, _KEY).agg(
-        F.max(_MATCH).alias(_MATCH), F.bool_or(_IS_LEFT).alias(_IS_LEFT)
+    # Left: the distinct keys only (a map-side hash aggregate).
+    lk = (
+        left_keys.where(F.col(by).isNotNull() & F.col(left_on).isNotNull())
+        .select(F.col(by).alias(_BY), F.col(left_on).alias(_KEY))
+        .distinct()
+        .select(
+            _BY,
+            _KEY,
+            F.lit(None).cast(match_type).alias(_MATCH),
+            F.lit(True).cast(BooleanType()).alias(_IS_LEFT),
+        )
     )
+    # On equal keys the right row sorts first, so it is visible to the left key.
+    spine = lk.unionByName(r)
     if bucket is None:
-        carry = Window.partitionBy(_BY).orderBy(_KEY).rowsBetween(Window.unboundedPreceding, 0)
+        carry = (
+            Window.partitionBy(_BY)
+            .orderBy(_KEY, _IS_LEFT)
+            .rowsBetween(Window.unboundedPreceding, 0)
+        )
         return (
             spine.withColumn(_MATCH, F.last(_MATCH, ignorenulls=True).over(carry))
             .where(F.col(_IS_LEFT))
@@ -88,7 +103,11 @@ def _two_level_fill(spine: DataFrame) -> DataFrame:
     gives each bucket the last payload of any earlier bucket, which fills
     left keys that have no right row earlier in their own bucket.
     """
-    within = Window.partitionBy(_BY, _BUCKET).orderBy(_KEY).rowsBetween(Window.unboundedPreceding, 0)
+    within = (
+        Window.partitionBy(_BY, _BUCKET)
+        .orderBy(_KEY, _IS_LEFT)
+        .rowsBetween(Window.unboundedPreceding, 0)
+    )
     filled = spine.withColumn(_MATCH, F.last(_MATCH, ignorenulls=True).over(within))
     per_bucket = spine.groupBy(_BY, _BUCKET).agg(
         F.max_by(_MATCH, F.when(F.col(_MATCH).isNotNull(), F.col(_KEY))).alias(_PREV)

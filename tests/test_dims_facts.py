@@ -89,3 +89,14 @@ def test_exchange_day_of_utc_instant(spark):
     df = spark.createDataFrame([(datetime(2024, 1, 3, 2, 30),)], "ts timestamp_ntz")
     r = df.select(date_key(exchange_day(F.col("ts"))).alias("k")).collect()[0]
     assert r.k == 20240102   # 02:30 UTC is still the previous day in New York
+
+
+def test_asset_table_empty_list(spark):
+    df = asset_dimension(read_tickers(spark, _csv("ticker\n")))
+    assert df.columns == ["asset_id", "ticker", "asset_class"]
+    assert df.count() == 0
+
+
+def test_asset_table_keeps_duplicates(spark):
+    df = asset_dimension(read_tickers(spark, _csv("ticker\nNVDA\nAAPL\nNVDA\n")))
+    assert sorted((r.asset_id, r.ticker) for r in df.collect()) == [(0, "AAPL"), (1, "NVDA"), (2, "NVDA")]
