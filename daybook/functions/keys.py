@@ -43,19 +43,31 @@ def day_name(d: Column | str) -> Column:
     return F.element_at(names, F.weekday(as_col(d)) + 1)
 
 
+# An integer literal as Python's ``int()`` reads it (ASCII
+# whitespace around, optional plus sign, single underscores between digits).
+_INT_TEXT = r"^[ \t\n\r\x0b\x0c]*\+?[0-9]+(_[0-9]+)*[ \t\n\r\x0b\x0c]*$"
+_INT_NOISE = r"[ \t\n\r\x0b\x0c_+]"
+KEY_TYPE = "decimal(38,0)"
+
+
 def iso_key(s: Column | str) -> Column:
-    """ISO-like text → int by dropping dashes; NULL when it does not parse.
+    """ISO-like text → integer key by dropping dashes; NULL when it does not parse.
 
     ``'2024-03-31'`` → 20240331.  Malformed but numeric text keeps its digits
-    (``'2024-3-1'`` → 202431), exactly like dropping dashes and reading an int.
+    (``'2024-3-1'`` → 202431), exactly like dropping dashes and reading an
+    int.  The result is a wide decimal, so an over-long value stays a (large)
+    key instead of overflowing; callers compare it with int keys directly.
     """
-    return F.regexp_replace(as_col(s), "-", "").try_cast("int")
+    digits = F.regexp_replace(as_col(s), "-", "")
+    return F.when(
+        digits.rlike(_INT_TEXT), F.regexp_replace(digits, _INT_NOISE, "").try_cast(KEY_TYPE)
+    )
 
 
 def filed_key(s: Column | str) -> Column:
     """Filing-date key: missing or empty text → 0, unparsable → NULL."""
     s = as_col(s)
-    return F.when(s.isNull() | (s == ""), F.lit(0)).otherwise(iso_key(s))
+    return F.when(s.isNull() | (s == ""), F.lit(0).cast(KEY_TYPE)).otherwise(iso_key(s))
 
 
 def zero_pad_cik(c: Column | str) -> Column:

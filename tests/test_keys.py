@@ -1,0 +1,50 @@
+"""Key parsing follows ``int(text.replace('-', ''))`` (ASCII inputs)."""
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from daybook.functions import filed_key, iso_key
+
+
+def python_key(text):
+    try:
+        return int(text.replace("-", ""))
+    except ValueError:
+        return None
+
+
+def python_filed(text):
+    return 0 if not text else python_key(text)
+
+
+TEXTS = st.lists(
+    st.one_of(
+        st.text(alphabet="0123456789-_+ .\tTx", max_size=14),
+        st.dates().map(lambda d: d.isoformat()),
+        st.builds(lambda y, m, d: f"{y}-{m}-{d}", st.integers(1990, 2030), st.integers(1, 12), st.integers(1, 31)),
+    ),
+    min_size=1,
+    max_size=60,
+)
+
+
+@settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(TEXTS)
+def test_iso_and_filed_keys_match_python(spark, texts):
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [(r.t, r.k, r.f) for r in df.select("t", iso_key("t").alias("k"), filed_key("t").alias("f")).collect()]
+    for t, k, f in got:
+        k = None if k is None else int(k)
+        f = None if f is None else int(f)
+        exp = python_key(t)
+        if exp is not None and exp >= 10 ** 38:
+            continue  # beyond the 38-digit key type
+        assert k == exp, t
+        assert f == python_filed(t), t
+
+
+def test_examples(spark):
+    df = spark.createDataFrame([(s,) for s in ["2024-03-31", "2024-3-1", " +2024-03-31 ", "1_000",
+                                                "2024-03-31.0", "2024-03-31T00", "", None]], "t string")
+    got = [(None if r.k is None else int(r.k)) for r in df.select(iso_key("t").alias("k")).collect()]
+    assert got == [20240331, 202431, 20240331, 1000, None, None, None, None]
