@@ -34,6 +34,15 @@ from daybook.operators import (
     trading_calendar,
 )
 from daybook.plans.sinks import with_year, write_table
+from daybook.schemas import (
+    ASSET_TABLE,
+    CURRENCY_PAIRS_TABLE,
+    DAILY_CURRENCY_TABLE,
+    DAILY_TABLE,
+    DATE_TABLE,
+    EQUITY_EXTENDED_TABLE,
+    SHARES_TABLE,
+)
 from daybook.sources import (
     read_cik_document,
     read_company_facts,
@@ -81,14 +90,18 @@ def build_all(
         path("date_table"),
         {"open_days": F.col("nasdaq_open")},
         sort_within=["date_key"],
+        contract=DATE_TABLE,
     )
 
     tickers = read_tickers(spark, land("tickers.csv"))
-    report["asset_table"] = write_table(asset_dimension(tickers), path("asset_table"))
+    report["asset_table"] = write_table(
+        asset_dimension(tickers), path("asset_table"), contract=ASSET_TABLE
+    )
 
     df, by = part(daily_prices(read_price_history(spark, land("prices")), tickers, start, end))
     report["daily_table"] = write_table(
-        df, path("daily_table"), partition_by=by, sort_within=["ticker", "date_key"]
+        df, path("daily_table"), partition_by=by, sort_within=["ticker", "date_key"],
+        contract=DAILY_TABLE,
     )
 
     filings = shares_outstanding(
@@ -99,7 +112,8 @@ def build_all(
         end,
     )
     report["edgar_10q_table"] = write_table(
-        filings, path("edgar_10q_table"), sort_within=["ticker", "date_key"]
+        filings, path("edgar_10q_table"), sort_within=["ticker", "date_key"],
+        contract=SHARES_TABLE,
     )
 
     daily = spark.read.parquet(path("daily_table"))
@@ -113,11 +127,14 @@ def build_all(
         {"missing_filing": F.col("edgar_shares_outstanding").isNull()},
         partition_by=by,
         sort_within=["ticker", "date_key"],
+        contract=EQUITY_EXTENDED_TABLE,
     )
 
     if include_fx:
         pairs = currency_pairs(read_currency_pairs(spark, land("currency_pairs.csv")))
-        report["currency_pairs_table"] = write_table(pairs, path("currency_pairs_table"))
+        report["currency_pairs_table"] = write_table(
+            pairs, path("currency_pairs_table"), contract=CURRENCY_PAIRS_TABLE
+        )
         df, by = part(
             daily_fx(
                 read_fx_history(spark, land("fx")),
@@ -131,5 +148,6 @@ def build_all(
             path("daily_currency_table"),
             partition_by=by,
             sort_within=["currency", "transaction_currency", "date_key"],
+            contract=DAILY_CURRENCY_TABLE,
         )
     return report

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def write_table(
@@ -12,6 +13,7 @@ def write_table(
     flags: dict[str, Column] | None = None,
     partition_by: list[str] | None = None,
     sort_within: list[str] | None = None,
+    contract: StructType | None = None,
 ) -> dict[str, int]:
     """Replace the Parquet table at ``path`` with ``df``; return its counts.
 
@@ -21,10 +23,19 @@ def write_table(
     default: a partition column is appended to the table's contract.
     ``sort_within`` orders rows inside each output file (no shuffle), which
     tightens Parquet min/max statistics for later key and date filters.
+    With ``contract``, ``null_violations`` counts rows with a NULL in a
+    column the contract declares non-null (Spark does not enforce it).
     """
     obs = Observation(f"write_{abs(hash(path))}")
     metrics = [F.count(F.lit(1)).alias("rows")]
     metrics += [F.count_if(c).alias(name) for name, c in (flags or {}).items()]
+    if contract is not None:
+        required = [F.col(f.name).isNull() for f in contract.fields if not f.nullable]
+        if required:
+            any_null = required[0]
+            for c in required[1:]:
+                any_null = any_null | c
+            metrics.append(F.count_if(any_null).alias("null_violations"))
     observed = df.observe(obs, *metrics)
     if sort_within:
         observed = observed.sortWithinPartitions(*sort_within)

@@ -17,7 +17,7 @@ from daybook.schemas import (
     PRICE_HISTORY,
     SHARES_TABLE,
 )
-from daybook.streaming import append_daily_prices
+from daybook.streaming import append_daily_fx, append_daily_prices
 
 CSO = "CommonStockSharesOutstanding"
 
@@ -51,13 +51,15 @@ def test_build_all(spark):
     out = tempfile.mkdtemp(prefix="warehouse-")
     _land(spark, root)
     report = build_all(spark, root, out, date(2024, 1, 1), date(2024, 12, 31))
-    assert report["date_table"] == {"rows": 366, "open_days": 252}
+    assert report["date_table"] == {"rows": 366, "open_days": 252, "null_violations": 0}
     assert report["asset_table"]["rows"] == 3
     assert report["daily_table"]["rows"] == 7
     assert report["edgar_10q_table"]["rows"] == 3
-    assert report["equity_table_extended"] == {"rows": 7, "missing_filing": 4}  # NVDA x2, GME x2
+    assert report["equity_table_extended"] == {  # NVDA x2, GME x2 without a filing
+        "rows": 7, "missing_filing": 4, "null_violations": 0}
     assert report["currency_pairs_table"]["rows"] == 2
     assert report["daily_currency_table"]["rows"] == 2
+    assert all(r["null_violations"] == 0 for r in report.values())
     contracts = {"date_table": DATE_TABLE, "asset_table": ASSET_TABLE,
                  "currency_pairs_table": CURRENCY_PAIRS_TABLE, "daily_table": DAILY_TABLE,
                  "edgar_10q_table": SHARES_TABLE, "daily_currency_table": DAILY_CURRENCY_TABLE,
@@ -98,3 +100,16 @@ def test_incremental_daily_prices(spark):
     append_daily_prices(spark, hist, tickers, out, date(2024, 1, 1), date(2024, 12, 31), ckpt).awaitTermination()
     rows = sorted((r.ticker, r.date_key) for r in spark.read.parquet(out).collect())
     assert rows == [("AAPL", 20240102), ("AAPL", 20240103)]
+
+
+def test_incremental_daily_fx(spark):
+    root = tempfile.mkdtemp(prefix="stream-fx-")
+    hist, out = os.path.join(root, "fx"), os.path.join(root, "daily_fx")
+    pairs = spark.createDataFrame([("USD", "JPY")], "currency string, transaction_currency string")
+    for day, rate in [(2, 150.0), (3, 151.0)]:
+        spark.createDataFrame([("USDJPY=X", date(2024, 1, day), rate),
+                               ("EURUSD=X", date(2024, 1, day), 1.1)], FX_HISTORY) \
+            .write.mode("append").parquet(hist)
+        append_daily_fx(spark, hist, pairs, out, date(2024, 1, 1), date(2024, 12, 31)).awaitTermination()
+    rows = sorted(tuple(r) for r in spark.read.parquet(out).collect())
+    assert rows == [("USD", "JPY", 20240102, 1.0, 150.0), ("USD", "JPY", 20240103, 1.0, 151.0)]

@@ -7,6 +7,31 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from daybook.schemas import (
+    ASSET_TABLE,
+    CURRENCY_PAIRS_TABLE,
+    DAILY_CURRENCY_TABLE,
+    DAILY_TABLE,
+    DATE_TABLE,
+    EQUITY_EXTENDED_TABLE,
+    SHARES_TABLE,
+    check_contract,
+)
+
+CONTRACTS = {
+    "asof_market_cap": EQUITY_EXTENDED_TABLE,
+    "asof_market_cap_monthly": EQUITY_EXTENDED_TABLE,
+    "latest_per_key": EQUITY_EXTENDED_TABLE,
+    "missing_filings": EQUITY_EXTENDED_TABLE,
+    "shares_outstanding": SHARES_TABLE,
+    "shares_outstanding_json": SHARES_TABLE,
+    "daily_prices": DAILY_TABLE,
+    "daily_fx": DAILY_CURRENCY_TABLE,
+    "currency_pairs": CURRENCY_PAIRS_TABLE,
+    "asset_dimension": ASSET_TABLE,
+    "trading_calendar": DATE_TABLE,
+    "open_days": DATE_TABLE,
+}
 
 SF = "/root/testdata/sf0.001"
 TABLES = ["part", "lineitem", "orders", "events"]
@@ -38,6 +63,11 @@ def test_entry_runs(spark):
     assert df.count() > 0
 
 
+@pytest.mark.parametrize("name", sorted(CONTRACTS))
+def test_table_shaped_queries_keep_the_contract(spark, name):
+    assert check_contract(queries()[name](spark, SF), CONTRACTS[name]) == []
+
+
 @pytest.mark.parametrize("name", sorted(queries()))
 def test_query_matches_oracle(spark, duck, name):
     df = queries()[name](spark, SF)
