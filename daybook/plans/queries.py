@@ -25,12 +25,15 @@ from daybook.operators import (
 )
 from daybook.operators.trading_days import date_spine_between
 from daybook.session import scratch_path
-from daybook.sources import read_company_facts, read_currency_pairs
+from daybook.sources import read_company_facts, read_currency_pairs, read_tickers
 from daybook.sources import testdata as td
 
 
 def q_asset_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return asset_dimension(td.tickers_by_name(spark, sf_dir))
+    """The ticker list lands as a CSV file in the shared scratch folder, then is read back."""
+    path = scratch_path(spark, "tickers_csv")
+    td.tickers_by_name(spark, sf_dir).write.option("header", True).csv(path)
+    return asset_dimension(read_tickers(spark, path))
 
 
 def q_cik_map(spark: SparkSession, sf_dir: str) -> DataFrame:
