@@ -44,8 +44,21 @@ LONG_CIK_EVERY = 7
 LONG_CIK_OFFSET = 10_000_000_000
 
 
+_TABLES: dict[tuple[int, str], tuple[SparkSession, DataFrame]] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """One testdata table; each session reads (and infers the schema of) a file once.
+
+    The testdata files are read-only, so the DataFrame is reused within a
+    session; the entry keeps its session, so a new session never matches it.
+    """
+    path = f"{sf_dir}/{name}.parquet"
+    hit = _TABLES.get((id(spark), path))
+    if hit is None or hit[0] is not spark:
+        hit = (spark, spark.read.parquet(path))
+        _TABLES[(id(spark), path)] = hit
+    return hit[1]
 
 
 def tickers_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
