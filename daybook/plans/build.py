@@ -10,7 +10,8 @@ Landing folder layout (all optional except what a table needs)::
     fx/                    FX history (Parquet: symbol, day, close)
 
 Order: calendar; assets → {daily prices, filings} → extended; pairs → daily
-FX.  The extended table reads the *written* daily and filing tables, so its
+FX.  ``tables`` selects a narrower run (``EQUITY_TABLES``, ``DATE_TABLES``);
+what a selected table needs is built first.  The extended table reads the *written* daily and filing tables, so its
 job starts from files in the shared output folder (lineage is cut, and a lost
 executor only recomputes the last job).
 """
@@ -52,7 +53,8 @@ from daybook.sources import (
     read_tickers,
 )
 
-# The warehouse table names (folder names under the output).
+# The warehouse tables in a valid build order, what each needs
+# built first, and the two narrower runs (equity tables, calendar only).
 TABLES = [
     "date_table",
     "asset_table",
@@ -62,6 +64,33 @@ TABLES = [
     "daily_currency_table",
     "equity_table_extended",
 ]
+DEPENDS_ON = {
+    "date_table": [],
+    "asset_table": [],
+    "currency_pairs_table": [],
+    "daily_table": ["asset_table"],
+    "edgar_10q_table": ["asset_table"],
+    "daily_currency_table": ["currency_pairs_table"],
+    "equity_table_extended": ["daily_table", "edgar_10q_table"],
+}
+EQUITY_TABLES = ["asset_table", "daily_table", "edgar_10q_table", "equity_table_extended"]
+DATE_TABLES = ["date_table"]
+
+
+def build_order(tables: list[str] | None = None, with_dependencies: bool = True) -> list[str]:
+    """The tables to build, in dependency order."""
+    wanted = set(TABLES if tables is None else tables)
+    unknown = wanted - set(TABLES)
+    if unknown:
+        raise ValueError(f"unknown tables: {sorted(unknown)}")
+    if with_dependencies:
+        todo = list(wanted)
+        while todo:
+            for dep in DEPENDS_ON[todo.pop()]:
+                if dep not in wanted:
+                    wanted.add(dep)
+                    todo.append(dep)
+    return [t for t in TABLES if t in wanted]
 
 
 def build_all(
@@ -71,9 +100,15 @@ def build_all(
     start: date,
     end: date,
     partition_by_year: bool = False,
-    include_fx: bool = True,
+    tables: list[str] | None = None,
+    with_dependencies: bool = True,
 ) -> dict[str, dict[str, int]]:
-    """Build the seven tables; return per-table counts gathered during writes."""
+    """Build the tables (all, or ``tables`` and what they need); return the
+    per-table counts gathered during the writes.
+
+    Without ``with_dependencies`` the tables a requested table reads must
+    already exist under ``out``.
+    """
     def path(name):
         return os.path.join(out, name)
 
@@ -83,71 +118,79 @@ def build_all(
     def part(df):
         return (with_year(df), ["year"]) if partition_by_year else (df, None)
 
-    report: dict[str, dict[str, int]] = {}
-
-    report["date_table"] = write_table(
-        trading_calendar(spark, start, end),
-        path("date_table"),
-        {"open_days": F.col("nasdaq_open")},
-        sort_within=["date_key"],
-        contract=DATE_TABLE,
-    )
-
-    tickers = read_tickers(spark, land("tickers.csv"))
-    report["asset_table"] = write_table(
-        asset_dimension(tickers), path("asset_table"), contract=ASSET_TABLE
-    )
-
-    df, by = part(daily_prices(read_price_history(spark, land("prices")), tickers, start, end))
-    report["daily_table"] = write_table(
-        df, path("daily_table"), partition_by=by, sort_within=["ticker", "date_key"],
-        contract=DAILY_TABLE,
-    )
-
-    filings = shares_outstanding(
-        read_company_facts(spark, land("companyfacts")),
-        tickers,
-        cik_map(read_cik_document(spark, land("company_tickers.json"))),
-        start,
-        end,
-    )
-    report["edgar_10q_table"] = write_table(
-        filings, path("edgar_10q_table"), sort_within=["ticker", "date_key"],
-        contract=SHARES_TABLE,
-    )
-
-    daily = spark.read.parquet(path("daily_table"))
-    if partition_by_year:
-        daily = daily.drop("year")
-    extended = equity_extended(daily, spark.read.parquet(path("edgar_10q_table")))
-    df, by = part(extended)
-    report["equity_table_extended"] = write_table(
-        df,
-        path("equity_table_extended"),
-        {"missing_filing": F.col("edgar_shares_outstanding").isNull()},
-        partition_by=by,
-        sort_within=["ticker", "date_key"],
-        contract=EQUITY_EXTENDED_TABLE,
-    )
-
-    if include_fx:
+    def written(name):
+        df = spark.read.parquet(path(name))
+        return df.drop("year") if "year" in df.columns else df
+
+    def tickers():
+        return read_tickers(spark, land("tickers.csv"))
+
+    def build_date_table():
+        return write_table(
+            trading_calendar(spark, start, end),
+            path("date_table"),
+            {"open_days": F.col("nasdaq_open")},
+            sort_within=["date_key"],
+            contract=DATE_TABLE,
+        )
+
+    def build_asset_table():
+        return write_table(asset_dimension(tickers()), path("asset_table"), contract=ASSET_TABLE)
+
+    def build_currency_pairs_table():
         pairs = currency_pairs(read_currency_pairs(spark, land("currency_pairs.csv")))
-        report["currency_pairs_table"] = write_table(
-            pairs, path("currency_pairs_table"), contract=CURRENCY_PAIRS_TABLE
+        return write_table(pairs, path("currency_pairs_table"), contract=CURRENCY_PAIRS_TABLE)
+
+    def build_daily_table():
+        df, by = part(daily_prices(read_price_history(spark, land("prices")), tickers(), start, end))
+        return write_table(
+            df, path("daily_table"), partition_by=by, sort_within=["ticker", "date_key"],
+            contract=DAILY_TABLE,
         )
-        df, by = part(
-            daily_fx(
-                read_fx_history(spark, land("fx")),
-                spark.read.parquet(path("currency_pairs_table")),
-                start,
-                end,
-            )
+
+    def build_edgar_10q_table():
+        filings = shares_outstanding(
+            read_company_facts(spark, land("companyfacts")),
+            tickers(),
+            cik_map(read_cik_document(spark, land("company_tickers.json"))),
+            start,
+            end,
         )
-        report["daily_currency_table"] = write_table(
+        return write_table(
+            filings, path("edgar_10q_table"), sort_within=["ticker", "date_key"],
+            contract=SHARES_TABLE,
+        )
+
+    def build_daily_currency_table():
+        fx = daily_fx(read_fx_history(spark, land("fx")), written("currency_pairs_table"), start, end)
+        df, by = part(fx)
+        return write_table(
             df,
             path("daily_currency_table"),
             partition_by=by,
             sort_within=["currency", "transaction_currency", "date_key"],
             contract=DAILY_CURRENCY_TABLE,
         )
-    return report
+
+    def build_equity_table_extended():
+        # Reads the written daily and filing tables: lineage starts at files.
+        df, by = part(equity_extended(written("daily_table"), written("edgar_10q_table")))
+        return write_table(
+            df,
+            path("equity_table_extended"),
+            {"missing_filing": F.col("edgar_shares_outstanding").isNull()},
+            partition_by=by,
+            sort_within=["ticker", "date_key"],
+            contract=EQUITY_EXTENDED_TABLE,
+        )
+
+    builders = {
+        "date_table": build_date_table,
+        "asset_table": build_asset_table,
+        "currency_pairs_table": build_currency_pairs_table,
+        "daily_table": build_daily_table,
+        "edgar_10q_table": build_edgar_10q_table,
+        "daily_currency_table": build_daily_currency_table,
+        "equity_table_extended": build_equity_table_extended,
+    }
+    return {name: builders[name]() for name in build_order(tables, with_dependencies)}

@@ -113,3 +113,17 @@ def test_incremental_daily_fx(spark):
         append_daily_fx(spark, hist, pairs, out, date(2024, 1, 1), date(2024, 12, 31)).awaitTermination()
     rows = sorted(tuple(r) for r in spark.read.parquet(out).collect())
     assert rows == [("USD", "JPY", 20240102, 1.0, 150.0), ("USD", "JPY", 20240103, 1.0, 151.0)]
+
+
+def test_build_order_and_subsets(spark):
+    from daybook.plans.build import DATE_TABLES, EQUITY_TABLES, build_order
+    assert build_order(["equity_table_extended"]) == EQUITY_TABLES
+    assert build_order(["daily_currency_table"]) == ["currency_pairs_table", "daily_currency_table"]
+    assert build_order(DATE_TABLES) == ["date_table"]
+    assert build_order(["equity_table_extended"], with_dependencies=False) == ["equity_table_extended"]
+    root = tempfile.mkdtemp(prefix="landing-")
+    out = tempfile.mkdtemp(prefix="warehouse-")
+    _land(spark, root)
+    report = build_all(spark, root, out, date(2024, 1, 1), date(2024, 12, 31), tables=EQUITY_TABLES)
+    assert list(report) == EQUITY_TABLES
+    assert report["equity_table_extended"]["rows"] == 7
