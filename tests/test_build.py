@@ -127,3 +127,22 @@ def test_build_order_and_subsets(spark):
     report = build_all(spark, root, out, date(2024, 1, 1), date(2024, 12, 31), tables=EQUITY_TABLES)
     assert list(report) == EQUITY_TABLES
     assert report["equity_table_extended"]["rows"] == 7
+
+
+def test_command_line(spark):
+    import json as _json
+    import subprocess
+    import sys
+    root = tempfile.mkdtemp(prefix="landing-")
+    out = tempfile.mkdtemp(prefix="warehouse-")
+    _land(spark, root)
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    run = subprocess.run(
+        [sys.executable, "-m", "daybook", "--landing", root, "--out", out, "--tables", "equity",
+         "--master", "local[2]"],
+        cwd=repo, capture_output=True, text=True, timeout=600)
+    assert run.returncode == 0, run.stderr[-2000:]
+    lines = [_json.loads(x) for x in run.stdout.splitlines() if x.startswith("{")]
+    assert [x["table"] for x in lines] == ["asset_table", "daily_table", "edgar_10q_table",
+                                           "equity_table_extended"]
+    assert lines[-1]["missing_filing"] == 4
