@@ -6,7 +6,9 @@ from daybook.sources.landed import (
     read_company_facts,
     read_currency_pairs,
     read_fx_history,
+    read_fx_history_csv_per_symbol,
     read_price_history,
+    read_price_history_csv_per_ticker,
     read_tickers,
 )
 
@@ -16,6 +18,8 @@ __all__ = [
     "read_company_facts",
     "read_currency_pairs",
     "read_fx_history",
+    "read_fx_history_csv_per_symbol",
     "read_price_history",
+    "read_price_history_csv_per_ticker",
     "read_tickers",
 ]

@@ -100,3 +100,25 @@ def test_asset_table_empty_list(spark):
 def test_asset_table_keeps_duplicates(spark):
     df = asset_dimension(read_tickers(spark, _csv("ticker\nNVDA\nAAPL\nNVDA\n")))
     assert sorted((r.asset_id, r.ticker) for r in df.collect()) == [(0, "AAPL"), (1, "NVDA"), (2, "NVDA")]
+
+
+def test_per_ticker_csv_history(spark):
+    from daybook.sources import read_fx_history_csv_per_symbol, read_price_history_csv_per_ticker
+    d = tempfile.mkdtemp(prefix="hist-")
+    with open(os.path.join(d, "AAPL.csv"), "w") as fh:
+        fh.write("Date,Open,High,Low,Close,Volume,Dividends,Stock Splits\n"
+                 "2024-01-02 00:00:00-05:00,150,155,149,154,1000000,0.0,0.0\n")
+    with open(os.path.join(d, "NVDA.csv"), "w") as fh:
+        fh.write("Date,Open,High,Low,Close,Volume,Dividends,Stock Splits\n")   # empty history
+    tickers = spark.createDataFrame([("AAPL",), ("NVDA",)], "ticker string")
+    out = [tuple(r) for r in daily_prices(read_price_history_csv_per_ticker(spark, d), tickers,
+                                          date(2024, 1, 1), date(2024, 12, 31)).collect()]
+    assert out == [("AAPL", "yahoo_finance", 20240102, 150.0, 155.0, 149.0, 154.0, 1000000)]
+    f = tempfile.mkdtemp(prefix="fxhist-")
+    with open(os.path.join(f, "USDJPY=X.csv"), "w") as fh:
+        fh.write("Date,Open,High,Low,Close,Volume\n2024-01-02 00:00:00+00:00,1,1,1,150.0,0\n"
+                 "2024-01-03 00:00:00+00:00,1,1,1,151.0,0\n")
+    pairs = spark.createDataFrame([("USD", "JPY")], "currency string, transaction_currency string")
+    fx = sorted(tuple(r) for r in daily_fx(read_fx_history_csv_per_symbol(spark, f), pairs,
+                                             date(2024, 1, 1), date(2024, 12, 31)).collect())
+    assert fx == [("USD", "JPY", 20240102, 1.0, 150.0), ("USD", "JPY", 20240103, 1.0, 151.0)]
