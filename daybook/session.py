@@ -23,6 +23,24 @@ DEFAULT_CONF = {
 }
 
 
+def cluster_conf(input_bytes: int, cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Starting shuffle settings for a job reading about ``input_bytes``.
+
+    Start with enough shuffle partitions that the largest shuffle (at most
+    about the input size) splits into ``target_partition_bytes`` pieces, and
+    at least two waves of the cluster's cores; AQE then coalesces small
+    partitions to the advisory size and splits skewed ones.  Scans split
+    files at 256 MB.
+    """
+    partitions = max(2 * cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(256 << 20),
+    }
+
+
 def get_session(
     master: str | None = None,
     app_name: str = "daybook",
