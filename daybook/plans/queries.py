@@ -76,7 +76,8 @@ def q_shares_outstanding_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Same selection, with the facts landed as company-facts JSON documents."""
     path = scratch_path(spark, "company_facts_json")
     td.facts_documents(td.filing_facts(spark, sf_dir)).write.text(path)
-    return _shares(spark, sf_dir, read_company_facts(spark, path, multi_line=False))
+    facts = read_company_facts(spark, path, multi_line=False, concepts=td.TESTDATA_CONCEPTS)
+    return _shares(spark, sf_dir, facts)
 
 
 def q_asof_market_cap(spark: SparkSession, sf_dir: str) -> DataFrame:

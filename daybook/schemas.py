@@ -128,6 +128,22 @@ COMPANY_FACTS = StructType([
     ),
 ])
 
+def company_facts_schema(concepts: list[str], taxonomy: str = "us-gaap", unit: str = "shares") -> StructType:
+    """Read schema holding only ``facts.<taxonomy>.<concept>.units.<unit>`` for
+    the given concepts: the JSON parser skips every other concept and unit
+    (most of a real document) instead of materializing them."""
+    entries = ArrayType(FACT_ENTRY)
+    concept = StructType([StructField("units", StructType([StructField(unit, entries, True)]), True)])
+    return StructType([
+        StructField("cik", LongType(), True),
+        StructField("entityName", StringType(), True),
+        StructField("offset", LongType(), True),
+        StructField("facts", StructType([
+            StructField(taxonomy, StructType([StructField(c, concept, True) for c in concepts]), True),
+        ]), True),
+    ])
+
+
 # The flat form of company facts every selection operator works on.
 FACT_ROWS = StructType([
     StructField("cik", StringType(), True),

@@ -12,12 +12,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.functions import zero_pad_cik
+from daybook.operators.filings import SHARE_CONCEPTS
 from daybook.schemas import (
     CIK_DOCUMENT_DDL,
     COMPANY_FACTS,
     CURRENCY_PAIRS_TABLE,
     FX_HISTORY,
     PRICE_HISTORY,
+    company_facts_schema,
 )
 
 # The taxonomy and unit whose share counts are read.
@@ -65,24 +67,34 @@ def read_cik_document(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def flatten_company_facts(docs: DataFrame) -> DataFrame:
+def flatten_company_facts(docs: DataFrame, concepts: list[str] | None = None) -> DataFrame:
     """Company-facts documents → one row per share-count entry.
 
     Output: ``cik`` (10-digit text), ``concept``, ``pos`` (index within the
     concept's entry list, i.e. document order, plus the document's
     ``offset`` when one company's entries span several documents),
-    ``form, end, filed, val``.
-    A missing taxonomy, concept or unit yields no rows.
+    ``form, end, filed, val``.  A missing taxonomy, concept or unit yields
+    no rows.  ``docs`` is read either with ``COMPANY_FACTS`` (concepts as a
+    map; ``concepts`` None) or with ``company_facts_schema(concepts)``.
     """
     offset = F.coalesce(F.col("offset"), F.lit(0)) if "offset" in docs.columns else F.lit(0)
-    concepts = docs.select(
-        F.col("cik"),
-        offset.cast("long").alias("offset"),
-        F.explode(F.col("facts")[FACTS_TAXONOMY]).alias("concept", "body"),
-    )
-    entries = concepts.select(
-        "cik", "offset", "concept",
-        F.posexplode(F.col("body.units")[SHARES_UNIT]).alias("pos", "e"),
+    taxonomy = F.col("facts").getField(FACTS_TAXONOMY)
+    if concepts is None:
+        concept_rows = docs.select(
+            F.col("cik"), offset.cast("long").alias("offset"),
+            F.explode(taxonomy).alias("concept", "body"),
+        ).select("cik", "offset", "concept", F.col("body.units")[SHARES_UNIT].alias("entries"))
+    else:
+        listed = F.array(*[
+            F.struct(F.lit(c).alias("concept"),
+                     taxonomy.getField(c).getField("units").getField(SHARES_UNIT).alias("entries"))
+            for c in concepts
+        ])
+        concept_rows = docs.select(
+            F.col("cik"), offset.cast("long").alias("offset"), F.explode(listed).alias("c")
+        ).select("cik", "offset", "c.concept", "c.entries")
+    entries = concept_rows.select(
+        "cik", "offset", "concept", F.posexplode("entries").alias("pos", "e"),
     )
     return entries.select(
         zero_pad_cik(F.col("cik")).alias("cik"),
@@ -95,20 +107,28 @@ def flatten_company_facts(docs: DataFrame) -> DataFrame:
     )
 
 
-def read_company_facts(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def read_company_facts(
+    spark: SparkSession,
+    path: str,
+    multi_line: bool = True,
+    concepts: list[str] | None = SHARE_CONCEPTS,
+) -> DataFrame:
     """Read company-facts JSON (one document per file, or JSON Lines).
 
-    The CIK comes from the document's ``cik`` field, or failing that from a
-    ``CIK##########`` file name.  For very many small files, convert once to
-    JSON Lines or Parquet of ``flatten_company_facts`` output.
+    Only the share counts of ``concepts`` are parsed (``None`` reads every
+    concept of the taxonomy as a map).  The CIK comes from the document's
+    ``cik`` field, or failing that from a ``CIK##########`` file name.  For
+    very many small files, convert once to JSON Lines or Parquet of the
+    flattened rows.
     """
-    docs = spark.read.schema(COMPANY_FACTS).json(path, multiLine=multi_line)
+    schema = COMPANY_FACTS if concepts is None else company_facts_schema(concepts, FACTS_TAXONOMY, SHARES_UNIT)
+    docs = spark.read.schema(schema).json(path, multiLine=multi_line)
     from_name = F.regexp_extract(F.col("_metadata.file_path"), r"CIK(\d+)", 1)
     docs = docs.withColumn(
         "cik",
         F.coalesce(F.col("cik").cast("string"), F.when(from_name != "", from_name)),
     )
-    return flatten_company_facts(docs)
+    return flatten_company_facts(docs, concepts)
 
 
 def read_price_history(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
