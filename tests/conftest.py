@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -15,7 +14,6 @@ def spark():
         "local[4]",
         app_name="daybook-tests",
         shuffle_partitions=4,
-        extra_conf={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="daybook-test-ckpt-")},
     )
     yield session
     session.stop()

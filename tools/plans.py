@@ -10,7 +10,6 @@ from __future__ import annotations
 import os
 import re
 import sys
-import tempfile
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -36,7 +35,6 @@ COUNTED = [
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = get_session("local[8]", shuffle_partitions=8, extra_conf={
-        "spark.checkpoint.dir": tempfile.mkdtemp(prefix="daybook-plans-"),
         "spark.sql.maxMetadataStringLength": "100000"})
     print(f"# Executed plans of the registered queries ({os.path.basename(sf_dir)}, AQE final plans)\n")
     print("Generated by `python tools/plans.py`. Counts are operators in the final physical plan "
