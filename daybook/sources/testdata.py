@@ -23,7 +23,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from daybook.functions import zero_pad_cik
+from daybook.functions import date_key, zero_pad_cik
 
 # Date windows used with the testdata (history end is exclusive,
 # filing window inclusive).
@@ -214,7 +214,7 @@ def event_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.select(
         F.concat(F.lit("U"), F.col("user_id").cast("string")).alias("ticker"),
         F.col("event_type").alias("source"),
-        (F.year("ts") * 10000 + F.month("ts") * 100 + F.dayofmonth("ts")).cast("int").alias("date_key"),
+        date_key("ts").alias("date_key"),
         F.col("value").alias("stock_open"),
         F.col("value").alias("stock_high"),
         F.col("value").alias("stock_low"),
@@ -229,5 +229,5 @@ def event_signups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.groupBy(
         F.concat(F.lit("U"), F.col("user_id").cast("string")).alias("ticker"),
         zero_pad_cik(F.col("user_id")).alias("cik"),
-        (F.year("ts") * 10000 + F.month("ts") * 100 + F.dayofmonth("ts")).cast("int").alias("date_key"),
+        date_key("ts").alias("date_key"),
     ).agg(F.count(F.lit(1)).alias("shares_outstanding"))
