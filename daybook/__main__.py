@@ -1,7 +1,8 @@
 """Command line: build warehouse tables from a landing folder.
 
     python -m daybook --landing DIR --out DIR [--start 2024-01-01] [--end 2024-12-31]
-                      [--tables equity|date|all|name,name] [--partition-by-year] [--preview N]
+                      [--tables equity|date|all|name,name] [--partition-by-year]
+                      [--history-format parquet|csv] [--preview N]
 
 Prints one line per table with the counts gathered while it was written.
 """
@@ -28,6 +29,8 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--end", default="2024-12-31", type=date.fromisoformat)
     ap.add_argument("--tables", default="all")
     ap.add_argument("--partition-by-year", action="store_true")
+    ap.add_argument("--history-format", choices=["parquet", "csv"], default="parquet",
+                    help="price/FX history as Parquet, or one CSV per ticker/symbol")
     ap.add_argument("--preview", type=int, default=0, help="show the first N rows of each table")
     ap.add_argument("--master", default=None)
     args = ap.parse_args(argv)
@@ -36,7 +39,8 @@ def main(argv: list[str] | None = None) -> None:
     spark = get_session(args.master, app_name="daybook-build")
     try:
         report = build_all(spark, args.landing, args.out, args.start, args.end,
-                           partition_by_year=args.partition_by_year, tables=tables)
+                           partition_by_year=args.partition_by_year, tables=tables,
+                           history_format=args.history_format)
         for name, counts in report.items():
             print(json.dumps({"table": name, **counts}))
             if args.preview:

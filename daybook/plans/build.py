@@ -6,8 +6,11 @@ Landing folder layout (all optional except what a table needs)::
     currency_pairs.csv     ``currency,transaction_currency``
     company_tickers.json   company→CIK document(s)
     companyfacts/          company-facts JSON, one document per file
-    prices/                price history (Parquet: ticker, day, open, high, low, close, volume)
-    fx/                    FX history (Parquet: symbol, day, close)
+    prices/                price history: Parquet (ticker, day, open, high, low, close, volume),
+                           or with history_format="csv": one <TICKER>.csv per ticker
+                           (Date,Open,High,Low,Close,Volume,...)
+    fx/                    FX history: Parquet (symbol, day, close), or one <SYMBOL>.csv
+                           per symbol (Date,...,Close,...), e.g. USDJPY=X.csv
 
 Order: calendar; assets → {daily prices, filings} → extended; pairs → daily
 FX.  ``tables`` selects a narrower run (``EQUITY_TABLES``, ``DATE_TABLES``);
@@ -49,7 +52,9 @@ from daybook.sources import (
     read_company_facts,
     read_currency_pairs,
     read_fx_history,
+    read_fx_history_csv_per_symbol,
     read_price_history,
+    read_price_history_csv_per_ticker,
     read_tickers,
 )
 
@@ -102,6 +107,7 @@ def build_all(
     partition_by_year: bool = False,
     tables: list[str] | None = None,
     with_dependencies: bool = True,
+    history_format: str = "parquet",
 ) -> dict[str, dict[str, int]]:
     """Build the tables (all, or ``tables`` and what they need); return the
     per-table counts gathered during the writes.
@@ -141,8 +147,21 @@ def build_all(
         pairs = currency_pairs(read_currency_pairs(spark, land("currency_pairs.csv")))
         return write_table(pairs, path("currency_pairs_table"), contract=CURRENCY_PAIRS_TABLE)
 
+    if history_format not in ("parquet", "csv"):
+        raise ValueError("history_format must be 'parquet' or 'csv'")
+
+    def price_history():
+        if history_format == "csv":
+            return read_price_history_csv_per_ticker(spark, land("prices"))
+        return read_price_history(spark, land("prices"))
+
+    def fx_history():
+        if history_format == "csv":
+            return read_fx_history_csv_per_symbol(spark, land("fx"))
+        return read_fx_history(spark, land("fx"))
+
     def build_daily_table():
-        df, by = part(daily_prices(read_price_history(spark, land("prices")), tickers(), start, end))
+        df, by = part(daily_prices(price_history(), tickers(), start, end))
         return write_table(
             df, path("daily_table"), partition_by=by, sort_within=["ticker", "date_key"],
             contract=DAILY_TABLE,
@@ -162,7 +181,7 @@ def build_all(
         )
 
     def build_daily_currency_table():
-        fx = daily_fx(read_fx_history(spark, land("fx")), written("currency_pairs_table"), start, end)
+        fx = daily_fx(fx_history(), written("currency_pairs_table"), start, end)
         df, by = part(fx)
         return write_table(
             df,

@@ -146,3 +146,28 @@ def test_command_line(spark):
     assert [x["table"] for x in lines] == ["asset_table", "daily_table", "edgar_10q_table",
                                            "equity_table_extended"]
     assert lines[-1]["missing_filing"] == 4
+
+
+def test_build_all_from_per_ticker_csv_history(spark):
+    root = tempfile.mkdtemp(prefix="landing-csv-")
+    out = tempfile.mkdtemp(prefix="warehouse-")
+    _land(spark, root)
+    os.makedirs(os.path.join(root, "prices_csv"))
+    for t in ("AAPL", "NVDA"):
+        with open(os.path.join(root, "prices_csv", f"{t}.csv"), "w") as fh:
+            fh.write("Date,Open,High,Low,Close,Volume,Dividends,Stock Splits\n"
+                     "2024-01-02 00:00:00-05:00,1,2,0.5,1.5,100,0,0\n"
+                     "2024-04-01 00:00:00-04:00,1,2,0.5,190,100,0,0\n")
+    os.makedirs(os.path.join(root, "fx_csv"))
+    with open(os.path.join(root, "fx_csv", "USDJPY=X.csv"), "w") as fh:
+        fh.write("Date,Open,High,Low,Close,Volume\n2024-01-02 00:00:00+00:00,1,1,1,141.0,0\n")
+    csv_root = tempfile.mkdtemp(prefix="landing-csv2-")
+    for name in ("tickers.csv", "currency_pairs.csv", "company_tickers.json", "companyfacts"):
+        os.symlink(os.path.join(root, name), os.path.join(csv_root, name))
+    os.symlink(os.path.join(root, "prices_csv"), os.path.join(csv_root, "prices"))
+    os.symlink(os.path.join(root, "fx_csv"), os.path.join(csv_root, "fx"))
+    report = build_all(spark, csv_root, out, date(2024, 1, 1), date(2024, 12, 31), history_format="csv")
+    assert report["daily_table"]["rows"] == 4
+    assert report["daily_currency_table"]["rows"] == 1
+    ext = {(r.ticker, r.date_key): r for r in spark.read.parquet(os.path.join(out, "equity_table_extended")).collect()}
+    assert ext[("AAPL", 20240401)].market_cap == 190.0 * 15500000000
