@@ -15,11 +15,12 @@ Per company document:
    the largest (period, filing key), ties to the first entry; it keeps its own
    early ``date_key`` so the as-of join has a value from day one.
 
-Plan: steps 2–4 are one grouped ``max`` over ``(cik, concept, period-or-0)``
-on a struct ordered as the rule wants, computed for every concept.  It is a
-partial (map-side) aggregate, so a company with a huge history is reduced
-before the shuffle.  The concept choice is another partial aggregate per
-``cik``; the two small results are joined.  The ticker→CIK list is joined
+Plan: one partial (map-side) aggregate over ``(cik, concept, period-or-0)``
+computes, for every concept, the best row of each period by a ``max`` on a
+struct ordered as the rule wants, plus whether the group holds a 10-Q or a
+10-K; a company with a huge history is reduced before the shuffle, and the
+facts are read once.  The concept choice is a window per CIK over that
+small result.  The ticker→CIK list is joined
 last, which keeps the list's multiplicity and serves two tickers of one CIK
 from one computation.
 """
@@ -28,7 +29,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from daybook.functions import filed_key, iso_key, truncate_to_long
@@ -61,50 +62,71 @@ def concept_choice(facts: DataFrame, concepts: list[str] = SHARE_CONCEPTS) -> Da
     return ranked.groupBy("cik").agg(chosen.alias("chosen")).where(F.col("chosen").isNotNull())
 
 
-def select_filings(
+def filing_periods(
     facts: DataFrame,
     start: date,
     end: date,
     concepts: list[str] = SHARE_CONCEPTS,
 ) -> DataFrame:
-    """``cik, date_key, shares_outstanding`` from flat company facts.
-
-    ``facts`` has ``cik, concept, pos, form, end, filed, val``.
+    """One pass over the facts: ``cik, prio, g, b, q, k`` per period group.
+
+    ``prio`` is the 1-based concept index; ``g`` the period (0 for all
+    pre-start periods, NULL for rows that fail a row filter); ``b`` the best
+    valid row of the group as ``struct(dk, fk, neg_pos, shares)``, ordered as
+    the rule wants (period, filing key, first in document order); ``q`` /
+    ``k`` whether the group holds any 10-Q / 10-K.  Only 10-Q and 10-K rows
+    can affect either the concept choice or the selection, so the rest are
+    dropped at the scan.  A partial (map-side) aggregate.
     """
     start_key, end_key = _key(start), _key(end)
     prio = F.array_position(F.array(*[F.lit(c) for c in concepts]), F.col("concept"))
-    entries = facts.where(
-        F.col("form").isin(QUARTERLY_FORM, ANNUAL_FORM)
-        & F.col("end").isNotNull()
-        & (F.col("end") != "")
-        & F.col("val").isNotNull()
-    ).select(
+    rows = facts.where(F.col("form").isin(QUARTERLY_FORM, ANNUAL_FORM)).select(
         "cik",
+        "form",
         prio.alias("prio"),
         iso_key("end").alias("dk"),
         filed_key("filed").alias("fk"),
         (-F.col("pos")).alias("neg_pos"),
         truncate_to_long("val").alias("shares"),
-    )
-    entries = entries.where(
-        (F.col("prio") > 0)
-        & F.col("dk").isNotNull()
+    ).where(F.col("prio") > 0)
+    valid = (
+        F.col("dk").isNotNull()
         & F.col("fk").isNotNull()
         & F.col("shares").isNotNull()
         & (F.col("dk") <= end_key)
     )
-    # One group per in-range period; all pre-start periods share group 0,
-    # where the struct order (period, filing key, -pos) picks the anchor.
-    group = F.when(F.col("dk") < start_key, F.lit(0)).otherwise(F.col("dk"))
-    best = entries.groupBy("cik", "prio", group.alias("g")).agg(
-        F.max(F.struct("dk", "fk", "neg_pos", "shares")).alias("b")
+    group = F.when(valid, F.when(F.col("dk") < start_key, F.lit(0)).otherwise(F.col("dk")))
+    return rows.groupBy("cik", "prio", group.alias("g")).agg(
+        F.max(F.when(valid, F.struct("dk", "fk", "neg_pos", "shares"))).alias("b"),
+        F.bool_or(F.col("form") == QUARTERLY_FORM).alias("q"),
+        F.bool_or(F.col("form") == ANNUAL_FORM).alias("k"),
+    )
+
+
+def select_filings(
+    facts: DataFrame,
+    start: date,
+    end: date,
+    concepts: list[str] = SHARE_CONCEPTS,
+) -> DataFrame:
+    """``cik, date_key, shares_outstanding`` from flat company facts.
+
+    ``facts`` has ``cik, concept, pos, form, end, filed, val``.  The facts
+    are aggregated once (``filing_periods``); the concept choice is a window
+    per CIK over those aggregated groups (one row per concept and period, so
+    bounded by concepts × periods, never by the number of filings).
+    """
+    periods = filing_periods(facts, start, end, concepts)
+    per_cik = Window.partitionBy("cik")
+    chosen = F.coalesce(
+        F.min(F.when(F.col("q"), F.col("prio"))).over(per_cik),
+        F.min(F.when(F.col("k"), F.col("prio"))).over(per_cik),
     )
-    choice = concept_choice(facts, concepts)
-    picked = best.join(
-        choice, (best["cik"] == choice["cik"]) & (best["prio"] == choice["chosen"])
+    picked = periods.withColumn("chosen", chosen).where(
+        (F.col("prio") == F.col("chosen")) & F.col("b").isNotNull()
     )
     return picked.select(
-        best["cik"].alias("cik"),
+        "cik",
         F.col("b.dk").cast("int").alias("date_key"),
         F.col("b.shares").alias("shares_outstanding"),
     )
