@@ -95,3 +95,33 @@ def test_plan_has_no_pair_enumeration(spark, name):
             assert "partial_" in feeder or "AQEShuffleRead" in feeder or (
                 name == "asset_dimension" and "HashAggregate" in " ".join(lines[i + 1:i + 4])
             ), "\n".join(lines[i - 2:i + 4])
+
+
+def _scans(spark, name):
+    plan = queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    return [line for line in plan.splitlines() if "FileScan" in line]
+
+
+def test_date_windows_reach_the_scan(spark):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "100000")
+    daily = [s for s in _scans(spark, "daily_prices") if "lineitem" in s]
+    assert daily and all("GreaterThanOrEqual(l_shipdate" in s and "LessThan(l_shipdate" in s for s in daily)
+    fx = [s for s in _scans(spark, "daily_fx") if "events" in s]
+    assert fx and all("GreaterThanOrEqual(ts" in s for s in fx)
+
+
+@pytest.mark.parametrize("name", sorted(queries()))
+def test_scans_read_only_needed_columns(spark, name):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "100000")
+    widths = {"lineitem": 11, "orders": 6, "part": 6, "events": 6}
+    for scan in _scans(spark, name):
+        for table, width in widths.items():
+            if f"/{table}.parquet" in scan:
+                cols = scan.split("FileScan parquet [", 1)[1].split("]", 1)[0].split(",")
+                assert len(cols) < width, (table, cols)
+
+
+def test_calendar_reads_one_column(spark):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "100000")
+    scans = _scans(spark, "trading_calendar")
+    assert len(scans) == 1 and "FileScan parquet [o_orderdate" in scans[0]
