@@ -176,6 +176,37 @@ f AS (
   FROM events WHERE event_type = 'signup' GROUP BY ALL
 )"""
 
+ORDER_EXTENDED = """
+q AS (
+  SELECT 'C' || CAST(o_custkey AS VARCHAR) AS ticker, o_orderpriority AS source,
+         CAST(strftime(CAST(o_orderdate AS DATE), '%Y%m%d') AS INTEGER) AS date_key,
+         o_totalprice AS stock_open, o_totalprice AS stock_high, o_totalprice AS stock_low,
+         o_totalprice AS stock_close, o_orderkey AS volume
+  FROM orders
+),
+d AS (
+  SELECT ticker, source, date_key, stock_open, stock_high, stock_low, stock_close, volume FROM (
+    SELECT *, row_number() OVER (PARTITION BY ticker, date_key
+        ORDER BY source NULLS FIRST, stock_open NULLS FIRST, stock_high NULLS FIRST,
+                 stock_low NULLS FIRST, stock_close NULLS FIRST, volume NULLS FIRST) AS rn
+    FROM q) WHERE rn = 1
+),
+f AS (
+  SELECT 'C' || CAST(o_custkey AS VARCHAR) AS ticker,
+         CASE WHEN length(CAST(o_custkey AS VARCHAR)) >= 10 THEN CAST(o_custkey AS VARCHAR)
+              ELSE lpad(CAST(o_custkey AS VARCHAR), 10, '0') END AS cik,
+         CAST(strftime(CAST(o_orderdate AS DATE), '%Y%m%d') AS INTEGER) AS date_key,
+         count(*) AS shares_outstanding
+  FROM orders WHERE o_orderstatus = 'F' GROUP BY ALL
+)"""
+
+ASOF_SELECT = """
+SELECT d.ticker, d.source, d.date_key, d.stock_open, d.stock_high, d.stock_low, d.stock_close,
+       d.volume, f.shares_outstanding AS edgar_shares_outstanding,
+       d.stock_close * f.shares_outstanding AS market_cap,
+       f.date_key AS edgar_10q_date_key, f.cik AS edgar_cik
+FROM d ASOF LEFT JOIN f ON d.ticker = f.ticker AND d.date_key >= f.date_key"""
+
 ORACLE_SQL: dict[str, str] = {
     "asof_market_cap": EXTENDED + "\nSELECT * FROM extended",
     "asof_market_cap_monthly": EXTENDED + "\nSELECT * FROM extended",
@@ -216,6 +247,7 @@ SELECT d.ticker, d.source, d.date_key, d.stock_open, d.stock_high, d.stock_low,
        d.stock_close * f.shares_outstanding AS market_cap,
        f.date_key AS edgar_10q_date_key, f.cik AS edgar_cik
 FROM d ASOF LEFT JOIN f ON d.ticker = f.ticker AND d.date_key >= f.date_key""",
+    "latest_per_customer": f"WITH {ORDER_EXTENDED.strip()}{ASOF_SELECT}",
     "coverage_report": EXTENDED + f""",
 {CALENDAR.strip()}
 SELECT 'equity_table_extended' AS "table", count(*) AS total_rows,

@@ -98,6 +98,11 @@ def q_latest_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return equity_extended(td.event_quotes(spark, sf_dir), td.event_signups(spark, sf_dir))
 
 
+def q_latest_per_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Extended table over orders keyed by (customer, order day), which repeats."""
+    return equity_extended(td.order_quotes(spark, sf_dir), td.finished_orders(spark, sf_dir))
+
+
 def q_trading_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Calendar over the order-date range of ``orders`` (bounds found by Spark)."""
     bounds = td.table(spark, sf_dir, "orders").agg(
@@ -137,6 +142,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "trading_calendar": q_trading_calendar,
     "open_days": q_open_days,
     "latest_per_key": q_latest_per_key,
+    "latest_per_customer": q_latest_per_customer,
     "missing_filings": q_missing_filings,
     "coverage_report": q_coverage_report,
 }

@@ -236,3 +236,29 @@ def event_signups(spark: SparkSession, sf_dir: str) -> DataFrame:
         zero_pad_cik(F.col("user_id")).alias("cik"),
         date_key("ts").alias("date_key"),
     ).agg(F.count(F.lit(1)).alias("shares_outstanding"))
+
+
+def order_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily-table-shaped rows from ``orders``: ticker = ``C<custkey>``, one row
+    per order (a customer can order twice a day), price = total price."""
+    o = table(spark, sf_dir, "orders")
+    return o.select(
+        F.concat(F.lit("C"), F.col("o_custkey").cast("string")).alias("ticker"),
+        F.col("o_orderpriority").alias("source"),
+        date_key("o_orderdate").alias("date_key"),
+        F.col("o_totalprice").alias("stock_open"),
+        F.col("o_totalprice").alias("stock_high"),
+        F.col("o_totalprice").alias("stock_low"),
+        F.col("o_totalprice").alias("stock_close"),
+        F.col("o_orderkey").alias("volume"),
+    )
+
+
+def finished_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shares-table-shaped rows: finished orders per (customer, day)."""
+    o = table(spark, sf_dir, "orders").where(F.col("o_orderstatus") == "F")
+    return o.groupBy(
+        F.concat(F.lit("C"), F.col("o_custkey").cast("string")).alias("ticker"),
+        zero_pad_cik(F.col("o_custkey")).alias("cik"),
+        date_key("o_orderdate").alias("date_key"),
+    ).agg(F.count(F.lit(1)).alias("shares_outstanding"))

@@ -22,6 +22,7 @@ CONTRACTS = {
     "asof_market_cap": EQUITY_EXTENDED_TABLE,
     "asof_market_cap_monthly": EQUITY_EXTENDED_TABLE,
     "latest_per_key": EQUITY_EXTENDED_TABLE,
+    "latest_per_customer": EQUITY_EXTENDED_TABLE,
     "missing_filings": EQUITY_EXTENDED_TABLE,
     "shares_outstanding": SHARES_TABLE,
     "shares_outstanding_json": SHARES_TABLE,
