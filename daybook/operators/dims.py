@@ -65,13 +65,15 @@ def asset_dimension(tickers: DataFrame) -> DataFrame:
 
 
 def cik_map(entries: DataFrame) -> DataFrame:
-    """``ticker, cik`` from company→CIK entries ``ticker, cik_str, pos``.
+    """``ticker, cik`` from company→CIK entries ``ticker, cik_str, pos``
+    (and ``doc`` when the mapping spans several files).
 
     A ticker listed twice resolves to its last entry in document order.
     CIKs are zero-padded to 10 characters and never truncated.  A partial
     (map-side) aggregate, so a repeated ticker costs nothing extra.
     """
-    last = entries.groupBy("ticker").agg(F.max_by("cik_str", "pos").alias("cik_str"))
+    order = F.struct("doc", "pos") if "doc" in entries.columns else F.col("pos")
+    last = entries.groupBy("ticker").agg(F.max_by("cik_str", order).alias("cik_str"))
     return last.select("ticker", zero_pad_cik("cik_str").alias("cik"))
 
 

@@ -176,6 +176,14 @@ f AS (
   FROM events WHERE event_type = 'signup' GROUP BY ALL
 )"""
 
+CIK_MAP = """
+SELECT ticker, CASE WHEN length(s) >= 10 THEN s ELSE lpad(s, 10, '0') END AS cik
+FROM (
+  SELECT p_name AS ticker,
+         CAST(p_partkey + CASE WHEN p_partkey % 7 = 0 THEN 10000000000 ELSE 0 END AS VARCHAR) AS s,
+         row_number() OVER (PARTITION BY p_name ORDER BY p_partkey DESC) AS rn
+  FROM part) WHERE rn = 1"""
+
 ORDER_EXTENDED = """
 q AS (
   SELECT 'C' || CAST(o_custkey AS VARCHAR) AS ticker, o_orderpriority AS source,
@@ -228,13 +236,8 @@ SELECT p.currency, p.transaction_currency,
 FROM pairs p JOIN fx ON fx.symbol = p.currency || p.transaction_currency || '=X' AND fx.rn = 1
 WHERE fx.day >= DATE '2024-01-01' AND fx.day < DATE '2024-12-31'""",
     "currency_pairs": f"WITH {PAIRS.strip()}\nSELECT * FROM pairs",
-    "cik_map": """
-SELECT ticker, CASE WHEN length(s) >= 10 THEN s ELSE lpad(s, 10, '0') END AS cik
-FROM (
-  SELECT p_name AS ticker,
-         CAST(p_partkey + CASE WHEN p_partkey % 7 = 0 THEN 10000000000 ELSE 0 END AS VARCHAR) AS s,
-         row_number() OVER (PARTITION BY p_name ORDER BY p_partkey DESC) AS rn
-  FROM part) WHERE rn = 1""",
+    "cik_map": CIK_MAP,
+    "cik_map_json": CIK_MAP,
     "asset_dimension": """
 SELECT row_number() OVER (ORDER BY p_name NULLS FIRST) - 1 AS asset_id,
        p_name AS ticker, 'equity' AS asset_class

@@ -25,7 +25,7 @@ from daybook.operators import (
 )
 from daybook.operators.trading_days import date_spine_between
 from daybook.session import scratch_path
-from daybook.sources import read_company_facts, read_currency_pairs, read_tickers
+from daybook.sources import read_cik_document, read_company_facts, read_currency_pairs, read_tickers
 from daybook.sources import testdata as td
 
 
@@ -40,6 +40,13 @@ def q_cik_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cik_map(td.cik_entries_by_name(spark, sf_dir))
 
 
+def q_cik_map_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Same map, with the entries landed as company→CIK JSON objects and read back."""
+    path = scratch_path(spark, "company_tickers_json")
+    td.cik_documents(td.cik_entries_by_name(spark, sf_dir)).write.partitionBy("part").text(path)
+    return cik_map(read_cik_document(spark, path))
+
+
 def q_currency_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs land as a CSV file in the shared scratch folder, then are read back."""
     path = scratch_path(spark, "currency_pairs_csv")
@@ -138,6 +145,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "daily_fx": q_daily_fx,
     "currency_pairs": q_currency_pairs,
     "cik_map": q_cik_map,
+    "cik_map_json": q_cik_map_json,
     "asset_dimension": q_asset_dimension,
     "trading_calendar": q_trading_calendar,
     "open_days": q_open_days,

@@ -50,16 +50,23 @@ def read_currency_pairs(spark: SparkSession, path: str, strict_header: bool = Tr
 
 
 def read_cik_document(spark: SparkSession, path: str) -> DataFrame:
-    """Company→CIK document(s): one JSON object ``{"0": {cik_str, ticker, title}, ...}``.
-
-    Returns ``pos, ticker, cik_str, title`` in document order (``pos``), so a
-    ticker listed twice can be resolved "last one wins".  Each file is one
-    object and is parsed by one task; the published mapping is a single
-    bounded file, and many files read in parallel.
+    """Company→CIK document(s): JSON objects ``{"0": {cik_str, ticker, title}, ...}``.
+
+    Returns ``doc, pos, ticker, cik_str, title``: ``doc`` is the file path and
+    ``pos`` the position in that file's object, so (``doc``, ``pos``) is the
+    document order and a ticker listed twice resolves "last one wins".  Each
+    file is one object, parsed by one task; the published mapping is a
+    single bounded file, and a mapping split over several files (in path
+    order) is read in parallel.
     """
-    docs = spark.read.text(path, wholetext=True)
-    entries = docs.select(F.posexplode(F.map_values(F.from_json("value", CIK_DOCUMENT_DDL))))
+    docs = spark.read.text(path, wholetext=True).select(
+        F.col("_metadata.file_path").alias("doc"), "value"
+    )
+    entries = docs.select(
+        "doc", F.posexplode(F.map_values(F.from_json("value", CIK_DOCUMENT_DDL)))
+    )
     return entries.select(
+        "doc",
         F.col("pos").cast("long").alias("pos"),
         F.col("col.ticker").alias("ticker"),
         F.col("col.cik_str").alias("cik_str"),

@@ -172,6 +172,24 @@ def cik_entries_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def cik_documents(entries: DataFrame, chunk: int = DOC_CHUNK) -> DataFrame:
+    """Company→CIK entries as JSON objects of at most ``chunk`` entries each.
+
+    Columns ``value`` (the object text) and ``part`` (zero-padded chunk
+    number): written with ``partitionBy("part")`` every object lands in its
+    own file, and path order is document order.
+    """
+    part = F.lpad(F.floor(F.col("pos") / F.lit(chunk)).cast("string"), 12, "0")
+    grouped = entries.groupBy(part.alias("part")).agg(
+        F.sort_array(F.collect_list(F.struct("pos", "ticker", "cik_str"))).alias("es")
+    )
+    obj = F.map_from_entries(F.transform("es", lambda e: F.struct(
+        e["pos"].cast("string"),
+        F.struct(e["cik_str"].alias("cik_str"), e["ticker"].alias("ticker"), F.lit("").alias("title")),
+    )))
+    return grouped.select(F.to_json(obj).alias("value"), "part")
+
+
 def cik_entries_by_part(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Company→CIK entries for part-key tickers (CIK = part key)."""
     part = table(spark, sf_dir, "part")
