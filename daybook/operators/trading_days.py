@@ -61,10 +61,11 @@ def _fixed_observed(d: Column, y: Column, month: int, day: int, saturday_shift:
     h = F.make_date(y, F.lit(month), F.lit(day))
     wd = F.weekday(d)
     on_day = (d == h) & (wd < 5)
-    sunday = (wd == 0) & (F.date_sub(d, 1) == h)
+    monday_after_sunday = (wd == 0) & (F.date_sub(d, 1) == h)
     if not saturday_shift:
-        return on_day | sunday
-    return on_day | sunday | ((wd == 4) & (F.date_add(d, 1) == h))
+        return on_day | monday_after_sunday
+    friday_before_saturday = (wd == 4) & (F.date_add(d, 1) == h)
+    return on_day | monday_after_sunday | friday_before_saturday
 
 
 def _nth_weekday(d: Column, month: int, weekday: int, n: int) -> Column:
