@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from daybook.functions import filed_key, iso_key, truncate_to_long
+from daybook.operators.sizing import broadcast_if_small
 
 # The us-gaap share-count concepts, in order of preference.
 SHARE_CONCEPTS = [
@@ -148,6 +149,6 @@ def shares_outstanding(
     """
     listed = tickers.select("ticker").join(ciks.select("ticker", "cik"), "ticker")
     selected = select_filings(facts, start, end, concepts)
-    return listed.join(selected, "cik").select(
+    return broadcast_if_small(listed).join(selected, "cik").select(
         "ticker", "cik", "date_key", "shares_outstanding"
     )

@@ -1,0 +1,21 @@
+"""Broadcast a join side only behind a check of its size."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Most rows a list-like join side (tickers, pairs, ticker→CIK) may have to be
+# broadcast; beyond it the join stays a shuffle join (AQE still splits skew).
+MAX_BROADCAST_ROWS = 1_000_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """``broadcast(df)`` when ``df`` has at most ``max_rows`` rows, else ``df``.
+
+    The check counts at most ``max_rows + 1`` rows (the scan stops early) and
+    returns one number to the driver, so it costs little even when the side
+    turns out to be large.
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df

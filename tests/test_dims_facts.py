@@ -129,3 +129,11 @@ def test_cluster_conf_sizes_shuffles():
     conf = cluster_conf(100 * (1 << 40), cores=8000)           # 100 TB on 8000 cores
     assert int(conf["spark.sql.shuffle.partitions"]) == 409600  # 100 TB / 256 MB
     assert int(cluster_conf(1 << 20, cores=64)["spark.sql.shuffle.partitions"]) == 128
+
+
+def test_broadcast_only_behind_a_size_check(spark):
+    from daybook.operators.sizing import broadcast_if_small
+    small = spark.range(10)
+    big = spark.range(1000)
+    assert "broadcast" in broadcast_if_small(small, 100)._jdf.queryExecution().analyzed().toString().lower()
+    assert broadcast_if_small(big, 100) is big
