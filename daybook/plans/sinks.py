@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -26,7 +28,7 @@ def write_table(
     With ``contract``, ``null_violations`` counts rows with a NULL in a
     column the contract declares non-null (Spark does not enforce it).
     """
-    obs = Observation(f"write_{abs(hash(path))}")
+    obs = Observation(f"write_{uuid.uuid4().hex}")
     metrics = [F.count(F.lit(1)).alias("rows")]
     metrics += [F.count_if(c).alias(name) for name, c in (flags or {}).items()]
     if contract is not None:

@@ -171,3 +171,12 @@ def test_build_all_from_per_ticker_csv_history(spark):
     assert report["daily_currency_table"]["rows"] == 1
     ext = {(r.ticker, r.date_key): r for r in spark.read.parquet(os.path.join(out, "equity_table_extended")).collect()}
     assert ext[("AAPL", 20240401)].market_cap == 190.0 * 15500000000
+
+
+def test_build_twice_in_one_session(spark):
+    root = tempfile.mkdtemp(prefix="landing-")
+    out = tempfile.mkdtemp(prefix="warehouse-")
+    _land(spark, root)
+    first = build_all(spark, root, out, date(2024, 1, 1), date(2024, 12, 31), tables=["date_table"])
+    second = build_all(spark, root, out, date(2024, 1, 1), date(2024, 12, 31), tables=["date_table"])
+    assert first == second == {"date_table": {"rows": 366, "open_days": 252, "null_violations": 0}}
