@@ -46,8 +46,10 @@ def asof_spine(
     payload: list[str],
     matched_key: str,
     bucket: Callable[[Column], Column] | None = None,
+    right_by: str | None = None,
 ) -> DataFrame:
     """One row per distinct left key with the matched right payload struct."""
+    rby = right_by or by
     key_type = left_keys.schema[left_on].dataType
     by_type = left_keys.schema[by].dataType
     match = F.struct(
@@ -55,9 +57,9 @@ def asof_spine(
     )
     # Right: one row per (by, key); ties keep the largest payload.
     r = (
-        right.where(F.col(by).isNotNull() & F.col(right_on).isNotNull())
+        right.where(F.col(rby).isNotNull() & F.col(right_on).isNotNull())
         .select(
-            F.col(by).cast(by_type).alias(_BY),
+            F.col(rby).cast(by_type).alias(_BY),
             F.col(right_on).cast(key_type).alias(_KEY),
             match.alias(_MATCH),
         )
@@ -134,11 +136,13 @@ def asof_join(
     matched_key: str = "matched_key",
     left_keys: DataFrame | None = None,
     bucket: Callable[[Column], Column] | None = None,
+    right_by: str | None = None,
 ) -> DataFrame:
     """Left rows (all, with multiplicity) + ``matched_key`` + ``payload`` columns.
 
-    ``by`` names the grouping column on both sides; ``left_on`` / ``right_on``
-    the ordered keys.  The right key is cast to the left key's type.
+    ``by`` names the grouping column (on the right too, unless ``right_by``
+    names it there); ``left_on`` / ``right_on`` the ordered keys.  The right
+    key and group are cast to the left side's types.
     ``left_keys`` may name a cheaper frame with the same distinct
     ``(by, left_on)`` values as ``left`` (e.g. the input of a dedup step).
     ``bucket`` (key → coarser, order-preserving key, e.g. the day of a
@@ -154,6 +158,7 @@ def asof_join(
         payload=payload,
         matched_key=matched_key,
         bucket=bucket,
+        right_by=right_by,
     )
     joined = left.join(
         spine,
