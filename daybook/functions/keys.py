@@ -71,9 +71,18 @@ def filed_key(s: Column | str) -> Column:
 
 
 def zero_pad_cik(c: Column | str) -> Column:
-    """Left-pad a CIK with zeros to 10 characters; longer values stay whole."""
+    """Left-pad a CIK with zeros to 10 characters; longer values stay whole.
+
+    Like Python's ``str.zfill(10)``: a leading sign stays in front of the
+    zeros.
+    """
     s = as_col(c).cast("string")
-    return F.when(F.length(s) >= 10, s).otherwise(F.lpad(s, 10, "0"))
+    signed = s.startswith("-") | s.startswith("+")
+    return (
+        F.when(F.length(s) >= 10, s)
+        .when(signed, F.concat(F.substring(s, 1, 1), F.lpad(F.substring(s, 2, 10), 9, "0")))
+        .otherwise(F.lpad(s, 10, "0"))
+    )
 
 
 def truncate_to_long(c: Column | str) -> Column:

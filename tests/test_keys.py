@@ -48,3 +48,13 @@ def test_examples(spark):
                                                 "2024-03-31.0", "2024-03-31T00", "", None]], "t string")
     got = [(None if r.k is None else int(r.k)) for r in df.select(iso_key("t").alias("k")).collect()]
     assert got == [20240331, 202431, 20240331, 1000, None, None, None, None]
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.one_of(st.integers(-10 ** 12, 10 ** 12).map(str),
+                          st.text(alphabet="0123456789+-", max_size=12)), min_size=1, max_size=40))
+def test_cik_padding_matches_zfill(spark, texts):
+    from daybook.functions import zero_pad_cik
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for r in df.select("t", zero_pad_cik("t").alias("p")).collect():
+        assert r.p == r.t.zfill(10), r.t
