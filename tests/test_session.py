@@ -59,3 +59,18 @@ def test_the_test_session_uses_the_configured_folder(spark):
     root = checkpoint_root(spark)
     if configured:
         assert configured.rstrip("/").split("/")[-1] in root
+
+
+class _ConnectSession:
+    def __init__(self, conf):
+        self.conf = _Conf(conf)
+
+    @property
+    def sparkContext(self):
+        raise RuntimeError("no SparkContext in a Connect session")
+
+
+def test_connect_session_reads_the_setting():
+    assert checkpoint_root(_ConnectSession({"spark.checkpoint.dir": "/shared/ckpt"})) == "/shared/ckpt"
+    with pytest.raises(RuntimeError):
+        checkpoint_root(_ConnectSession({"spark.master": "sc://cluster"}))
