@@ -32,6 +32,34 @@ COUNTED = [
 ]
 
 
+# What grows with the data in each query, and what bounds the rest.
+NOTES = {
+    "asof_market_cap": "Daily rows shuffle once by (ticker, day) (top-1 limit applied map-side); "
+                       "the as-of spine holds distinct keys only, its window is bounded by days per "
+                       "ticker; the final join reuses the left partitioning. Filings: one scan of the facts.",
+    "asof_market_cap_monthly": "As the flagship, with the forward fill split per (ticker, month) and a "
+                               "carry over one row per bucket.",
+    "shares_outstanding": "Facts read once; one partial aggregate per (CIK, concept, period); the concept "
+                          "choice is a window per CIK over aggregated groups; ticker list broadcast behind "
+                          "a row-count check. The testdata adapter's range sort spreads hot companies.",
+    "shares_outstanding_json": "As shares_outstanding; company-facts JSON read with a schema pruned to the "
+                               "listed concepts; documents hold at most 1000 entries.",
+    "daily_prices": "History filtered at the scan; the ticker list is broadcast after a row-count check, "
+                    "so the history is not shuffled by the join.",
+    "daily_fx": "As daily_prices, with the pair list broadcast after a row-count check.",
+    "currency_pairs": "A distinct over events (partial aggregate), a CSV round trip.",
+    "cik_map": "One partial aggregate per ticker (max_by position).",
+    "cik_map_json": "JSON objects of at most 1000 entries, one per file, read in parallel.",
+    "asset_dimension": "Range partitioning on (ticker, tie-breaker), checkpoint, per-partition offsets.",
+    "trading_calendar": "A global min/max (partial aggregates), then a per-row expression over the days.",
+    "open_days": "As trading_calendar plus a filter.",
+    "latest_per_key": "Top-1 per (user, day) with the limit applied map-side, then the as-of spine.",
+    "latest_per_customer": "As latest_per_key, over orders.",
+    "missing_filings": "The flagship plus a filter.",
+    "coverage_report": "The flagship and the calendar, each reduced by one global aggregate.",
+}
+
+
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = get_session("local[8]", shuffle_partitions=8, extra_conf={
@@ -45,6 +73,8 @@ def main() -> None:
         plan = df._jdf.queryExecution().executedPlan().toString()
         plan = plan.split("== Initial Plan ==")[0]  # keep the final plan only
         print(f"## {name}\n")
+        if name in NOTES:
+            print(f"_Scale:_ {NOTES[name]}\n")
         counts = [(label, len(re.findall(pat, plan))) for label, pat in COUNTED]
         print(", ".join(f"{label}: {n}" for label, n in counts if n) or "no shuffles")
         print()
