@@ -84,6 +84,8 @@ def test_build_all_partitioned_by_year(spark):
     assert os.path.isdir(os.path.join(out, "equity_table_extended", "year=2024"))
     df = spark.read.parquet(os.path.join(out, "equity_table_extended")).where("year = 2024")
     assert df.count() == 7
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(year" in plan and "(year" in plan   # pruned, not scanned
 
 
 def test_incremental_daily_prices(spark):
