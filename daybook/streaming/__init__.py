@@ -1,5 +1,9 @@
 """Incremental (available-now) runs of the daily fact builders."""
 
-from daybook.streaming.incremental import append_daily_fx, append_daily_prices
+from daybook.streaming.incremental import (
+    append_daily_fx,
+    append_daily_prices,
+    append_equity_extended,
+)
 
-__all__ = ["append_daily_fx", "append_daily_prices"]
+__all__ = ["append_daily_fx", "append_daily_prices", "append_equity_extended"]

@@ -16,8 +16,8 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from daybook.operators import daily_fx, daily_prices
-from daybook.schemas import FX_HISTORY, PRICE_HISTORY
+from daybook.operators import daily_fx, daily_prices, equity_extended
+from daybook.schemas import DAILY_TABLE, FX_HISTORY, PRICE_HISTORY
 from daybook.session import checkpoint_root
 
 
@@ -59,3 +59,34 @@ def append_daily_fx(
     """Append T6 rows for FX-history files landed since the last run."""
     stream = spark.readStream.schema(FX_HISTORY).parquet(history_dir)
     return _run(daily_fx(stream, pairs, start, end), out, checkpoint, "daily_fx")
+
+
+def append_equity_extended(
+    spark: SparkSession,
+    daily_dir: str,
+    filings_path: str,
+    out: str,
+    checkpoint: str | None = None,
+) -> StreamingQuery:
+    """Extend daily-table rows landed since the last run and append them.
+
+    Each micro-batch of new daily rows is joined (as-of) to the filings table
+    as it is at that moment and written to ``out/batch=<id>``; a retried
+    batch overwrites its own folder, so the output holds each batch once.
+    Rows extended earlier are not revisited when a filing for an older
+    period arrives later; the batch ``build_all`` recomputes everything.
+    Read the result with ``spark.read.parquet(out).drop("batch")``.
+    """
+    def extend(batch: DataFrame, batch_id: int) -> None:
+        filings = batch.sparkSession.read.parquet(filings_path)
+        extended = equity_extended(batch, filings)
+        extended.write.mode("overwrite").parquet(os.path.join(out, f"batch={batch_id}"))
+
+    ckpt = checkpoint or os.path.join(checkpoint_root(spark), "daybook-streams", "equity_extended")
+    stream = spark.readStream.schema(DAILY_TABLE).parquet(daily_dir)
+    return (
+        stream.writeStream.foreachBatch(extend)
+        .option("checkpointLocation", ckpt)
+        .trigger(availableNow=True)
+        .start()
+    )

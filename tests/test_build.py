@@ -182,3 +182,20 @@ def test_build_twice_in_one_session(spark):
     first = build_all(spark, root, out, date(2024, 1, 1), date(2024, 12, 31), tables=["date_table"])
     second = build_all(spark, root, out, date(2024, 1, 1), date(2024, 12, 31), tables=["date_table"])
     assert first == second == {"date_table": {"rows": 366, "open_days": 252, "null_violations": 0}}
+
+
+def test_incremental_equity_extended(spark):
+    from daybook.schemas import DAILY_TABLE, SHARES_TABLE
+    from daybook.streaming import append_equity_extended
+    root = tempfile.mkdtemp(prefix="stream-ext-")
+    daily_dir, filings, out = (os.path.join(root, x) for x in ("daily", "filings", "extended"))
+    spark.createDataFrame([("AAPL", "0000320193", 20231231, 10)], SHARES_TABLE).write.parquet(filings)
+    ckpt = os.path.join(root, "ckpt")
+    rows = [("AAPL", "yahoo_finance", 20240102, 1.0, 1.0, 1.0, 2.0, 5),
+            ("GME", "yahoo_finance", 20240102, 1.0, 1.0, 1.0, 2.0, 5)]
+    spark.createDataFrame(rows[:1], DAILY_TABLE).write.mode("append").parquet(daily_dir)
+    append_equity_extended(spark, daily_dir, filings, out, ckpt).awaitTermination()
+    spark.createDataFrame(rows[1:], DAILY_TABLE).write.mode("append").parquet(daily_dir)
+    append_equity_extended(spark, daily_dir, filings, out, ckpt).awaitTermination()
+    got = sorted((r.ticker, r.market_cap) for r in spark.read.parquet(out).drop("batch").collect())
+    assert got == [("AAPL", 20.0), ("GME", None)]
