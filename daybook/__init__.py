@@ -13,6 +13,33 @@ Layout
 ``streaming``  incremental (available-now) ingestion of newly landed history
 """
 
-from daybook.session import checkpoint_root, get_session, scratch_path
+from daybook.operators import (
+    asof_join,
+    asset_dimension,
+    cik_map,
+    currency_pairs,
+    daily_fx,
+    daily_prices,
+    equity_extended,
+    shares_outstanding,
+    trading_calendar,
+)
+from daybook.plans.build import build_all
+from daybook.session import checkpoint_root, cluster_conf, get_session, scratch_path
 
-__all__ = ["checkpoint_root", "get_session", "scratch_path"]
+__all__ = [
+    "asof_join",
+    "asset_dimension",
+    "build_all",
+    "checkpoint_root",
+    "cik_map",
+    "cluster_conf",
+    "currency_pairs",
+    "daily_fx",
+    "daily_prices",
+    "equity_extended",
+    "get_session",
+    "scratch_path",
+    "shares_outstanding",
+    "trading_calendar",
+]
