@@ -12,8 +12,11 @@ the work grows with the scale factor.
   return flag ‖ line status, form from the order priority, period end =
   order date, filed = ship date, value = quantity × 10⁶, document order by a
   total order within (CIK, concept).
-* company→CIK entries: ``part`` (some CIKs are 11 digits).
+* company→CIK entries: ``part`` (some CIKs are 11 digits), also as JSON
+  objects of bounded size.
 * currency pairs / FX history: ``events`` per (event type, user bucket).
+* daily-shaped rows with repeated (ticker, day) keys and share-shaped rows:
+  ``events`` per (user, day) and ``orders`` per (customer, order day).
 """
 
 from __future__ import annotations
