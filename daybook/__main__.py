@@ -31,6 +31,8 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--partition-by-year", action="store_true")
     ap.add_argument("--history-format", choices=["parquet", "csv"], default="parquet",
                     help="price/FX history as Parquet, or one CSV per ticker/symbol")
+    ap.add_argument("--facts-json-lines", action="store_true",
+                    help="company facts as JSON Lines instead of one document per file")
     ap.add_argument("--preview", type=int, default=0, help="show the first N rows of each table")
     ap.add_argument("--master", default=None)
     args = ap.parse_args(argv)
@@ -40,7 +42,8 @@ def main(argv: list[str] | None = None) -> None:
     try:
         report = build_all(spark, args.landing, args.out, args.start, args.end,
                            partition_by_year=args.partition_by_year, tables=tables,
-                           history_format=args.history_format)
+                           history_format=args.history_format,
+                           facts_json_lines=args.facts_json_lines)
         for name, counts in report.items():
             print(json.dumps({"table": name, **counts}))
             if args.preview:

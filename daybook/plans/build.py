@@ -5,7 +5,7 @@ Landing folder layout (all optional except what a table needs)::
     tickers.csv            ticker list (header ``ticker``)
     currency_pairs.csv     ``currency,transaction_currency``
     company_tickers.json   company→CIK document(s)
-    companyfacts/          company-facts JSON, one document per file
+    companyfacts/          company-facts JSON, one document per file (or JSON Lines)
     prices/                price history: Parquet (ticker, day, open, high, low, close, volume),
                            or with history_format="csv": one <TICKER>.csv per ticker
                            (Date,Open,High,Low,Close,Volume,...)
@@ -108,12 +108,15 @@ def build_all(
     tables: list[str] | None = None,
     with_dependencies: bool = True,
     history_format: str = "parquet",
+    facts_json_lines: bool = False,
 ) -> dict[str, dict[str, int]]:
     """Build the tables (all, or ``tables`` and what they need); return the
     per-table counts gathered during the writes.
 
     Without ``with_dependencies`` the tables a requested table reads must
-    already exist under ``out``.
+    already exist under ``out``.  ``facts_json_lines`` reads company facts
+    as JSON Lines (one document per line, e.g. after a bulk conversion)
+    instead of one document per file.
     """
     def path(name):
         return os.path.join(out, name)
@@ -169,7 +172,7 @@ def build_all(
 
     def build_edgar_10q_table():
         filings = shares_outstanding(
-            read_company_facts(spark, land("companyfacts")),
+            read_company_facts(spark, land("companyfacts"), multi_line=not facts_json_lines),
             tickers(),
             cik_map(read_cik_document(spark, land("company_tickers.json"))),
             start,
