@@ -2,6 +2,8 @@
 
 Every callable takes ``(spark, sf_dir)`` and returns a DataFrame (nothing is
 collected).  The matching DuckDB statements live in ``plans.oracle``.
+Queries over landed file formats (CSV, JSON) first land testdata-derived
+files in the shared scratch folder, once per session (``landed``).
 """
 
 from __future__ import annotations
@@ -29,10 +31,30 @@ from daybook.sources import read_cik_document, read_company_facts, read_currency
 from daybook.sources import testdata as td
 
 
+_LANDED: dict[tuple[int, str, str], tuple[SparkSession, str]] = {}
+
+
+def landed(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], None]) -> str:
+    """Path of a landed copy of testdata-derived files, written once per session.
+
+    Landing stands in for the extract job that drops files off; the queries
+    then only read them, as they would in production.  Later calls in the
+    same session reuse the files instead of landing another copy.
+    """
+    key = (id(spark), sf_dir, name)
+    hit = _LANDED.get(key)
+    if hit is None or hit[0] is not spark:
+        path = scratch_path(spark, name)
+        write(path)
+        hit = (spark, path)
+        _LANDED[key] = hit
+    return hit[1]
+
+
 def q_asset_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ticker list lands as a CSV file in the shared scratch folder, then is read back."""
-    path = scratch_path(spark, "tickers_csv")
-    td.tickers_by_name(spark, sf_dir).write.option("header", True).csv(path)
+    path = landed(spark, sf_dir, "tickers_csv", lambda p: td.tickers_by_name(spark, sf_dir)
+                  .write.option("header", True).csv(p))
     return asset_dimension(read_tickers(spark, path))
 
 
@@ -42,15 +64,15 @@ def q_cik_map(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_cik_map_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Same map, with the entries landed as company→CIK JSON objects and read back."""
-    path = scratch_path(spark, "company_tickers_json")
-    td.cik_documents(td.cik_entries_by_name(spark, sf_dir)).write.partitionBy("part").text(path)
+    path = landed(spark, sf_dir, "company_tickers_json", lambda p: td.cik_documents(
+        td.cik_entries_by_name(spark, sf_dir)).write.partitionBy("part").text(p))
     return cik_map(read_cik_document(spark, path))
 
 
 def q_currency_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs land as a CSV file in the shared scratch folder, then are read back."""
-    path = scratch_path(spark, "currency_pairs_csv")
-    td.currency_pairs_frame(spark, sf_dir).write.option("header", True).csv(path)
+    path = landed(spark, sf_dir, "currency_pairs_csv", lambda p: td.currency_pairs_frame(spark, sf_dir)
+                  .write.option("header", True).csv(p))
     return read_currency_pairs(spark, path)
 
 
@@ -81,8 +103,8 @@ def q_shares_outstanding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_shares_outstanding_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Same selection, with the facts landed as company-facts JSON documents."""
-    path = scratch_path(spark, "company_facts_json")
-    td.facts_documents(td.filing_facts(spark, sf_dir)).write.text(path)
+    path = landed(spark, sf_dir, "company_facts_json", lambda p: td.facts_documents(
+        td.filing_facts(spark, sf_dir)).write.text(p))
     facts = read_company_facts(spark, path, multi_line=False, concepts=td.TESTDATA_CONCEPTS)
     return _shares(spark, sf_dir, facts)
 
