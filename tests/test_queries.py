@@ -126,3 +126,18 @@ def test_calendar_reads_one_column(spark):
     spark.conf.set("spark.sql.maxMetadataStringLength", "100000")
     scans = _scans(spark, "trading_calendar")
     assert len(scans) == 1 and "FileScan parquet [o_orderdate" in scans[0]
+
+
+def test_landed_files_are_written_once_per_session(spark):
+    from daybook.plans.queries import landed
+    calls = []
+
+    def write(path):
+        calls.append(path)
+        spark.range(3).write.parquet(path)
+
+    first = landed(spark, SF, "probe", write)
+    second = landed(spark, SF, "probe", write)
+    other = landed(spark, SF + "/other", "probe", write)
+    assert first == second != other and len(calls) == 2
+    assert spark.read.parquet(first).count() == 3
