@@ -15,7 +15,10 @@ def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> Dat
 
     The check counts at most ``max_rows + 1`` rows (the scan stops early) and
     returns one number to the driver, so it costs little even when the side
-    turns out to be large.
+    turns out to be large.  A streaming side is returned as is (it cannot
+    be counted up front).
     """
+    if df.isStreaming:
+        return df
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df

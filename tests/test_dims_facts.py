@@ -137,3 +137,12 @@ def test_broadcast_only_behind_a_size_check(spark):
     big = spark.range(1000)
     assert "broadcast" in broadcast_if_small(small, 100)._jdf.queryExecution().analyzed().toString().lower()
     assert broadcast_if_small(big, 100) is big
+
+
+def test_broadcast_check_leaves_streams_alone(spark):
+    import tempfile as _tf
+    from daybook.operators.sizing import broadcast_if_small
+    d = _tf.mkdtemp(prefix="stream-side-")
+    spark.range(3).write.mode("overwrite").parquet(d)
+    stream = spark.readStream.schema("id long").parquet(d)
+    assert broadcast_if_small(stream, 10) is stream
