@@ -23,18 +23,22 @@ PRESETS = {"all": TABLES, "equity": EQUITY_TABLES, "date": DATE_TABLES}
 
 def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(prog="daybook", description=__doc__.splitlines()[0])
-    ap.add_argument("--landing", required=True)
-    ap.add_argument("--out", required=True)
-    ap.add_argument("--start", default="2024-01-01", type=date.fromisoformat)
-    ap.add_argument("--end", default="2024-12-31", type=date.fromisoformat)
-    ap.add_argument("--tables", default="all")
-    ap.add_argument("--partition-by-year", action="store_true")
+    ap.add_argument("--landing", required=True, help="folder with the landed input files")
+    ap.add_argument("--out", required=True, help="warehouse folder; each table goes to <out>/<table>")
+    ap.add_argument("--start", default="2024-01-01", type=date.fromisoformat,
+                    help="first day (calendar and filings inclusive, histories inclusive)")
+    ap.add_argument("--end", default="2024-12-31", type=date.fromisoformat,
+                    help="last day (calendar and filings inclusive, histories exclusive)")
+    ap.add_argument("--tables", default="all",
+                    help="all, equity, date, or a comma-separated list of table names")
+    ap.add_argument("--partition-by-year", action="store_true",
+                    help="write the daily, FX and extended tables partitioned by year")
     ap.add_argument("--history-format", choices=["parquet", "csv"], default="parquet",
                     help="price/FX history as Parquet, or one CSV per ticker/symbol")
     ap.add_argument("--facts-json-lines", action="store_true",
                     help="company facts as JSON Lines instead of one document per file")
     ap.add_argument("--preview", type=int, default=0, help="show the first N rows of each table")
-    ap.add_argument("--master", default=None)
+    ap.add_argument("--master", default=None, help="Spark master (default: from the environment)")
     args = ap.parse_args(argv)
 
     tables = PRESETS.get(args.tables) or [t.strip() for t in args.tables.split(",") if t.strip()]
