@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from daybook.schemas import contract_null_rows
+
 
 def write_table(
     df: DataFrame,
@@ -31,13 +33,9 @@ def write_table(
     obs = Observation(f"write_{uuid.uuid4().hex}")
     metrics = [F.count(F.lit(1)).alias("rows")]
     metrics += [F.count_if(c).alias(name) for name, c in (flags or {}).items()]
-    if contract is not None:
-        required = [F.col(f.name).isNull() for f in contract.fields if not f.nullable]
-        if required:
-            any_null = required[0]
-            for c in required[1:]:
-                any_null = any_null | c
-            metrics.append(F.count_if(any_null).alias("null_violations"))
+    any_null = contract_null_rows(contract) if contract is not None else None
+    if any_null is not None:
+        metrics.append(F.count_if(any_null).alias("null_violations"))
     observed = df.observe(obs, *metrics)
     if sort_within:
         observed = observed.sortWithinPartitions(*sort_within)

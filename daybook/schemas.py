@@ -174,6 +174,18 @@ def check_contract(df: DataFrame, schema: StructType) -> list[str]:
     return problems
 
 
+def contract_null_rows(schema: StructType):
+    """Column: a row holds a NULL in a column the contract declares non-null
+    (None when the contract has no such column)."""
+    required = [F.col(f.name).isNull() for f in schema.fields if not f.nullable]
+    if not required:
+        return None
+    any_null = required[0]
+    for c in required[1:]:
+        any_null = any_null | c
+    return any_null
+
+
 def null_violations(df: DataFrame, schema: StructType) -> DataFrame:
     """One-row frame counting NULLs in columns the contract declares non-null."""
     required = [f.name for f in schema.fields if not f.nullable]

@@ -219,3 +219,13 @@ def test_build_from_landed_testdata(spark):
     assert report["equity_table_extended"]["rows"] == report["daily_table"]["rows"] > 0
     assert report["edgar_10q_table"]["rows"] > 0 and report["daily_currency_table"]["rows"] > 0
     assert report["asset_table"]["rows"] == spark.read.parquet(f"{sf}/part.parquet").count()
+
+
+def test_null_contract_violations_are_counted(spark):
+    from daybook.plans.sinks import write_table
+    from daybook.schemas import SHARES_TABLE, null_violations
+    df = spark.createDataFrame([("AAPL", None, 20240101, 1), (None, "0000000001", 20240101, 2)],
+                               "ticker string, cik string, date_key int, shares_outstanding long")
+    report = write_table(df, os.path.join(tempfile.mkdtemp(prefix="nulls-"), "t"), contract=SHARES_TABLE)
+    assert report == {"rows": 2, "null_violations": 2}
+    assert tuple(null_violations(df, SHARES_TABLE).first()) == (1, 1, 0, 0)
