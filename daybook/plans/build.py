@@ -14,9 +14,10 @@ Landing folder layout (all optional except what a table needs)::
 
 Order: calendar; assets → {daily prices, filings} → extended; pairs → daily
 FX.  ``tables`` selects a narrower run (``EQUITY_TABLES``, ``DATE_TABLES``);
-what a selected table needs is built first.  The extended table reads the *written* daily and filing tables, so its
-job starts from files in the shared output folder (lineage is cut, and a lost
-executor only recomputes the last job).
+what a selected table needs is built first.  The extended table reads the
+*written* daily and filing tables, so its job starts from files in the shared
+output folder (lineage is cut, and a lost executor only recomputes the last
+job).
 """
 
 from __future__ import annotations

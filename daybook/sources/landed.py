@@ -128,7 +128,10 @@ def read_company_facts(
     very many small files, convert once to JSON Lines or Parquet of the
     flattened rows.
     """
-    schema = COMPANY_FACTS if concepts is None else company_facts_schema(concepts, FACTS_TAXONOMY, SHARES_UNIT)
+    if concepts is None:
+        schema = COMPANY_FACTS
+    else:
+        schema = company_facts_schema(concepts, FACTS_TAXONOMY, SHARES_UNIT)
     docs = spark.read.schema(schema).json(path, multiLine=multi_line)
     from_name = F.regexp_extract(F.col("_metadata.file_path"), r"CIK(\d+)", 1)
     docs = docs.withColumn(
