@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from daybook.functions import filed_key, iso_key, truncate_to_long
-from daybook.operators.sizing import broadcast_if_small
+from daybook.operators.sizing import is_small
 
 # The us-gaap share-count concepts, in order of preference.
 SHARE_CONCEPTS = [
@@ -144,11 +144,15 @@ def shares_outstanding(
     """T5 ``ticker, cik, date_key, shares_outstanding``.
 
     ``tickers``: the ticker list (``ticker``, duplicates kept);
-    ``ciks``: ``ticker, cik`` (see ``dims.cik_map``).  Unknown tickers are
-    skipped; matching is case-sensitive.
+    ``ciks``: ``ticker, cik``, one row per ticker (see ``dims.cik_map``).
+    Unknown tickers are skipped; matching is case-sensitive.
     """
     listed = tickers.select("ticker").join(ciks.select("ticker", "cik"), "ticker")
+    # ``ciks`` holds one row per ticker, so the listed pairs are at most as many
+    # as the tickers: checking the (cheap) ticker list bounds them.
+    if is_small(tickers):
+        listed = F.broadcast(listed)
     selected = select_filings(facts, start, end, concepts)
-    return broadcast_if_small(listed).join(selected, "cik").select(
+    return listed.join(selected, "cik").select(
         "ticker", "cik", "date_key", "shares_outstanding"
     )

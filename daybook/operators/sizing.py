@@ -10,6 +10,13 @@ from pyspark.sql import functions as F
 MAX_BROADCAST_ROWS = 1_000_000
 
 
+def is_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
+    """At most ``max_rows`` rows (counts at most ``max_rows + 1``; streams: no)."""
+    if df.isStreaming:
+        return False
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """``broadcast(df)`` when ``df`` has at most ``max_rows`` rows, else ``df``.
 
@@ -18,7 +25,4 @@ def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> Dat
     turns out to be large.  A streaming side is returned as is (it cannot
     be counted up front).
     """
-    if df.isStreaming:
-        return df
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if is_small(df, max_rows) else df
