@@ -147,7 +147,8 @@ def asof_join(
     ``(by, left_on)`` values as ``left`` (e.g. the input of a dedup step).
     ``bucket`` (key → coarser, order-preserving key, e.g. the day of a
     timestamp) splits the forward fill per (by, bucket) for keys with
-    unboundedly many distinct values per ``by``; daily keys do not need it.
+    unboundedly many distinct values per ``by``; daily keys do not need it
+    (it costs about 1.6× on 6M daily rows).
     """
     spine = asof_spine(
         (left_keys if left_keys is not None else left).select(by, left_on),
