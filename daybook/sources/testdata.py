@@ -283,3 +283,27 @@ def finished_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         zero_pad_cik(F.col("o_custkey")).alias("cik"),
         date_key("o_orderdate").alias("date_key"),
     ).agg(F.count(F.lit(1)).alias("shares_outstanding"))
+
+
+def land_files(spark: SparkSession, sf_dir: str, root: str) -> None:
+    """Land the testdata in ``root`` in the landing layout read by ``build_all``.
+
+    Ticker and pair CSVs, company→CIK JSON objects, company facts as JSON
+    Lines (the six testdata concepts mapped onto the first four share-count
+    concept names), and Parquet price / FX histories.
+    """
+    from daybook.operators.filings import SHARE_CONCEPTS
+
+    tickers_by_part(spark, sf_dir).coalesce(1).write.option("header", True).csv(
+        f"{root}/tickers.csv")
+    currency_pairs_frame(spark, sf_dir).coalesce(1).write.option("header", True).csv(
+        f"{root}/currency_pairs.csv")
+    cik_documents(cik_entries_by_part(spark, sf_dir)).write.partitionBy("part").text(
+        f"{root}/company_tickers.json")
+    mapping = F.create_map(*[x for pair in zip(TESTDATA_CONCEPTS, SHARE_CONCEPTS)
+                             for x in (F.lit(pair[0]), F.lit(pair[1]))])
+    facts = filing_facts(spark, sf_dir).withColumn("concept", mapping[F.col("concept")]).where(
+        F.col("concept").isNotNull())
+    facts_documents(facts).write.text(f"{root}/companyfacts")
+    price_history(spark, sf_dir).write.parquet(f"{root}/prices")
+    fx_history(spark, sf_dir).write.parquet(f"{root}/fx")

@@ -202,18 +202,13 @@ def test_incremental_equity_extended(spark):
 
 
 def test_build_from_landed_testdata(spark):
-    import importlib.util
     sf = "/root/testdata/sf0.001"
     if not os.path.isdir(sf):
         return
-    tool = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools", "land_testdata.py")
-    spec = importlib.util.spec_from_file_location("land_testdata", tool)
-    mod = importlib.util.module_from_spec(spec)
-    spec.loader.exec_module(mod)
     from daybook.session import scratch_path
     from daybook.sources import testdata as td
     root, out = scratch_path(spark, "landing"), scratch_path(spark, "warehouse")
-    mod.land(spark, sf, root)
+    td.land_files(spark, sf, root)
     report = build_all(spark, root, out, td.FILING_START, td.FX_END, facts_json_lines=True)
     assert all(r["null_violations"] == 0 for r in report.values())
     assert report["equity_table_extended"]["rows"] == report["daily_table"]["rows"] > 0

@@ -18,39 +18,17 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from pyspark.sql import functions as F  # noqa: E402
-
 from daybook.plans.build import build_all  # noqa: E402
 from daybook.session import get_session, scratch_path  # noqa: E402
 from daybook.sources import testdata as td  # noqa: E402
 
 
-def land(spark, sf_dir: str, root: str) -> None:
-    """Tickers, pairs, CIK objects, company facts (JSON Lines) and histories."""
-    td.tickers_by_part(spark, sf_dir).coalesce(1).write.option("header", True).csv(
-        os.path.join(root, "tickers.csv"))
-    td.currency_pairs_frame(spark, sf_dir).coalesce(1).write.option("header", True).csv(
-        os.path.join(root, "currency_pairs.csv"))
-    td.cik_documents(td.cik_entries_by_part(spark, sf_dir)).write.partitionBy("part").text(
-        os.path.join(root, "company_tickers.json"))
-    # Concept names of the testdata facts mapped onto the share-count concepts
-    # the build reads (the first four in preference order).
-    from daybook.operators.filings import SHARE_CONCEPTS
-    mapping = F.create_map(*[x for pair in zip(td.TESTDATA_CONCEPTS, SHARE_CONCEPTS)
-                             for x in (F.lit(pair[0]), F.lit(pair[1]))])
-    facts = td.filing_facts(spark, sf_dir).withColumn("concept", mapping[F.col("concept")]) \
-        .where(F.col("concept").isNotNull())
-    td.facts_documents(facts).write.text(os.path.join(root, "companyfacts"))
-    td.price_history(spark, sf_dir).write.parquet(os.path.join(root, "prices"))
-    td.fx_history(spark, sf_dir).write.parquet(os.path.join(root, "fx"))
-
-
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     spark = get_session("local[8]", shuffle_partitions=16, extra_conf={"spark.driver.memory": "16g"})
     root, out = scratch_path(spark, "landing"), scratch_path(spark, "warehouse")
     t0 = time.perf_counter()
-    land(spark, sf_dir, root)
+    td.land_files(spark, sf_dir, root)
     t1 = time.perf_counter()
     report = build_all(spark, root, out, td.FILING_START, td.FX_END, facts_json_lines=True)
     t2 = time.perf_counter()
