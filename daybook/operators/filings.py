@@ -20,9 +20,8 @@ computes, for every concept, the best row of each period by a ``max`` on a
 struct ordered as the rule wants, plus whether the group holds a 10-Q or a
 10-K; a company with a huge history is reduced before the shuffle, and the
 facts are read once.  The concept choice is a window per CIK over that
-small result.  The ticker→CIK list is joined
-last, which keeps the list's multiplicity and serves two tickers of one CIK
-from one computation.
+small result.  The ticker→CIK list is joined last, which keeps the list's
+multiplicity and serves two tickers of one CIK from one computation.
 """
 
 from __future__ import annotations
