@@ -146,3 +146,12 @@ def test_broadcast_check_leaves_streams_alone(spark):
     spark.range(3).write.mode("overwrite").parquet(d)
     stream = spark.readStream.schema("id long").parquet(d)
     assert broadcast_if_small(stream, 10) is stream
+
+
+def test_conform_orders_and_casts_to_the_contract(spark):
+    from daybook.schemas import SHARES_TABLE, check_contract, conform
+    df = spark.createDataFrame([(7, "20240331", "0000000001", "AAPL")],
+                               "shares_outstanding int, date_key string, cik string, ticker string")
+    out = conform(df, SHARES_TABLE)
+    assert check_contract(out, SHARES_TABLE) == []
+    assert tuple(out.first()) == ("AAPL", "0000000001", 20240331, 7)
