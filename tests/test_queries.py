@@ -6,7 +6,9 @@ import os
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from daybook.plans.oracle import ORACLE_SQL
+from daybook.plans.queries import QUERIES
 from daybook.schemas import (
     ASSET_TABLE,
     CURRENCY_PAIRS_TABLE,
@@ -37,6 +39,14 @@ CONTRACTS = {
 SF = "/root/testdata/sf0.001"
 TABLES = ["part", "lineitem", "orders", "events"]
 
+def queries():
+    return QUERIES
+
+
+def oracle_sql():
+    return ORACLE_SQL
+
+
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="testdata not present")
 
 
