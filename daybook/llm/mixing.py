@@ -87,7 +87,7 @@ def stream_positions(sized: DataFrame, targets: DataFrame, order: Column) -> Dat
         Window.unboundedPreceding, Window.currentRow)
     return (
         placed.withColumn("within", F.sum("size").over(inside) - F.col("size"))
-        .join(offsets, ["src", "bucket"])
+        .join(offsets.hint("merge"), ["src", "bucket"])
         .withColumn("start", F.col("offset") + F.col("within"))
         .drop("bucket", "n_buckets", "offset", "within", "digest")
     )
@@ -119,7 +119,7 @@ def schedule(targets: DataFrame, k: int) -> DataFrame:
     before = Window.partitionBy("src").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("src", "chunk", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
     rank = F.row_number().over(Window.partitionBy("src", "chunk").orderBy("slot"))
-    ranked = slots.withColumn("rank", rank).join(offsets, ["src", "chunk"]).select(
+    ranked = slots.withColumn("rank", rank).join(offsets.hint("merge"), ["src", "chunk"]).select(
         "slot", "src", (F.col("offset") + F.col("rank") - 1).alias("block"))
     closing = owned.where("hi = lo").select(
         (F.lit(n) + F.col("src")).cast("long").alias("slot"), "src", F.lit(0).cast("long").alias("block"))
@@ -160,7 +160,8 @@ def mix(rows: DataFrame, weights=WEIGHTS, volume: float = VOLUME, cap: float = C
         .withColumn("upper", F.when(F.col("block") == F.col("last_block"), F.col("to"))
                     .otherwise(F.least(F.col("to"), (F.col("block") + 1) * block_words)))
     )
-    draws = parts.join(slots, ["src", "block"]).select(
+    # The planner takes the slots for as few as the sources they grow from and would broadcast them.
+    draws = parts.join(slots.hint("merge"), ["src", "block"]).select(
         "slot", "src", "start", "pass", (F.col("lower") - F.col("from")).alias("first"),
         (F.col("upper") - F.col("from")).alias("last"))
     return placed, draws
