@@ -53,7 +53,7 @@ def statistics(docs: DataFrame) -> DataFrame:
                  p -> p IS NOT NULL))),
             q -> aggregate(transform(q, (p, i) -> least(3, coalesce(get(q, i + 1) - p, 3))), 0L, (a, b) -> a + b))[0])[0]
       END""")
-    lines = F.expr(f"filter(split(t, '\\n'), x -> btrim(x, '{WHITE_SPACE.encode('unicode_escape').decode()}') <> '')")
+    lines = F.filter(F.split("t", "\n"), lambda x: F.btrim(x, F.lit(WHITE_SPACE)) != "")
     return (
         docs.select("doc_id", "lang", "source", text.alias("t"), words(F.col("text")).alias("w"))
         .withColumn("lines", lines)

@@ -1,0 +1,29 @@
+import pytest
+from pyspark.sql import types as T
+
+DOCUMENTS = T.StructType([
+    T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()), T.StructField("lang", T.StringType()),
+    T.StructField("source", T.StringType()), T.StructField("n_chars", T.LongType())])
+
+
+@pytest.fixture(scope="session")
+def documents(spark):
+    """Maker of a documents table from (doc_id, text[, lang, source]) rows, with extra columns of clashing names."""
+    def make(rows, extra=()):
+        schema = T.StructType(DOCUMENTS.fields + [T.StructField(name, T.StringType()) for name in extra])
+        full = []
+        for r in rows:
+            doc_id, text, lang, source = (*r, "en", "src0")[:4] if len(r) < 4 else r[:4]
+            full.append((doc_id, text, lang, source, len(text) if text is not None else None, *["x"] * len(extra)))
+        return spark.createDataFrame(full, schema)
+    return make
+
+
+#: Null, empty and white-space texts, repeated rows, null keys.
+ODD = [(None, None, None, None), (1, None, None, "a"), (2, "", "en", None), (3, " \n\t ", "en", "a"),
+       (4, "one", "en", "a"), (4, "one", "en", "a"), (5, "ünï \U0001F600 ▁ x\x00y", "fr", "b"), (6, "z" * 5000, "en", "a")]
+
+
+@pytest.fixture(scope="session")
+def odd(documents):
+    return documents(ODD, extra=("size", "start", "row", "n", "t"))
