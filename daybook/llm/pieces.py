@@ -29,13 +29,14 @@ import re
 from collections.abc import Iterator
 
 import ahocorasick
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 #: Distinct words a task keeps, and the longest that it keeps.
-CACHE_WORDS, CACHE_CHARS = 400_000, 40
+CACHE_WORDS, CACHE_CHARS = 120_000, 32
 UNKNOWN_PENALTY = 10.0
 SPACE = "▁"
 #: Where a text is looked at for a cut; it is made only between characters that no piece joins.
@@ -178,7 +179,8 @@ def encoded(text: Column, model: dict) -> Column:
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         codec = codec_of(model)
         for texts in batches:
-            yield pd.Series([codec.encode(t) for t in texts])
+            # Packed integers: a batch of ids as Python lists would be many times its texts.
+            yield pd.Series([np.array(codec.encode(t), np.int32) for t in texts])
     return run(text)
 
 
@@ -187,7 +189,7 @@ def decoded(ids: Column, model: dict) -> Column:
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         codec = codec_of(model)
         for lists in batches:
-            yield pd.Series([codec.decode(x if x is not None else []) for x in lists])
+            yield pd.Series([codec.decode(x.tolist() if x is not None else []) for x in lists])
     return run(ids)
 
 
