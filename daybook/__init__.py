@@ -10,7 +10,6 @@ Layout
 ``sources``    readers for landed files and the testdata adapters
 ``operators``  calendar, dimensions, facts, filing selection, as-of join
 ``plans``      the dependency-ordered build, sinks, and registered queries
-``streaming``  incremental (available-now) ingestion of newly landed history
 """
 
 from daybook.operators import (

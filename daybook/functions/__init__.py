@@ -8,7 +8,6 @@ from daybook.functions.keys import (
     exchange_day,
     filed_key,
     iso_key,
-    key_to_date,
     truncate_to_long,
     zero_pad_cik,
 )
@@ -21,7 +20,6 @@ __all__ = [
     "exchange_day",
     "filed_key",
     "iso_key",
-    "key_to_date",
     "truncate_to_long",
     "zero_pad_cik",
 ]

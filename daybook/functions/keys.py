@@ -31,12 +31,6 @@ def exchange_day(ts: Column | str, tz: str = "America/New_York") -> Column:
     return F.to_date(F.from_utc_timestamp(as_col(ts), tz))
 
 
-def key_to_date(c: Column | str) -> Column:
-    """int YYYYMMDD → DATE."""
-    k = as_col(c)
-    return F.make_date((k / 10000).cast("int"), ((k / 100) % 100).cast("int"), (k % 100).cast("int"))
-
-
 def day_name(d: Column | str) -> Column:
     """Locale-proof lower-case English day name of a date."""
     names = F.array(*[F.lit(n) for n in DAY_NAMES])

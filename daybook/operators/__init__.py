@@ -4,7 +4,7 @@ from daybook.operators.asof import asof_join
 from daybook.operators.dims import asset_dimension, cik_map, currency_pairs, dense_index
 from daybook.operators.extended import equity_extended, one_row_per_ticker_day
 from daybook.operators.facts import daily_fx, daily_prices
-from daybook.operators.filings import concept_choice, select_filings, shares_outstanding
+from daybook.operators.filings import select_filings, shares_outstanding
 from daybook.operators.report import missing_filings, open_days, table_report
 from daybook.operators.trading_days import calendar_rows, date_spine, trading_calendar
 
@@ -13,7 +13,6 @@ __all__ = [
     "asset_dimension",
     "calendar_rows",
     "cik_map",
-    "concept_choice",
     "currency_pairs",
     "daily_fx",
     "daily_prices",

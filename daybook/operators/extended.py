@@ -46,8 +46,12 @@ def equity_extended(
     filing).  The filing is keyed by period end, so figures are used from the
     period end on, and prices are split-adjusted while share counts are as
     reported; both are properties of the inputs, kept as they are.
-    ``bucket`` is passed to ``asof_join`` (two-level forward fill).
+    Rows are reduced to one per (ticker, date_key) first, so daily rows and
+    filings can share one window per ticker, bounded by its days.  With
+    ``bucket`` the two-level forward fill of ``asof_join`` is used instead.
     """
+    if bucket is None:
+        return _priced(_carried(one_row_per_ticker_day(daily), filings))
     right = filings.select(
         F.col("ticker"),
         F.col("date_key").alias("edgar_date_key"),
@@ -65,6 +69,33 @@ def equity_extended(
         left_keys=daily,
         bucket=bucket,
     )
+    return _priced(joined)
+
+
+def _carried(daily: DataFrame, filings: DataFrame) -> DataFrame:
+    """Daily rows with the latest filing, carried by one window over both."""
+    day = daily.schema["date_key"].dataType
+    filed = (
+        filings.where(F.col("ticker").isNotNull() & F.col("date_key").isNotNull())
+        .select("ticker", F.col("date_key").cast(day).alias("date_key"), F.struct(
+            F.col("date_key").cast(day).alias("edgar_10q_date_key"),
+            F.col("shares_outstanding").alias("edgar_shares_outstanding"),
+            F.col("cik").alias("edgar_cik")).alias("__filing"))
+        .groupBy("ticker", "date_key").agg(F.max("__filing").alias("__filing"))
+    )
+    row = F.struct(*[c for c in DAILY_COLUMNS if c not in ("ticker", "date_key")])
+    both = daily.select("ticker", "date_key", row.alias("__row")).unionByName(filed, allowMissingColumns=True)
+    # On equal days the filing (no row) sorts first, so it is visible to the day.
+    order = Window.partitionBy("ticker").orderBy("date_key", F.col("__row").isNotNull()).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    return (
+        both.withColumn("__filing", F.last("__filing", ignorenulls=True).over(order))
+        .where(F.col("__row").isNotNull())
+        .select("ticker", "date_key", "__row.*", "__filing.*")
+    )
+
+
+def _priced(joined: DataFrame) -> DataFrame:
     return joined.select(
         *DAILY_COLUMNS,
         F.col("edgar_shares_outstanding"),

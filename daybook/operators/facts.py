@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daybook.functions import date_key
-from daybook.operators.sizing import broadcast_if_small
 
 # The source name stamped on every price row, and the unit of
 # the base currency in every FX row.
@@ -28,12 +27,11 @@ def daily_prices(
     Days in ``[start, end)`` — the history source treats ``end`` as
     exclusive, unlike the calendar.  Only listed tickers, with the list's
     multiplicity (inner join, not a semi-join).  The day range is a plain
-    filter on the scan column, so it reaches the Parquet reader.  The ticker
-    list is broadcast when its size is checked to be small, so the history
-    is not shuffled; a larger list falls back to a shuffle join.
+    filter on the scan column, so it reaches the Parquet reader.  How the list
+    joins is left to Spark, which broadcasts it by its measured bytes.
     """
     window = history.where((F.col("day") >= F.lit(start)) & (F.col("day") < F.lit(end)))
-    rows = window.join(broadcast_if_small(tickers.select("ticker")), "ticker")
+    rows = window.join(tickers.select("ticker"), "ticker")
     return rows.select(
         F.col("ticker"),
         F.lit(source).alias("source"),
@@ -62,7 +60,7 @@ def daily_fx(history: DataFrame, pairs: DataFrame, start: date, end: date) -> Da
         "transaction_currency",
         fx_symbol(F.col("currency"), F.col("transaction_currency")).alias("symbol"),
     )
-    rows = broadcast_if_small(keyed).join(window, "symbol")
+    rows = keyed.join(window, "symbol")
     return rows.select(
         "currency",
         "transaction_currency",

@@ -32,7 +32,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from daybook.functions import filed_key, iso_key, truncate_to_long
-from daybook.operators.sizing import is_small
 
 # The us-gaap share-count concepts, in order of preference.
 SHARE_CONCEPTS = [
@@ -51,17 +50,6 @@ def _key(d: date) -> int:
     return d.year * 10000 + d.month * 100 + d.day
 
 
-def concept_choice(facts: DataFrame, concepts: list[str] = SHARE_CONCEPTS) -> DataFrame:
-    """``cik, chosen``: 1-based index into ``concepts`` of the chosen concept."""
-    prio = F.array_position(F.array(*[F.lit(c) for c in concepts]), F.col("concept"))
-    ranked = facts.select("cik", "form", prio.alias("prio")).where(F.col("prio") > 0)
-    chosen = F.coalesce(
-        F.min(F.when(F.col("form") == QUARTERLY_FORM, F.col("prio"))),
-        F.min(F.when(F.col("form") == ANNUAL_FORM, F.col("prio"))),
-    )
-    return ranked.groupBy("cik").agg(chosen.alias("chosen")).where(F.col("chosen").isNotNull())
-
-
 def filing_periods(
     facts: DataFrame,
     start: date,
@@ -147,10 +135,6 @@ def shares_outstanding(
     Unknown tickers are skipped; matching is case-sensitive.
     """
     listed = tickers.select("ticker").join(ciks.select("ticker", "cik"), "ticker")
-    # ``ciks`` holds one row per ticker, so the listed pairs are at most as many
-    # as the tickers: checking the (cheap) ticker list bounds them.
-    if is_small(tickers):
-        listed = F.broadcast(listed)
     selected = select_filings(facts, start, end, concepts)
     return listed.join(selected, "cik").select(
         "ticker", "cik", "date_key", "shares_outstanding"

@@ -57,13 +57,14 @@ def read_cik_document(spark: SparkSession, path: str) -> DataFrame:
     document order and a ticker listed twice resolves "last one wins".  Each
     file is one object, parsed by one task; the published mapping is a
     single bounded file, and a mapping split over several files (in path
-    order) is read in parallel.
+    order) is read in parallel.  A damaged document fails the read rather
+    than passing for an empty mapping.
     """
     docs = spark.read.text(path, wholetext=True).select(
         F.col("_metadata.file_path").alias("doc"), "value"
     )
     entries = docs.select(
-        "doc", F.posexplode(F.map_values(F.from_json("value", CIK_DOCUMENT_DDL)))
+        "doc", F.posexplode(F.map_values(F.from_json("value", CIK_DOCUMENT_DDL, {"mode": "FAILFAST"})))
     )
     return entries.select(
         "doc",

@@ -17,7 +17,6 @@ from daybook.schemas import (
     PRICE_HISTORY,
     SHARES_TABLE,
 )
-from daybook.streaming import append_daily_fx, append_daily_prices
 
 CSO = "CommonStockSharesOutstanding"
 
@@ -88,35 +87,6 @@ def test_build_all_partitioned_by_year(spark):
     assert "PartitionFilters: [isnotnull(year" in plan and "(year" in plan   # pruned, not scanned
 
 
-def test_incremental_daily_prices(spark):
-    root = tempfile.mkdtemp(prefix="stream-")
-    hist, out = os.path.join(root, "prices"), os.path.join(root, "daily")
-    tickers = spark.createDataFrame([("AAPL",)], "ticker string")
-    spark.createDataFrame([("AAPL", date(2024, 1, 2), 1.0, 1.0, 1.0, 1.0, 1.0)], PRICE_HISTORY) \
-        .write.mode("append").parquet(hist)
-    ckpt = os.path.join(root, "ckpt")
-    append_daily_prices(spark, hist, tickers, out, date(2024, 1, 1), date(2024, 12, 31), ckpt).awaitTermination()
-    spark.createDataFrame([("AAPL", date(2024, 1, 3), 2.0, 2.0, 2.0, 2.0, 2.0),
-                           ("MSFT", date(2024, 1, 3), 2.0, 2.0, 2.0, 2.0, 2.0)], PRICE_HISTORY) \
-        .write.mode("append").parquet(hist)
-    append_daily_prices(spark, hist, tickers, out, date(2024, 1, 1), date(2024, 12, 31), ckpt).awaitTermination()
-    rows = sorted((r.ticker, r.date_key) for r in spark.read.parquet(out).collect())
-    assert rows == [("AAPL", 20240102), ("AAPL", 20240103)]
-
-
-def test_incremental_daily_fx(spark):
-    root = tempfile.mkdtemp(prefix="stream-fx-")
-    hist, out = os.path.join(root, "fx"), os.path.join(root, "daily_fx")
-    pairs = spark.createDataFrame([("USD", "JPY")], "currency string, transaction_currency string")
-    for day, rate in [(2, 150.0), (3, 151.0)]:
-        spark.createDataFrame([("USDJPY=X", date(2024, 1, day), rate),
-                               ("EURUSD=X", date(2024, 1, day), 1.1)], FX_HISTORY) \
-            .write.mode("append").parquet(hist)
-        append_daily_fx(spark, hist, pairs, out, date(2024, 1, 1), date(2024, 12, 31)).awaitTermination()
-    rows = sorted(tuple(r) for r in spark.read.parquet(out).collect())
-    assert rows == [("USD", "JPY", 20240102, 1.0, 150.0), ("USD", "JPY", 20240103, 1.0, 151.0)]
-
-
 def test_build_order_and_subsets(spark):
     from daybook.plans.build import DATE_TABLES, EQUITY_TABLES, build_order
     assert build_order(["equity_table_extended"]) == EQUITY_TABLES
@@ -184,23 +154,6 @@ def test_build_twice_in_one_session(spark):
     assert first == second == {"date_table": {"rows": 366, "open_days": 252, "null_violations": 0}}
 
 
-def test_incremental_equity_extended(spark):
-    from daybook.schemas import DAILY_TABLE, SHARES_TABLE
-    from daybook.streaming import append_equity_extended
-    root = tempfile.mkdtemp(prefix="stream-ext-")
-    daily_dir, filings, out = (os.path.join(root, x) for x in ("daily", "filings", "extended"))
-    spark.createDataFrame([("AAPL", "0000320193", 20231231, 10)], SHARES_TABLE).write.parquet(filings)
-    ckpt = os.path.join(root, "ckpt")
-    rows = [("AAPL", "yahoo_finance", 20240102, 1.0, 1.0, 1.0, 2.0, 5),
-            ("GME", "yahoo_finance", 20240102, 1.0, 1.0, 1.0, 2.0, 5)]
-    spark.createDataFrame(rows[:1], DAILY_TABLE).write.mode("append").parquet(daily_dir)
-    append_equity_extended(spark, daily_dir, filings, out, ckpt).awaitTermination()
-    spark.createDataFrame(rows[1:], DAILY_TABLE).write.mode("append").parquet(daily_dir)
-    append_equity_extended(spark, daily_dir, filings, out, ckpt).awaitTermination()
-    got = sorted((r.ticker, r.market_cap) for r in spark.read.parquet(out).drop("batch").collect())
-    assert got == [("AAPL", 20.0), ("GME", None)]
-
-
 def test_build_from_landed_testdata(spark):
     sf = "/root/testdata/sf0.001"
     if not os.path.isdir(sf):
@@ -224,3 +177,13 @@ def test_null_contract_violations_are_counted(spark):
     report = write_table(df, os.path.join(tempfile.mkdtemp(prefix="nulls-"), "t"), contract=SHARES_TABLE)
     assert report == {"rows": 2, "null_violations": 2}
     assert tuple(null_violations(df, SHARES_TABLE).first()) == (1, 1, 0, 0)
+
+
+def test_damaged_cik_document_fails(spark):
+    import pytest
+    from daybook.sources import read_cik_document
+    path = os.path.join(tempfile.mkdtemp(prefix="cik-"), "company_tickers.json")
+    with open(path, "w") as fh:
+        fh.write('{"0": {"cik_str": 320193, "ticker": "AAPL", "title"')
+    with pytest.raises(Exception, match="(?i)malformed"):
+        read_cik_document(spark, path).collect()

@@ -131,23 +131,6 @@ def test_cluster_conf_sizes_shuffles():
     assert int(cluster_conf(1 << 20, cores=64)["spark.sql.shuffle.partitions"]) == 128
 
 
-def test_broadcast_only_behind_a_size_check(spark):
-    from daybook.operators.sizing import broadcast_if_small
-    small = spark.range(10)
-    big = spark.range(1000)
-    assert "broadcast" in broadcast_if_small(small, 100)._jdf.queryExecution().analyzed().toString().lower()
-    assert broadcast_if_small(big, 100) is big
-
-
-def test_broadcast_check_leaves_streams_alone(spark):
-    import tempfile as _tf
-    from daybook.operators.sizing import broadcast_if_small
-    d = _tf.mkdtemp(prefix="stream-side-")
-    spark.range(3).write.mode("overwrite").parquet(d)
-    stream = spark.readStream.schema("id long").parquet(d)
-    assert broadcast_if_small(stream, 10) is stream
-
-
 def test_conform_orders_and_casts_to_the_contract(spark):
     from daybook.schemas import SHARES_TABLE, check_contract, conform
     df = spark.createDataFrame([(7, "20240331", "0000000001", "AAPL")],
@@ -155,3 +138,12 @@ def test_conform_orders_and_casts_to_the_contract(spark):
     out = conform(df, SHARES_TABLE)
     assert check_contract(out, SHARES_TABLE) == []
     assert tuple(out.first()) == ("AAPL", "0000000001", 20240331, 7)
+
+
+def test_no_join_hint_and_no_job_while_building(spark):
+    from daybook.operators import daily_prices
+    history = spark.range(3).selectExpr(
+        "'A' AS ticker", "date'2024-01-02' AS day", "1D AS open", "1D AS high", "1D AS low", "1D AS close", "1L AS volume")
+    tickers = spark.range(2).selectExpr("'A' AS ticker", "raise_error('ran') AS x")
+    plan = daily_prices(history, tickers, date(2024, 1, 1), date(2024, 2, 1))._jdf.queryExecution().analyzed().toString()
+    assert "ResolvedHint" not in plan
