@@ -193,12 +193,26 @@ def decoded(ids: Column, model: dict) -> Column:
     return run(ids)
 
 
+def checked(text: Column, model: dict) -> Column:
+    """struct<ids, round_trip>: the ids, and whether decoding them gives the text, in one pass of one worker."""
+    @F.pandas_udf("ids array<int>, round_trip boolean")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        codec = codec_of(model)
+        for texts in batches:
+            ids, same = [], []
+            for t in texts:
+                got = codec.encode(t)
+                same.append(codec.decode(got) == t)
+                ids.append(np.array(got, np.int32))
+            yield pd.DataFrame({"ids": ids, "round_trip": same})
+    return run(text)
+
+
 def op4_sentencepiece(docs: DataFrame, model_path: str = MODEL_PATH) -> DataFrame:
     """doc_id, ids, n_tokens, round_trip (decoding the ids gives the text)."""
     model = read_model(model_path)
     return (
-        docs.select("doc_id", F.coalesce("text", F.lit("")).alias("t"))
-        .withColumn("ids", encoded(F.col("t"), model))
-        .select("doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"),
-                (decoded(F.col("ids"), model) == F.col("t")).alias("round_trip"))
+        docs.select("doc_id", checked(F.coalesce("text", F.lit("")), model).alias("c"))
+        .select("doc_id", F.col("c.ids").alias("ids"), F.size("c.ids").cast("long").alias("n_tokens"),
+                F.col("c.round_trip").alias("round_trip"))
     )

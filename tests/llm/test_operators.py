@@ -230,6 +230,9 @@ def test_pieces_round_trip(odd, small, documents):
     for df in (odd, small):
         assert df.count() == pieces.op4_sentencepiece(df).where("round_trip").count()
     assert pieces.op4_sentencepiece(documents([])).collect() == []
+    model = pieces.read_model()
+    ids = documents([(1, "a b ▁\n"), (2, None)]).select("doc_id", pieces.encoded(F.col("text"), model).alias("ids"))
+    assert sorted(r["text"] for r in ids.select(pieces.decoded(F.col("ids"), model).alias("text")).collect()) == ["", "a b ▁\n"]
     assert {r["n_tokens"] for r in pieces.op4_sentencepiece(odd).where("doc_id = 2").collect()} == {0}
 
 
