@@ -22,8 +22,11 @@ have to meet, and the suffix order is built piecewise:
 Contents are compared by two independent 64-bit hashes of anchor and window,
 never over the whole corpus by one.
 
-Scale: step 1 leaves about one row per 170 bytes; texts are shuffled for step
-3 and for the removal by the same keys (one exchange, reused).  Defined cases:
+Scale: step 1 leaves about one row per 170 bytes, of four numbers: anchor,
+content, the text's number in the written table, and the stretch's place in it
+packed into one number.  A text's number is exchanged for its identity (doc_id
+and two digests) only for the few lists per text that go back to it; texts are
+shuffled for step 3 and for the removal by the same keys (one exchange, reused).  Defined cases:
 null text is empty and keeps the digest of no bytes; texts shorter than
 MIN_BYTES lose nothing; repeated rows are copies of each other; null doc_ids
 come first; an empty table gives an empty result.
@@ -53,6 +56,8 @@ WINDOWS = 1 << 21
 U64 = np.uint64
 BASES = (U64(0x9E3779B97F4A7C15), U64(0xC2B2AE3D27D4EB4F))
 POSITION_BITS = U64(28)
+#: A place is (first window, windows, anchor's offset); the last two have this many bits each, and MIN_BYTES is below 2**PLACE_BITS.
+PLACE_BITS = 10
 
 
 @lru_cache(maxsize=4)
@@ -113,36 +118,43 @@ def stretches(raw: np.ndarray) -> tuple[np.ndarray, ...]:
     return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
 
 
-ANCHORS = "doc_id long, k1 long, k2 long, anchor long, content long, first int, windows int, offset int"
+ANCHORS = "uid long, doc_id long, k1 long, k2 long, anchor long, content long, place long"
 
 
 def _anchors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         for at in range(0, len(batch), 256):
             out = []
-            for d, k1, k2, t in zip(*(batch[c].iloc[at:at + 256] for c in ("doc_id", "k1", "k2", "t")), strict=True):
+            for uid, d, k1, k2, t in zip(*(batch[c].iloc[at:at + 256] for c in ("uid", "doc_id", "k1", "k2", "t")), strict=True):
                 a, c, first, n, offset = stretches(np.frombuffer(t.encode("utf-8", "surrogatepass"), np.uint8))
                 if len(a):
                     out.append(pd.DataFrame({
-                        "doc_id": pd.array([d] * len(a), dtype="Int64"), "k1": k1, "k2": k2, "anchor": a.view(np.int64),
-                        "content": c.view(np.int64), "first": first.astype(np.int32), "windows": n.astype(np.int32),
-                        "offset": offset.astype(np.int32)}))
+                        "uid": uid, "doc_id": pd.array([d] * len(a), dtype="Int64"), "k1": k1, "k2": k2,
+                        "anchor": a.view(np.int64), "content": c.view(np.int64),
+                        "place": (first << 2 * PLACE_BITS) + (n << PLACE_BITS) + offset}))
             if out:
                 yield pd.concat(out)
 
 
-CONTENTS = "anchor long, content long, n long, at_id long, at_first int, windows int, offset int, hot boolean, raw binary"
+CONTENTS = "anchor long, content long, n long, at_id long, at_uid long, at_first long, windows int, offset int, hot boolean, raw binary"
 
 
 def _contents(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """The bytes of the wanted stretches of each text."""
+    columns = ["anchor", "content", "n", "at_id", "at_uid", "at_first", "windows", "offset", "hot", "raw"]
     for batch in batches:
+        out = []
         for text, wanted in zip(batch["t"], batch["wanted"], strict=True):
             raw = text.encode("utf-8", "surrogatepass")
-            yield pd.DataFrame([
-                (w["anchor"], w["content"], w["n"], w["at_id"], w["at_first"], w["windows"], w["offset"], w["hot"],
-                 raw[w["at_first"]:w["at_first"] + w["windows"] + MIN_BYTES - 1]) for w in wanted],
-                columns=["anchor", "content", "n", "at_id", "at_first", "windows", "offset", "hot", "raw"]).astype({"at_id": "Int64"})
+            for w in wanted:
+                first, windows = w["place"] >> 2 * PLACE_BITS, (w["place"] >> PLACE_BITS) % (1 << PLACE_BITS)
+                out.append((w["anchor"], w["content"], w["n"], w["at_id"], w["at_uid"], first, windows, w["place"] % (1 << PLACE_BITS),
+                            w["hot"], raw[first:first + windows + MIN_BYTES - 1]))
+            if len(out) >= 4096:
+                yield pd.DataFrame(out, columns=columns).astype({"at_id": "Int64"})
+                out = []
+        if out:
+            yield pd.DataFrame(out, columns=columns).astype({"at_id": "Int64"})
 
 
 def _window_hashes(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -171,7 +183,7 @@ def _runs(row: np.ndarray, window: np.ndarray, n_rows: int) -> list[list[int]]:
 def in_suffix_order(rows: pd.DataFrame, keep_first: bool) -> pd.DataFrame:
     """anchor, content, runs: the repeated windows of the stretches of whole anchors."""
     rows = rows.drop_duplicates(["anchor", "content"]).sort_values(
-        ["at_id", "at_first"], na_position="first", kind="stable").reset_index(drop=True)
+        ["at_id", "at_uid", "at_first"], na_position="first", kind="stable").reset_index(drop=True)
     row, window, h = _window_hashes(rows)
     # Rows are in order of position, so a stable sort ties equal prefixes by position.
     order = np.argsort(h, kind="stable")
@@ -219,18 +231,18 @@ def _hot_windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             rows = batch.iloc[at:at + 1024].reset_index(drop=True)
             row, window, h = _window_hashes(rows)
             yield pd.DataFrame({"anchor": rows["anchor"].to_numpy()[row], "content": rows["content"].to_numpy()[row],
-                                "at_id": rows["at_id"].array[row], "at_place": rows["at_first"].to_numpy()[row] + window,
+                                "at_id": rows["at_id"].array[row], "at_uid": rows["at_uid"].to_numpy()[row], "at_place": rows["at_first"].to_numpy()[row] + window,
                                 "n": rows["n"].to_numpy()[row], "window": window.astype(np.int32), "h": h.view(np.int64)})
 
 
 def _hot_runs(hot: DataFrame, keep_first: bool) -> DataFrame:
     """The same for anchors with many contents, by partial aggregates of window hashes."""
-    windows = hot.mapInPandas(_hot_windows, "anchor long, content long, at_id long, at_place long, n long, window int, h long")
+    windows = hot.mapInPandas(_hot_windows, "anchor long, content long, at_id long, at_uid long, at_place long, n long, window int, h long")
     classes = windows.groupBy("anchor", "h").agg(
-        F.sum("n").alias("occurrences"), F.min(F.struct("at_id", "at_place")).alias("head"))
+        F.sum("n").alias("occurrences"), F.min(F.struct("at_id", "at_uid", "at_place")).alias("head"))
     repeated = windows.join(classes, ["anchor", "h"])
     if keep_first:
-        repeated = repeated.where(~F.struct("at_id", "at_place").eqNullSafe(F.col("head")))
+        repeated = repeated.where(~F.struct("at_id", "at_uid", "at_place").eqNullSafe(F.col("head")))
     else:
         repeated = repeated.where("occurrences > 1")
     return repeated.groupBy("anchor", "content").agg(
@@ -244,7 +256,7 @@ def _strip(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             raw = t.encode("utf-8", "surrogatepass")
             removed, n_spans, at, kept = 0, 0, 0, []
             merged: list[list[int]] = []
-            for s in sorted((int(x["start"]), int(x["stop"])) for x in (spans if spans is not None else ())):
+            for s in sorted(divmod(int(x), 1 << 31) for x in (spans if spans is not None else ())):
                 if merged and s[0] <= merged[-1][1]:
                     merged[-1][1] = max(merged[-1][1], s[1])
                 else:
@@ -264,45 +276,58 @@ RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 s
 def deduplicate(docs: DataFrame, keep_first: bool = False) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and kept (the remaining bytes) of every document."""
     spark = docs.sparkSession
-    key = [F.xxhash64("t").alias("k1"), F.xxhash64(F.lit(1), "t").alias("k2")]
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("t")).select("doc_id", *key, "t")
+    texts = docs.select(F.struct(F.col("doc_id").cast("long").alias("doc_id")).alias("id"), F.coalesce("text", F.lit("")).alias("t")).select(
+        "id", F.xxhash64("t").alias("k1"), F.xxhash64(F.lit(1), "t").alias("k2"), "t")
+    identity = ["id", "k1", "k2"]
     folder = scratch_path(spark, "stretches")
-    texts.where(F.octet_length("t") >= MIN_BYTES).mapInPandas(_anchors, ANCHORS).write.parquet(folder)
-    rows = spark.read.schema(ANCHORS).parquet(folder)
-
-    contents = rows.groupBy("anchor", "content").agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "k1", "k2", "first", "windows", "offset")).alias("at"))
+    texts.where(F.octet_length("t") >= MIN_BYTES).select(
+        F.monotonically_increasing_id().alias("uid"), "id.doc_id", "k1", "k2", "t").mapInPandas(_anchors, ANCHORS).write.parquet(folder)
+    stored = spark.read.schema(ANCHORS).parquet(folder)
+    # One row per text: its first stretch starts at 0.
+    named = stored.where(F.col("place") < 1 << 2 * PLACE_BITS).select("uid", F.struct("doc_id").alias("id"), "k1", "k2")
+    # The order of copies only matters where the first one stays; rows of equal doc_id and text are one place.
+    where = ["doc_id", "k1", "k2", "place", "uid"] if keep_first else ["uid", "place"]
+    rows = stored.select("anchor", "content", *where)
+
+    contents = rows.groupBy("anchor", "content").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(*where)).alias("at"))
     anchors = contents.groupBy("anchor").agg(F.count(F.lit(1)).alias("contents"), F.sum("n").alias("total")).where("total > 1")
     known = contents.join(anchors, "anchor")
-    wanted = known.where("contents > 1").groupBy(
-        F.col("at.doc_id").alias("w_id"), F.col("at.k1").alias("k1"), F.col("at.k2").alias("k2")).agg(F.collect_list(F.struct(
-            "anchor", "content", "n", F.col("at.doc_id").alias("at_id"), F.col("at.first").alias("at_first"),
-            F.col("at.windows").alias("windows"), F.col("at.offset").alias("offset"), (F.col("contents") > HOT).alias("hot"))).alias("wanted"))
-    fetched = texts.join(wanted, ["k1", "k2"]).where(F.col("doc_id").eqNullSafe(F.col("w_id"))).select("t", "wanted").mapInPandas(
-        _contents, CONTENTS)
-    cool = fetched.where(~F.col("hot")).repartition("anchor").sortWithinPartitions("anchor").mapInPandas(_compare(keep_first), RUNS)
-    hot = _hot_runs(fetched.where("hot").dropDuplicates(["anchor", "content"]), keep_first)
+    wanted = known.where("contents > 1").select(F.col("at.uid").alias("uid"), F.struct(
+        "anchor", "content", "n", (F.col("at.doc_id") if keep_first else F.lit(None).cast("long")).alias("at_id"), F.col("at.uid").alias("at_uid"),
+        F.col("at.place").alias("place"), (F.col("contents") > HOT).alias("hot")).alias("one"))
+    wanted = wanted.join(named, "uid")
+
+    def fetched(some: DataFrame) -> DataFrame:
+        lists = some.groupBy(*identity).agg(F.collect_list("one").alias("wanted"))
+        return texts.join(lists, identity).select("t", "wanted").mapInPandas(_contents, CONTENTS)
+
+    cool = fetched(wanted.where("NOT one.hot")).repartition("anchor").sortWithinPartitions("anchor").mapInPandas(_compare(keep_first), RUNS)
+    hot = _hot_runs(fetched(wanted.where("one.hot")).dropDuplicates(["anchor", "content"]), keep_first)
     compared = cool.unionByName(hot)
 
     # Repeated windows of each content: compared ones, and all of those that occur more than once.
-    verdicts = known.join(compared, ["anchor", "content"], "left").where("runs IS NOT NULL OR n > 1").select(
-        "anchor", "content", "n", "at", "runs")
-    found = rows.join(verdicts, ["anchor", "content"])
-    everything = F.array(F.lit(0), F.col("windows") - 1)
+    verdicts = known.join(compared, ["anchor", "content"], "left").where("runs IS NOT NULL OR n > 1")
+    verdicts = verdicts.select("anchor", "content", "at", "runs", "n") if keep_first else verdicts.select(
+        "anchor", "content", F.when(F.col("n") == 1, F.col("runs")).alias("runs"))
+    # Joined by one column, not by the two that the verdicts are dealt by: both sides are then plain exchanges, whose hot contents Spark splits.
+    piece = F.struct("anchor", "content").alias("piece")
+    found = rows.select(piece, *where).join(verdicts.select(piece, *[c for c in verdicts.columns if c not in ("anchor", "content")]), "piece")
+    windows = F.shiftright("place", PLACE_BITS) % (1 << PLACE_BITS)
+    everything = F.array(F.lit(0), (windows - 1).cast("int"))
     if keep_first:
-        is_head = F.struct("doc_id", "k1", "k2", "first").eqNullSafe(F.struct("at.doc_id", "at.k1", "at.k2", "at.first"))
-        runs = F.when(~is_head, everything).otherwise(F.col("runs"))
+        is_head = F.struct("doc_id", "k1", "k2", "place").eqNullSafe(F.struct("at.doc_id", "at.k1", "at.k2", "at.place"))
+        found = found.withColumn("runs", F.when(~is_head, everything).otherwise(F.col("runs")))
+        found = found.where("runs IS NOT NULL")
     else:
-        runs = F.when(F.col("n") > 1, everything).otherwise(F.col("runs"))
+        found = found.withColumn("runs", F.coalesce("runs", everything))
+    # A span is start * 2**31 + stop.
+    span = F.expr(f"transform(sequence(0, size(runs) - 2, 2), i -> (first + runs[i]) * {1 << 31} + first + runs[i + 1] + {MIN_BYTES})")
     spans = (
-        found.withColumn("runs", runs).where("runs IS NOT NULL")
-        .select(F.col("doc_id").alias("s_id"), "k1", "k2", F.explode(F.expr(
-            f"transform(sequence(0, size(runs) - 2, 2), i -> struct(first + runs[i] AS start, first + runs[i + 1] + {MIN_BYTES} AS stop))")).alias("span"))
-        .groupBy("s_id", "k1", "k2").agg(F.collect_list("span").alias("spans"))
+        found.withColumn("first", F.shiftright("place", 2 * PLACE_BITS)).select("uid", F.explode(span).alias("span"))
+        .groupBy("uid").agg(F.collect_list("span").alias("spans"))
+        .join(named, "uid").groupBy(*identity).agg(F.flatten(F.collect_list("spans")).alias("spans"))
     )
-    placed = texts.join(spans.withColumnRenamed("k1", "s1").withColumnRenamed("k2", "s2"),
-                        (F.col("k1") == F.col("s1")) & (F.col("k2") == F.col("s2")) & F.col("doc_id").eqNullSafe(F.col("s_id")), "left")
-    return placed.select("doc_id", "t", "spans").mapInPandas(_strip, RESULT)
+    return texts.join(spans, identity, "left").select("id.doc_id", "t", "spans").mapInPandas(_strip, RESULT)
 
 
 def op9_repeats(docs: DataFrame) -> DataFrame:
