@@ -16,8 +16,9 @@ segmentation; a bounded cache keeps the segmentations of recent words.  The path
 summed as in the unigram model (a file with byte-pair scores yields the best
 sum of those, not the merge order's segmentation).
 
-Scale: one Arrow pass, no shuffle; memory per task is the automaton, the cache
-and one batch.  Defined cases: null and empty texts have no ids and decode to
+Scale: one Arrow pass, no shuffle; memory per task is the automaton, the
+cache, one incoming batch and SLICE_ROWS results.  Texts beyond LONG
+characters are read in slices.  Defined cases: null and empty texts have no ids and decode to
 the empty string; repeated rows are each encoded; ties keep the match found
 first, i.e. the one that starts earliest.
 """
@@ -26,19 +27,25 @@ from __future__ import annotations
 
 import hashlib
 import re
+from array import array
 from collections.abc import Iterator
 
 import ahocorasick
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 #: Distinct words a task keeps, and the longest that it keeps.
 CACHE_WORDS, CACHE_CHARS = 120_000, 32
+#: Rows encoded before their results leave the worker, and characters of a text read at once.
+SLICE_ROWS, LONG = 256, 1 << 20
 UNKNOWN_PENALTY = 10.0
 SPACE = "▁"
+#: A lone space, where any text can be cut.
+LONE_SPACE = re.compile(f"(?<=[^ {SPACE}]) (?=[^ {SPACE}])")
 #: Where a text is looked at for a cut; it is made only between characters that no piece joins.
 UNITS = re.compile(f"{SPACE}*[^{SPACE}.,!?;:\\n]+|{SPACE}+|[.,!?;:]|\\n+")
 
@@ -78,6 +85,7 @@ class Codec:
         self.bytes, self.unknown = model["bytes"], model["unknown"]
         self.text = {i: text.replace(SPACE, " ") for text, i, _ in model["pieces"]}
         self.byte = {i: b for b, i in enumerate(model["bytes"])}
+        self.in_bytes = set(model["bytes"])
         self.cache: dict[str, tuple] = {}
 
     def segment(self, s: str) -> tuple:
@@ -116,9 +124,13 @@ class Codec:
                 best[at + 1], start_of[at + 1], id_of[at + 1] = best[at] + self.unknown, at, -1
 
     def encode(self, text: str | None) -> list[int]:
-        if not text:
-            return []
         out: list[int] = []
+        for part in _slices(text) if text else ():
+            self._encode(part, out)
+        return out
+
+    def _encode(self, text: str, out: list[int]) -> None:
+        """Adds the ids of one slice."""
         cache, joined = self.cache, self.joined
         for k, part in enumerate(text.split(SPACE)):
             if k:
@@ -136,7 +148,6 @@ class Codec:
             if held:
                 ids = cache.get(held)
                 out.extend(self._segment(held) if ids is None else ids)
-        return out
 
     def _segment(self, word: str) -> tuple:
         ids = self.segment(word)
@@ -147,6 +158,8 @@ class Codec:
         return ids
 
     def decode(self, ids) -> str:
+        if self.in_bytes.isdisjoint(ids):
+            return "".join([self.text[i] for i in ids])[1:]
         out, run = [], bytearray()
         for i in ids:
             b = self.byte.get(i)
@@ -162,6 +175,15 @@ class Codec:
         return "".join(out)[1:]
 
 
+def _slices(text: str) -> Iterator[str]:
+    """The text cut at lone spaces (which go, as each slice is encoded with one in front) after every LONG characters."""
+    at = 0
+    while len(text) - at > LONG and (cut := LONE_SPACE.search(text, at + LONG)):
+        yield text[at:cut.start()]
+        at = cut.end()
+    yield text[at:] if at else text
+
+
 #: The codec a Python worker used last, kept with its cache from task to task.
 _LAST: dict[str, Codec] = {}
 
@@ -193,26 +215,29 @@ def decoded(ids: Column, model: dict) -> Column:
     return run(ids)
 
 
-def checked(text: Column, model: dict) -> Column:
-    """struct<ids, round_trip>: the ids, and whether decoding them gives the text, in one pass of one worker."""
-    @F.pandas_udf("ids array<int>, round_trip boolean")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+def checked(model: dict):
+    """For mapInArrow over (doc_id, text): doc_id, ids, n_tokens and whether decoding the ids gives the text, in one pass of one worker."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = codec_of(model)
-        for texts in batches:
-            ids, same = [], []
-            for t in texts:
-                got = codec.encode(t)
-                same.append(codec.decode(got) == t)
-                ids.append(np.array(got, np.int32))
-            yield pd.DataFrame({"ids": ids, "round_trip": same})
-    return run(text)
+        for batch in batches:
+            for at in range(0, batch.num_rows, SLICE_ROWS):
+                rows = batch.slice(at, SLICE_ROWS)
+                ids, ends, same = array("i"), [0], []
+                for value in rows.column(1):
+                    text = value.as_py() or ""
+                    got = codec.encode(text)
+                    same.append(codec.decode(got) == text)
+                    ids.extend(got)
+                    ends.append(len(ids))
+                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.asarray(ids, np.int32), pa.int32()))
+                counts = pa.array(np.diff(ends), pa.int64())
+                yield pa.RecordBatch.from_arrays([rows.column(0), lists, counts, pa.array(same, pa.bool_())],
+                                                 names=["doc_id", "ids", "n_tokens", "round_trip"])
+    return run
 
 
 def op4_sentencepiece(docs: DataFrame, model_path: str = MODEL_PATH) -> DataFrame:
     """doc_id, ids, n_tokens, round_trip (decoding the ids gives the text)."""
-    model = read_model(model_path)
-    return (
-        docs.select("doc_id", checked(F.coalesce("text", F.lit("")), model).alias("c"))
-        .select("doc_id", F.col("c.ids").alias("ids"), F.size("c.ids").cast("long").alias("n_tokens"),
-                F.col("c.round_trip").alias("round_trip"))
-    )
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    return rows.mapInArrow(checked(read_model(model_path)), f"doc_id {kind}, ids array<int>, n_tokens long, round_trip boolean")

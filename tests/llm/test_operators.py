@@ -221,6 +221,17 @@ def test_pieces_cache_and_cuts_change_nothing():
                 codec, codec.segment("▁" + text.replace(" ", "▁")))
 
 
+def test_pieces_of_long_texts_are_those_of_the_whole(monkeypatch):
+    codec = pieces.Codec(pieces.read_model())
+    rng = random.Random(3)
+    for _ in range(200):
+        text = "".join(rng.choice("ab  .,\n▁the") for _ in range(rng.randint(0, 80)))
+        monkeypatch.setattr(pieces, "LONG", 1 << 20)
+        whole = codec.encode(text)
+        monkeypatch.setattr(pieces, "LONG", 6)
+        assert codec.encode(text) == whole
+
+
 def _score(codec, ids):
     score = {i: s for _, i, s in pieces.read_model()["pieces"]}
     return sum(score.get(i, 0) for i in ids)
