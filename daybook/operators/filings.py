@@ -16,7 +16,7 @@ Per company document:
    early ``date_key`` so the as-of join has a value from day one.
 
 Plan: one partial (map-side) aggregate over ``(cik, concept, period-or-0)``
-computes, for every concept, the best row of each period by a ``max`` on a
+computes, for every concept, the best row of each period by a ``min`` on a
 struct ordered as the rule wants, plus whether the group holds a 10-Q or a
 10-K; a company with a huge history is reduced before the shuffle, and the
 facts are read once.  The concept choice is a window per CIK over that
@@ -60,8 +60,9 @@ def filing_periods(
 
     ``prio`` is the 1-based concept index; ``g`` the period (0 for all
     pre-start periods, NULL for rows that fail a row filter); ``b`` the best
-    valid row of the group as ``struct(dk, fk, neg_pos, shares)``, ordered as
-    the rule wants (period, filing key, first in document order); ``q`` /
+    valid row of the group as ``struct(neg_dk, neg_fk, pos, shares)``, whose
+    minimum is what the rule wants (largest period, then filing key, first in
+    document order; ``pos`` is any orderable type, a struct included); ``q`` /
     ``k`` whether the group holds any 10-Q / 10-K.  Only 10-Q and 10-K rows
     can affect either the concept choice or the selection, so the rest are
     dropped at the scan.  A partial (map-side) aggregate.
@@ -74,7 +75,7 @@ def filing_periods(
         prio.alias("prio"),
         iso_key("end").alias("dk"),
         filed_key("filed").alias("fk"),
-        (-F.col("pos")).alias("neg_pos"),
+        "pos",
         truncate_to_long("val").alias("shares"),
     ).where(F.col("prio") > 0)
     valid = (
@@ -85,7 +86,8 @@ def filing_periods(
     )
     group = F.when(valid, F.when(F.col("dk") < start_key, F.lit(0)).otherwise(F.col("dk")))
     return rows.groupBy("cik", "prio", group.alias("g")).agg(
-        F.max(F.when(valid, F.struct("dk", "fk", "neg_pos", "shares"))).alias("b"),
+        F.min(F.when(valid, F.struct(
+            (-F.col("dk")).alias("neg_dk"), (-F.col("fk")).alias("neg_fk"), "pos", "shares"))).alias("b"),
         F.bool_or(F.col("form") == QUARTERLY_FORM).alias("q"),
         F.bool_or(F.col("form") == ANNUAL_FORM).alias("k"),
     )
@@ -115,7 +117,7 @@ def select_filings(
     )
     return picked.select(
         "cik",
-        F.col("b.dk").cast("int").alias("date_key"),
+        (-F.col("b.neg_dk")).cast("int").alias("date_key"),
         F.col("b.shares").alias("shares_outstanding"),
     )
 

@@ -2,8 +2,8 @@
 
 Written independently of the Spark plans: selections use ``row_number``
 windows instead of grouped struct maxima, the as-of join is DuckDB's
-``ASOF LEFT JOIN``, and the calendar lists each year's holiday dates instead
-of testing every day.  Views ``part lineitem orders events`` are assumed.
+``ASOF LEFT JOIN``, and the calendar has literal closed days instead of
+rules.  Views ``part lineitem orders events`` are assumed.
 """
 
 from __future__ import annotations
@@ -105,48 +105,39 @@ extended AS (
   FROM daily d ASOF LEFT JOIN shares f ON d.ticker = f.ticker AND d.date_key >= f.date_key
 )"""
 
-CALENDAR = """
-bounds AS (SELECT CAST(min(o_orderdate) AS DATE) AS lo, CAST(max(o_orderdate) AS DATE) AS hi FROM orders),
+# The weekdays on which the exchange stayed closed, as published, for the
+# years that the testdata cover (orders 1995-2001, events 2024).
+CLOSED = """
+closed AS (SELECT CAST(s AS DATE) AS h FROM (VALUES
+  ('1995-01-02'), ('1995-02-20'), ('1995-04-14'), ('1995-05-29'), ('1995-07-04'), ('1995-09-04'), ('1995-11-23'), ('1995-12-25'),
+  ('1996-01-01'), ('1996-02-19'), ('1996-04-05'), ('1996-05-27'), ('1996-07-04'), ('1996-09-02'), ('1996-11-28'), ('1996-12-25'),
+  ('1997-01-01'), ('1997-02-17'), ('1997-03-28'), ('1997-05-26'), ('1997-07-04'), ('1997-09-01'), ('1997-11-27'), ('1997-12-25'),
+  ('1998-01-01'), ('1998-01-19'), ('1998-02-16'), ('1998-04-10'), ('1998-05-25'), ('1998-07-03'), ('1998-09-07'), ('1998-11-26'), ('1998-12-25'),
+  ('1999-01-01'), ('1999-01-18'), ('1999-02-15'), ('1999-04-02'), ('1999-05-31'), ('1999-07-05'), ('1999-09-06'), ('1999-11-25'), ('1999-12-24'),
+  ('2000-01-17'), ('2000-02-21'), ('2000-04-21'), ('2000-05-29'), ('2000-07-04'), ('2000-09-04'), ('2000-11-23'), ('2000-12-25'),
+  ('2001-01-01'), ('2001-01-15'), ('2001-02-19'), ('2001-04-13'), ('2001-05-28'), ('2001-07-04'), ('2001-09-03'),
+  ('2001-09-11'), ('2001-09-12'), ('2001-09-13'), ('2001-09-14'), ('2001-11-22'), ('2001-12-25'),
+  ('2024-01-01'), ('2024-01-15'), ('2024-02-19'), ('2024-03-29'), ('2024-05-27'), ('2024-06-19'), ('2024-07-04'), ('2024-09-02'),
+  ('2024-11-28'), ('2024-12-25')) v(s))"""
+
+_CALENDAR_OF_BOUNDS = f"""
 days AS (SELECT CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS d FROM bounds),
-years AS (SELECT DISTINCT year(d) AS y FROM days),
-easter AS (
-  SELECT y, make_date(y, (h + l - 7 * m + 114) // 31, (h + l - 7 * m + 114) % 31 + 1) AS es
-  FROM (
-    SELECT y, a, h, l, (a + 11 * h + 22 * l) // 451 AS m FROM (
-      SELECT y, a, h, (32 + 2 * e + 2 * i - h - k) % 7 AS l FROM (
-        SELECT y, a, e, i, k, (19 * a + b - d - g + 15) % 30 AS h FROM (
-          SELECT y, y % 19 AS a, y // 100 AS b, (y // 100) // 4 AS d, (y // 100) % 4 AS e,
-                 (y // 100 - (y // 100 + 8) // 25 + 1) // 3 AS g,
-                 (y % 100) // 4 AS i, (y % 100) % 4 AS k
-          FROM years))))
-),
-fixed AS (
-  SELECT y, make_date(y, 6, 19) AS h FROM years WHERE y >= 2022
-  UNION ALL SELECT y, make_date(y, 7, 4) FROM years
-  UNION ALL SELECT y, make_date(y, 12, 25) FROM years
-),
-hol AS (
-  SELECT CASE isodow(make_date(y, 1, 1)) WHEN 7 THEN make_date(y, 1, 2)
-                                         WHEN 6 THEN NULL ELSE make_date(y, 1, 1) END AS h FROM years
-  UNION ALL SELECT CASE isodow(h) WHEN 6 THEN h - 1 WHEN 7 THEN h + 1 ELSE h END FROM fixed
-  UNION ALL SELECT make_date(y, 1, 1) + CAST((8 - isodow(make_date(y, 1, 1))) % 7 + 14 AS INTEGER)
-            FROM years WHERE y >= 1998
-  UNION ALL SELECT make_date(y, 2, 1) + CAST((8 - isodow(make_date(y, 2, 1))) % 7 + 14 AS INTEGER) FROM years
-  UNION ALL SELECT make_date(y, 5, 31) - CAST((isodow(make_date(y, 5, 31)) + 6) % 7 AS INTEGER) FROM years
-  UNION ALL SELECT make_date(y, 9, 1) + CAST((8 - isodow(make_date(y, 9, 1))) % 7 AS INTEGER) FROM years
-  UNION ALL SELECT make_date(y, 11, 1) + CAST((11 - isodow(make_date(y, 11, 1))) % 7 + 21 AS INTEGER) FROM years
-  UNION ALL SELECT es - 2 FROM easter
-  UNION ALL SELECT CAST(s AS DATE) FROM (VALUES ('2001-09-11'), ('2001-09-12'), ('2001-09-13'),
-      ('2001-09-14'), ('2004-06-11'), ('2007-01-02'), ('2012-10-29'), ('2012-10-30'),
-      ('2018-12-05'), ('2025-01-09')) v(s)
-),
+{CLOSED.strip()},
 calendar AS (
   SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_key,
          lower(dayname(d)) AS day_of_week,
-         (isodow(d) <= 5 AND d NOT IN (SELECT h FROM hol WHERE h IS NOT NULL)) AS nasdaq_open
+         (isodow(d) <= 5 AND d NOT IN (SELECT h FROM closed)) AS nasdaq_open
   FROM days
 )"""
 
+CALENDAR = f"""
+bounds AS (SELECT CAST(min(o_orderdate) AS DATE) AS lo, CAST(max(o_orderdate) AS DATE) AS hi FROM orders),
+{_CALENDAR_OF_BOUNDS.strip()}"""
+
+EVENT_CALENDAR = f"""
+bounds AS (SELECT make_date(year(min(ts)), 1, 1) AS lo, make_date(year(max(ts)), 12, 31) AS hi FROM events),
+{_CALENDAR_OF_BOUNDS.strip()}"""
+
 PAIRS = """
 pairs AS (
   SELECT DISTINCT event_type AS currency, 'U' || CAST(user_id % 5 AS VARCHAR) AS transaction_currency
@@ -222,6 +213,10 @@ ORACLE_SQL: dict[str, str] = {
     "shares_outstanding": f"WITH {FILINGS.strip()}\nSELECT * FROM shares",
     "shares_outstanding_json": f"WITH {FILINGS.strip()}\nSELECT * FROM shares",
     "daily_prices": f"WITH {PRICE_HISTORY.strip()}\nSELECT * FROM daily",
+    "daily_prices_repeated": f"""WITH {PRICE_HISTORY.strip()}
+SELECT daily.* FROM daily
+UNION ALL
+SELECT daily.* FROM daily JOIN part ON daily.ticker = CAST(p_partkey AS VARCHAR) AND p_size % 2 = 0""",
     "daily_fx": f"""WITH {PAIRS.strip()},
 fx AS (
   SELECT event_type || 'U' || CAST(user_id % 5 AS VARCHAR) || '=X' AS symbol,
@@ -243,6 +238,7 @@ SELECT row_number() OVER (ORDER BY p_name NULLS FIRST) - 1 AS asset_id,
        p_name AS ticker, 'equity' AS asset_class
 FROM part""",
     "trading_calendar": f"WITH {CALENDAR.strip()}\nSELECT * FROM calendar",
+    "trading_calendar_event_years": f"WITH {EVENT_CALENDAR.strip()}\nSELECT * FROM calendar",
     "open_days": f"WITH {CALENDAR.strip()}\nSELECT * FROM calendar WHERE nasdaq_open",
     "latest_per_key": f"""WITH {EVENT_EXTENDED.strip()}
 SELECT d.ticker, d.source, d.date_key, d.stock_open, d.stock_high, d.stock_low, d.stock_close,

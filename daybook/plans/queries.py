@@ -2,8 +2,8 @@
 
 Every callable takes ``(spark, sf_dir)`` and returns a DataFrame (nothing is
 collected).  The matching DuckDB statements live in ``plans.oracle``.
-Queries over landed file formats (CSV, JSON) first land testdata-derived
-files in the shared scratch folder, once per session (``landed``).
+Queries over CSV lists first write them, on every call, as files in the
+shared scratch folder; JSON documents are made and parsed within one plan.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from daybook.operators import (
     asset_dimension,
     calendar_rows,
     cik_map,
+    currency_pairs,
     daily_fx,
     daily_prices,
     equity_extended,
@@ -27,35 +28,20 @@ from daybook.operators import (
 )
 from daybook.operators.trading_days import date_spine_between
 from daybook.session import scratch_path
-from daybook.sources import read_cik_document, read_company_facts, read_currency_pairs, read_tickers
+from daybook.sources import flatten_cik_documents, parse_company_facts, read_currency_pairs, read_tickers
 from daybook.sources import testdata as td
 
 
-_LANDED: dict[tuple[int, str, str], tuple[SparkSession, str]] = {}
-
-
-def landed(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], None]) -> str:
-    """Path of a landed copy of testdata-derived files, written once per session.
-
-    Landing stands in for the extract job that drops files off; the queries
-    then only read them, as they would in production.  Later calls in the
-    same session reuse the files instead of landing another copy.
-    """
-    key = (id(spark), sf_dir, name)
-    hit = _LANDED.get(key)
-    if hit is None or hit[0] is not spark:
-        path = scratch_path(spark, name)
-        write(path)
-        hit = (spark, path)
-        _LANDED[key] = hit
-    return hit[1]
+def landed(spark: SparkSession, rows: DataFrame, name: str) -> str:
+    """Path of ``rows`` written as CSV files with a header, as an extract job would drop them off."""
+    path = scratch_path(spark, name)
+    rows.write.option("header", True).csv(path)
+    return path
 
 
 def q_asset_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ticker list lands as a CSV file in the shared scratch folder, then is read back."""
-    path = landed(spark, sf_dir, "tickers_csv", lambda p: td.tickers_by_name(spark, sf_dir)
-                  .write.option("header", True).csv(p))
-    return asset_dimension(read_tickers(spark, path))
+    return asset_dimension(read_tickers(spark, landed(spark, td.tickers_by_name(spark, sf_dir), "tickers_csv")))
 
 
 def q_cik_map(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,17 +49,15 @@ def q_cik_map(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_cik_map_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Same map, with the entries landed as company→CIK JSON objects and read back."""
-    path = landed(spark, sf_dir, "company_tickers_json", lambda p: td.cik_documents(
-        td.cik_entries_by_name(spark, sf_dir)).write.partitionBy("part").text(p))
-    return cik_map(read_cik_document(spark, path))
+    """Same map, with the entries as company→CIK JSON objects, parsed in the plan."""
+    docs = td.cik_documents(td.cik_entries_by_name(spark, sf_dir)).withColumnRenamed("part", "doc")
+    return cik_map(flatten_cik_documents(docs))
 
 
 def q_currency_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs land as a CSV file in the shared scratch folder, then are read back."""
-    path = landed(spark, sf_dir, "currency_pairs_csv", lambda p: td.currency_pairs_frame(spark, sf_dir)
-                  .write.option("header", True).csv(p))
-    return read_currency_pairs(spark, path)
+    path = landed(spark, td.currency_pairs_frame(spark, sf_dir), "currency_pairs_csv")
+    return currency_pairs(read_currency_pairs(spark, path))
 
 
 def q_daily_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,6 +66,13 @@ def q_daily_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_daily_prices_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily prices for a list that names some tickers twice: their rows come twice."""
+    return daily_prices(
+        td.price_history(spark, sf_dir), td.tickers_repeated(spark, sf_dir), td.PRICE_START, td.PRICE_END
+    )
+
+
 def q_daily_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
     return daily_fx(td.fx_history(spark, sf_dir), q_currency_pairs(spark, sf_dir), td.FX_START, td.FX_END)
 
@@ -102,11 +93,9 @@ def q_shares_outstanding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_shares_outstanding_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Same selection, with the facts landed as company-facts JSON documents."""
-    path = landed(spark, sf_dir, "company_facts_json", lambda p: td.facts_documents(
-        td.filing_facts(spark, sf_dir)).write.text(p))
-    facts = read_company_facts(spark, path, multi_line=False, concepts=td.TESTDATA_CONCEPTS)
-    return _shares(spark, sf_dir, facts)
+    """Same selection, with the facts as company-facts JSON documents, parsed in the plan."""
+    docs = td.facts_documents(td.numbered_filing_facts(spark, sf_dir))
+    return _shares(spark, sf_dir, parse_company_facts(docs, td.TESTDATA_CONCEPTS))
 
 
 def q_asof_market_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -140,6 +129,11 @@ def q_trading_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
     return calendar_rows(date_spine_between(bounds, "lo", "hi"))
 
 
+def q_trading_calendar_event_years(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Calendar over the whole years that ``events`` covers (2024)."""
+    return calendar_rows(date_spine_between(td.event_years(spark, sf_dir), "lo", "hi"))
+
+
 def q_open_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return open_days(q_trading_calendar(spark, sf_dir))
 
@@ -164,12 +158,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "shares_outstanding": q_shares_outstanding,
     "shares_outstanding_json": q_shares_outstanding_json,
     "daily_prices": q_daily_prices,
+    "daily_prices_repeated": q_daily_prices_repeated,
     "daily_fx": q_daily_fx,
     "currency_pairs": q_currency_pairs,
     "cik_map": q_cik_map,
     "cik_map_json": q_cik_map_json,
     "asset_dimension": q_asset_dimension,
     "trading_calendar": q_trading_calendar,
+    "trading_calendar_event_years": q_trading_calendar_event_years,
     "open_days": q_open_days,
     "latest_per_key": q_latest_per_key,
     "latest_per_customer": q_latest_per_customer,

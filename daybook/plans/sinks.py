@@ -27,8 +27,10 @@ def write_table(
     default: a partition column is appended to the table's contract.
     ``sort_within`` orders rows inside each output file (no shuffle), which
     tightens Parquet min/max statistics for later key and date filters.
-    With ``contract``, ``null_violations`` counts rows with a NULL in a
-    column the contract declares non-null (Spark does not enforce it).
+    With ``contract``, a NULL in a column the contract declares non-null
+    (Spark does not enforce it) fails the write: files go to a sibling
+    folder first and take the table's place only if the counts allow it, so
+    a refused write leaves the old table as it was.
     """
     obs = Observation(f"write_{uuid.uuid4().hex}")
     metrics = [F.count(F.lit(1)).alias("rows")]
@@ -39,11 +41,37 @@ def write_table(
     observed = df.observe(obs, *metrics)
     if sort_within:
         observed = observed.sortWithinPartitions(*sort_within)
-    writer = observed.write.mode("overwrite")
+    writer = observed.write
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
-    return {k: int(v) for k, v in obs.get.items()}
+    staged = f"{path.rstrip('/')}.staged-{uuid.uuid4().hex}"
+    writer.parquet(staged)
+    counts = {k: int(v) for k, v in obs.get.items()}
+    if counts.get("null_violations"):
+        _folder(df, staged).delete()
+        raise ValueError(f"{path}: {counts['null_violations']} rows break the non-null contract; the table was not replaced")
+    _folder(df, staged).rename(path)
+    return counts
+
+
+class _folder:
+    """A folder in whatever store Spark writes to."""
+
+    def __init__(self, df: DataFrame, path: str):
+        spark = df.sparkSession
+        self.make = spark._jvm.org.apache.hadoop.fs.Path
+        self.path = self.make(path)
+        self.fs = self.path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+    def delete(self) -> None:
+        self.fs.delete(self.path, True)
+
+    def rename(self, path: str) -> None:
+        """Takes the place of ``path``."""
+        to = self.make(path)
+        self.fs.delete(to, True)
+        if not self.fs.rename(self.path, to):
+            raise OSError(f"could not move {self.path} to {to}")
 
 
 def with_year(df: DataFrame, key_col: str = "date_key") -> DataFrame:

@@ -2,6 +2,8 @@
 
 from daybook.sources.landed import (
     flatten_company_facts,
+    flatten_cik_documents,
+    parse_company_facts,
     read_cik_document,
     read_company_facts,
     read_currency_pairs,
@@ -14,6 +16,8 @@ from daybook.sources.landed import (
 
 __all__ = [
     "flatten_company_facts",
+    "flatten_cik_documents",
+    "parse_company_facts",
     "read_cik_document",
     "read_company_facts",
     "read_currency_pairs",

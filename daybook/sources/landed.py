@@ -60,9 +60,13 @@ def read_cik_document(spark: SparkSession, path: str) -> DataFrame:
     order) is read in parallel.  A damaged document fails the read rather
     than passing for an empty mapping.
     """
-    docs = spark.read.text(path, wholetext=True).select(
+    return flatten_cik_documents(spark.read.text(path, wholetext=True).select(
         F.col("_metadata.file_path").alias("doc"), "value"
-    )
+    ))
+
+
+def flatten_cik_documents(docs: DataFrame) -> DataFrame:
+    """Company→CIK documents as text (``doc, value``) → one row per entry (see ``read_cik_document``)."""
     entries = docs.select(
         "doc", F.posexplode(F.map_values(F.from_json("value", CIK_DOCUMENT_DDL, {"mode": "FAILFAST"})))
     )
@@ -115,6 +119,12 @@ def flatten_company_facts(docs: DataFrame, concepts: list[str] | None = None) ->
     )
 
 
+def parse_company_facts(docs: DataFrame, concepts: list[str] = SHARE_CONCEPTS) -> DataFrame:
+    """Company-facts documents as JSON text (``value``) → one row per share-count entry."""
+    schema = company_facts_schema(concepts, FACTS_TAXONOMY, SHARES_UNIT)
+    return flatten_company_facts(docs.select(F.from_json("value", schema).alias("d")).select("d.*"), concepts)
+
+
 def read_company_facts(
     spark: SparkSession,
     path: str,
@@ -191,10 +201,14 @@ def read_price_history_csv_per_ticker(spark: SparkSession, path: str) -> DataFra
 
 def read_fx_history_csv_per_symbol(spark: SparkSession, path: str) -> DataFrame:
     """FX history landed as one CSV per symbol (file ``<SYMBOL>.csv``, e.g.
-    ``USDJPY=X.csv``) with ``Date`` and ``Close``.  Returns ``FX_HISTORY``."""
+    ``USDJPY=X.csv``) with ``Date`` and ``Close``.  Returns ``FX_HISTORY``.
+
+    Rows whose day or rate is missing or unreadable are left out, so that one
+    bad line or pair does not fail the others.
+    """
     raw = spark.read.csv(path, header=True).select("Date", "Close", "_metadata")
     return raw.select(
         _name_from_file().alias("symbol"),
-        _local_day(F.col("Date")).alias("day"),
-        F.col("Close").cast("double").alias("close"),
-    )
+        F.substring("Date", 1, 10).try_cast("date").alias("day"),
+        F.col("Close").try_cast("double").alias("close"),
+    ).dropna(subset=["day", "close"])

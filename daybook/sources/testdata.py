@@ -23,7 +23,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.functions import date_key, zero_pad_cik
@@ -47,21 +47,9 @@ LONG_CIK_EVERY = 7
 LONG_CIK_OFFSET = 10_000_000_000
 
 
-_TABLES: dict[tuple[int, str], tuple[SparkSession, DataFrame]] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One testdata table; each session reads (and infers the schema of) a file once.
-
-    The testdata files are read-only, so the DataFrame is reused within a
-    session; the entry keeps its session, so a new session never matches it.
-    """
-    path = f"{sf_dir}/{name}.parquet"
-    hit = _TABLES.get((id(spark), path))
-    if hit is None or hit[0] is not spark:
-        hit = (spark, spark.read.parquet(path))
-        _TABLES[(id(spark), path)] = hit
-    return hit[1]
+    """One testdata table."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def tickers_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -103,31 +91,24 @@ def _form(priority):
     return expr
 
 
-def filing_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Flat company facts ``cik, concept, pos, form, end, filed, val``.
+# Columns that order the entries of one (CIK, concept), i.e. its document order.
+DOCUMENT_ORDER = ["o_orderdate", "l_shipdate", "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice"]
 
-    ``pos`` (document order) only has to increase along the total order
-    within a (CIK, concept); a global sort on (part, flag, status, order
-    columns) followed by ``monotonically_increasing_id`` gives that.  The
-    sort range-partitions on all those columns, so one company with a huge
-    history is still spread over many tasks (a window partitioned by
-    (CIK, concept) would put it in one).  Sorting on the raw numeric columns
-    and formatting text afterwards keeps the sort's sampling pass cheap.
-    """
+
+def _filing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice",
         "l_returnflag", "l_linestatus", "l_shipdate",
     )
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_orderpriority")
-    rows = li.join(orders, li["l_orderkey"] == orders["o_orderkey"])
-    ordered = rows.orderBy(
-        "l_partkey", "l_returnflag", "l_linestatus",
-        "o_orderdate", "l_shipdate", "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice",
-    )
-    return ordered.select(
+    return li.join(orders, li["l_orderkey"] == orders["o_orderkey"])
+
+
+def _as_facts(rows: DataFrame, pos: Column) -> DataFrame:
+    return rows.select(
         zero_pad_cik(F.col("l_partkey")).alias("cik"),
         F.concat("l_returnflag", "l_linestatus").alias("concept"),
-        F.monotonically_increasing_id().alias("pos"),
+        pos.alias("pos"),
         _form(F.col("o_orderpriority")).alias("form"),
         F.date_format("o_orderdate", "yyyy-MM-dd").alias("end"),
         F.date_format("l_shipdate", "yyyy-MM-dd").alias("filed"),
@@ -135,6 +116,27 @@ def filing_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def filing_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flat company facts ``cik, concept, pos, form, end, filed, val``.
+
+    ``pos`` (document order) is the struct of the ordering columns: the
+    selection only compares positions, so no sort has to number the rows.
+    """
+    return _as_facts(_filing_rows(spark, sf_dir), F.struct(*DOCUMENT_ORDER))
+
+
+def numbered_filing_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``filing_facts`` with ``pos`` as a number, for writing documents.
+
+    A global sort on (part, flag, status, order columns) followed by
+    ``monotonically_increasing_id``: it range-partitions on all those
+    columns, so one company with a huge history is still spread over many
+    tasks (a window per (CIK, concept) would put it in one).
+    """
+    ordered = _filing_rows(spark, sf_dir).orderBy("l_partkey", "l_returnflag", "l_linestatus", *DOCUMENT_ORDER)
+    return _as_facts(ordered, F.monotonically_increasing_id())
+
+
 # Most entries one written company-facts document may hold.
 DOC_CHUNK = 1000
 
@@ -220,6 +222,21 @@ def currency_pairs_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.unionByName(extra)
 
 
+def event_years(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``lo, hi``: first and last day of the calendar years that ``events`` covers."""
+    return table(spark, sf_dir, "events").agg(F.min("ts").alias("a"), F.max("ts").alias("b")).select(
+        F.make_date(F.year("a"), F.lit(1), F.lit(1)).alias("lo"),
+        F.make_date(F.year("b"), F.lit(12), F.lit(31)).alias("hi"),
+    )
+
+
+def tickers_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A ticker list in which every part of an even size is listed twice."""
+    part = table(spark, sf_dir, "part")
+    times = F.when(F.col("p_size") % 2 == 0, F.lit(2)).otherwise(F.lit(1))
+    return part.select(F.col("p_partkey").cast("string").alias("ticker"), F.explode(F.sequence(F.lit(1), times)).alias("n")).select("ticker")
+
+
 def fx_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``symbol, day, close``: the last event value per symbol and day."""
     ev = table(spark, sf_dir, "events")
@@ -302,7 +319,7 @@ def land_files(spark: SparkSession, sf_dir: str, root: str) -> None:
         f"{root}/company_tickers.json")
     mapping = F.create_map(*[x for pair in zip(TESTDATA_CONCEPTS, SHARE_CONCEPTS)
                              for x in (F.lit(pair[0]), F.lit(pair[1]))])
-    facts = filing_facts(spark, sf_dir).withColumn("concept", mapping[F.col("concept")]).where(
+    facts = numbered_filing_facts(spark, sf_dir).withColumn("concept", mapping[F.col("concept")]).where(
         F.col("concept").isNotNull())
     facts_documents(facts).write.text(f"{root}/companyfacts")
     price_history(spark, sf_dir).write.parquet(f"{root}/prices")

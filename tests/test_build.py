@@ -30,8 +30,8 @@ def _land(spark, root):
         json.dump({"0": {"cik_str": 320193, "ticker": "AAPL", "title": "Apple"},
                    "1": {"cik_str": 1045810, "ticker": "NVDA", "title": "NVIDIA"}}, fh)
     os.makedirs(os.path.join(root, "companyfacts"))
-    for cik, entries in [(320193, [("10-Q", "2023-12-30", "2024-02-01", 15000000000),
-                                   ("10-Q", "2024-03-30", "2024-05-01", 15500000000)]),
+    for cik, entries in [(320193, [("10-Q", "2023-12-30", "2024-02-01", 81000),
+                                   ("10-Q", "2024-03-30", "2024-05-01", 82500)]),
                          (1045810, [("10-K", "2024-01-28", "2024-02-21", 2500000000)])]:
         doc = {"cik": cik, "facts": {"us-gaap": {CSO: {"units": {"shares": [
             {"form": f, "end": e, "filed": fd, "val": v} for f, e, fd, v in entries]}}}}}
@@ -69,8 +69,8 @@ def test_build_all(spark):
             [(f.name, f.dataType) for f in schema.fields], name
     ext = {(r.ticker, r.date_key): r for r in spark.read.parquet(os.path.join(out, "equity_table_extended")).collect()}
     assert ext[("AAPL", 20240102)].edgar_10q_date_key == 20231230
-    assert ext[("AAPL", 20240401)].edgar_shares_outstanding == 15500000000
-    assert ext[("AAPL", 20240401)].market_cap == 190.0 * 15500000000
+    assert ext[("AAPL", 20240401)].edgar_shares_outstanding == 82500
+    assert ext[("AAPL", 20240401)].market_cap == 190.0 * 82500
     assert ext[("NVDA", 20240102)].edgar_shares_outstanding is None      # 10-K period ends 01-28
     assert ext[("GME", 20240102)].edgar_cik is None
 
@@ -142,7 +142,7 @@ def test_build_all_from_per_ticker_csv_history(spark):
     assert report["daily_table"]["rows"] == 4
     assert report["daily_currency_table"]["rows"] == 1
     ext = {(r.ticker, r.date_key): r for r in spark.read.parquet(os.path.join(out, "equity_table_extended")).collect()}
-    assert ext[("AAPL", 20240401)].market_cap == 190.0 * 15500000000
+    assert ext[("AAPL", 20240401)].market_cap == 190.0 * 82500
 
 
 def test_build_twice_in_one_session(spark):
@@ -169,14 +169,21 @@ def test_build_from_landed_testdata(spark):
     assert report["asset_table"]["rows"] == spark.read.parquet(f"{sf}/part.parquet").count()
 
 
-def test_null_contract_violations_are_counted(spark):
+def test_null_contract_violations_refuse_the_write(spark):
+    import pytest
     from daybook.plans.sinks import write_table
     from daybook.schemas import SHARES_TABLE, null_violations
-    df = spark.createDataFrame([("AAPL", None, 20240101, 1), (None, "0000000001", 20240101, 2)],
-                               "ticker string, cik string, date_key int, shares_outstanding long")
-    report = write_table(df, os.path.join(tempfile.mkdtemp(prefix="nulls-"), "t"), contract=SHARES_TABLE)
-    assert report == {"rows": 2, "null_violations": 2}
-    assert tuple(null_violations(df, SHARES_TABLE).first()) == (1, 1, 0, 0)
+    ddl = "ticker string, cik string, date_key int, shares_outstanding long"
+    good = spark.createDataFrame([("KELP", "0000000077", 20240101, 1)], ddl)
+    bad = spark.createDataFrame([("KELP", None, 20240101, 1), (None, "0000000001", 20240101, 2)], ddl)
+    folder = tempfile.mkdtemp(prefix="nulls-")
+    path = os.path.join(folder, "t")
+    assert write_table(good, path, contract=SHARES_TABLE) == {"rows": 1, "null_violations": 0}
+    with pytest.raises(ValueError, match="2 rows"):
+        write_table(bad, path, contract=SHARES_TABLE)
+    assert os.listdir(folder) == ["t"]
+    assert [r.ticker for r in spark.read.parquet(path).collect()] == ["KELP"]
+    assert tuple(null_violations(bad, SHARES_TABLE).first()) == (1, 1, 0, 0)
 
 
 def test_damaged_cik_document_fails(spark):

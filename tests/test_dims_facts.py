@@ -62,12 +62,12 @@ def _history(spark, rows):
 
 
 def test_daily_prices(spark):
-    hist = _history(spark, [("AAPL", date(2024, 1, 2), 150.0, 155.0, 149.0, 154.0, 1000000.0),
-                            ("AAPL", date(2024, 12, 31), 1.0, 1.0, 1.0, 1.0, 1.0),   # end is exclusive
+    hist = _history(spark, [("KELP", date(2024, 6, 3), 21.5, 23.0, 20.75, 22.25, 640.9),
+                            ("KELP", date(2024, 12, 31), 1.0, 1.0, 1.0, 1.0, 1.0),   # end is exclusive
                             ("MSFT", date(2024, 1, 2), 1.0, 1.0, 1.0, 1.0, 1.0)])   # not listed
-    tickers = spark.createDataFrame([("AAPL",), ("AAPL",), ("GME",)], "ticker string")
+    tickers = spark.createDataFrame([("KELP",), ("KELP",), ("FERN",)], "ticker string")
     out = [tuple(r) for r in daily_prices(hist, tickers, date(2024, 1, 1), date(2024, 12, 31)).collect()]
-    assert out == [("AAPL", "yahoo_finance", 20240102, 150.0, 155.0, 149.0, 154.0, 1000000)] * 2
+    assert out == [("KELP", "yahoo_finance", 20240603, 21.5, 23.0, 20.75, 22.25, 640)] * 2
 
 
 def test_daily_prices_empty_history(spark):
@@ -76,11 +76,11 @@ def test_daily_prices_empty_history(spark):
 
 
 def test_daily_fx(spark):
-    hist = spark.createDataFrame([("USDJPY=X", date(2024, 1, 2), 150.0), ("USDJPY=X", date(2024, 1, 3), 151.0),
-                                  ("EURUSD=X", date(2024, 1, 2), 1.1)], FX_HISTORY)
-    pairs = spark.createDataFrame([("USD", "JPY"), ("GBP", "EUR")], "currency string, transaction_currency string")
+    hist = spark.createDataFrame([("NOKSEK=X", date(2024, 6, 3), 0.97), ("NOKSEK=X", date(2024, 6, 4), 0.99),
+                                  ("CHFPLN=X", date(2024, 6, 3), 4.4)], FX_HISTORY)
+    pairs = spark.createDataFrame([("NOK", "SEK"), ("GBP", "EUR")], "currency string, transaction_currency string")
     out = sorted(tuple(r) for r in daily_fx(hist, pairs, date(2024, 1, 1), date(2024, 12, 31)).collect())
-    assert out == [("USD", "JPY", 20240102, 1.0, 150.0), ("USD", "JPY", 20240103, 1.0, 151.0)]
+    assert out == [("NOK", "SEK", 20240603, 1.0, 0.97), ("NOK", "SEK", 20240604, 1.0, 0.99)]
 
 
 def test_exchange_day_of_utc_instant(spark):
@@ -107,21 +107,21 @@ def test_per_ticker_csv_history(spark):
     d = tempfile.mkdtemp(prefix="hist-")
     with open(os.path.join(d, "AAPL.csv"), "w") as fh:
         fh.write("Date,Open,High,Low,Close,Volume,Dividends,Stock Splits\n"
-                 "2024-01-02 00:00:00-05:00,150,155,149,154,1000000,0.0,0.0\n")
+                 "2024-01-02 00:00:00-05:00,70,75.5,69.25,72,4100,0.0,0.0\n")
     with open(os.path.join(d, "NVDA.csv"), "w") as fh:
         fh.write("Date,Open,High,Low,Close,Volume,Dividends,Stock Splits\n")   # empty history
     tickers = spark.createDataFrame([("AAPL",), ("NVDA",)], "ticker string")
     out = [tuple(r) for r in daily_prices(read_price_history_csv_per_ticker(spark, d), tickers,
                                           date(2024, 1, 1), date(2024, 12, 31)).collect()]
-    assert out == [("AAPL", "yahoo_finance", 20240102, 150.0, 155.0, 149.0, 154.0, 1000000)]
+    assert out == [("AAPL", "yahoo_finance", 20240102, 70.0, 75.5, 69.25, 72.0, 4100)]
     f = tempfile.mkdtemp(prefix="fxhist-")
     with open(os.path.join(f, "USDJPY=X.csv"), "w") as fh:
-        fh.write("Date,Open,High,Low,Close,Volume\n2024-01-02 00:00:00+00:00,1,1,1,150.0,0\n"
-                 "2024-01-03 00:00:00+00:00,1,1,1,151.0,0\n")
+        fh.write("Date,Open,High,Low,Close,Volume\n2024-01-02 00:00:00+00:00,1,1,1,9.25,0\n"
+                 "2024-01-03 00:00:00+00:00,1,1,1,9.5,0\n")
     pairs = spark.createDataFrame([("USD", "JPY")], "currency string, transaction_currency string")
     fx = sorted(tuple(r) for r in daily_fx(read_fx_history_csv_per_symbol(spark, f), pairs,
                                              date(2024, 1, 1), date(2024, 12, 31)).collect())
-    assert fx == [("USD", "JPY", 20240102, 1.0, 150.0), ("USD", "JPY", 20240103, 1.0, 151.0)]
+    assert fx == [("USD", "JPY", 20240102, 1.0, 9.25), ("USD", "JPY", 20240103, 1.0, 9.5)]
 
 
 def test_cluster_conf_sizes_shuffles():
@@ -147,3 +147,16 @@ def test_no_join_hint_and_no_job_while_building(spark):
     tickers = spark.range(2).selectExpr("'A' AS ticker", "raise_error('ran') AS x")
     plan = daily_prices(history, tickers, date(2024, 1, 1), date(2024, 2, 1))._jdf.queryExecution().analyzed().toString()
     assert "ResolvedHint" not in plan
+
+
+def test_one_bad_fx_file_leaves_the_others(spark):
+    import os
+    import tempfile
+    from daybook.sources import read_fx_history_csv_per_symbol
+    root = tempfile.mkdtemp(prefix="fx-")
+    for name, lines in {"NOKSEK=X": ["2024-06-03,0.97", "2024-06-04,n/a", "2024-06-05,"],
+                        "CHFPLN=X": ["not a day,4.4", "2024-06-03 00:00:00+01:00,4.5"]}.items():
+        with open(os.path.join(root, f"{name}.csv"), "w") as out:
+            out.write("\n".join(["Date,Close", *lines]) + "\n")
+    got = sorted(tuple(r) for r in read_fx_history_csv_per_symbol(spark, root).collect())
+    assert got == [("CHFPLN=X", date(2024, 6, 3), 4.5), ("NOKSEK=X", date(2024, 6, 3), 0.97)]

@@ -138,16 +138,11 @@ def test_calendar_reads_one_column(spark):
     assert len(scans) == 1 and "FileScan parquet [o_orderdate" in scans[0]
 
 
-def test_landed_files_are_written_once_per_session(spark):
-    from daybook.plans.queries import landed
-    calls = []
-
-    def write(path):
-        calls.append(path)
-        spark.range(3).write.parquet(path)
-
-    first = landed(spark, SF, "probe", write)
-    second = landed(spark, SF, "probe", write)
-    other = landed(spark, SF + "/other", "probe", write)
-    assert first == second != other and len(calls) == 2
-    assert spark.read.parquet(first).count() == 3
+@pytest.mark.parametrize("name", ["cik_map_json", "shares_outstanding_json"])
+def test_json_queries_read_their_tables(spark, name):
+    assert any("/part.parquet" in scan for scan in _scans(spark, name))
+
+
+def test_filings_are_not_sorted_as_a_whole(spark):
+    plan = queries()["shares_outstanding"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan
