@@ -16,7 +16,7 @@ from datetime import date
 
 from daybook.plans.build import DATE_TABLES, EQUITY_TABLES, TABLES, build_all
 from daybook.plans.sinks import preview
-from daybook.session import get_session
+from daybook.session import cluster_conf, get_session
 
 PRESETS = {"all": TABLES, "equity": EQUITY_TABLES, "date": DATE_TABLES}
 
@@ -39,11 +39,16 @@ def main(argv: list[str] | None = None) -> None:
                     help="company facts as JSON Lines instead of one document per file")
     ap.add_argument("--preview", type=int, default=0, help="show the first N rows of each table")
     ap.add_argument("--master", default=None, help="Spark master (default: from the environment)")
+    ap.add_argument("--input-gb", type=float, default=0, help="size of the landed input, to size the shuffles by")
     args = ap.parse_args(argv)
 
     tables = PRESETS.get(args.tables) or [t.strip() for t in args.tables.split(",") if t.strip()]
     spark = get_session(args.master, app_name="daybook-build")
     try:
+        if args.input_gb:
+            sizing = cluster_conf(int(args.input_gb * (1 << 30)), spark.sparkContext.defaultParallelism)
+            for key, value in sizing.items():
+                spark.conf.set(key, value)
         report = build_all(spark, args.landing, args.out, args.start, args.end,
                            partition_by_year=args.partition_by_year, tables=tables,
                            history_format=args.history_format,

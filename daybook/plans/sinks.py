@@ -24,7 +24,8 @@ def write_table(
     ``rows`` and one count per ``flags`` entry (e.g. open days, rows without a
     filing) are gathered by an ``Observation`` while the write runs, so the
     plan executes once.  ``partition_by`` (e.g. ``["year"]``) is off by
-    default: a partition column is appended to the table's contract.
+    default: a partition column is appended to the table's contract.  Rows
+    are then rebalanced by it (one shuffle), so a folder gets few files.
     ``sort_within`` orders rows inside each output file (no shuffle), which
     tightens Parquet min/max statistics for later key and date filters.
     With ``contract``, a NULL in a column the contract declares non-null
@@ -39,8 +40,11 @@ def write_table(
     if any_null is not None:
         metrics.append(F.count_if(any_null).alias("null_violations"))
     observed = df.observe(obs, *metrics)
+    if partition_by:
+        # Else every task would write a file into every partition folder; AQE splits the large ones.
+        observed = observed.hint("rebalance", *partition_by)
     if sort_within:
-        observed = observed.sortWithinPartitions(*sort_within)
+        observed = observed.sortWithinPartitions(*(partition_by or []), *sort_within)
     writer = observed.write
     if partition_by:
         writer = writer.partitionBy(*partition_by)

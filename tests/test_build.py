@@ -111,7 +111,7 @@ def test_command_line(spark):
     repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     run = subprocess.run(
         [sys.executable, "-m", "daybook", "--landing", root, "--out", out, "--tables", "equity",
-         "--master", "local[2]"],
+         "--master", "local[2]", "--input-gb", "0.5"],
         cwd=repo, capture_output=True, text=True, timeout=600)
     assert run.returncode == 0, run.stderr[-2000:]
     lines = [_json.loads(x) for x in run.stdout.splitlines() if x.startswith("{")]
@@ -194,3 +194,17 @@ def test_damaged_cik_document_fails(spark):
         fh.write('{"0": {"cik_str": 320193, "ticker": "AAPL", "title"')
     with pytest.raises(Exception, match="(?i)malformed"):
         read_cik_document(spark, path).collect()
+
+
+def test_year_folders_get_few_files(spark):
+    from pyspark.sql import functions as F
+    from daybook.plans.sinks import with_year, write_table
+    df = with_year(spark.range(0, 4000, 1, 8).select(
+        ((2020 + F.col("id") % 4) * 10000 + 101 + F.col("id") % 28).cast("int").alias("date_key"), "id"))
+    path = os.path.join(tempfile.mkdtemp(prefix="years-"), "t")
+    assert write_table(df, path, partition_by=["year"], sort_within=["id"]) == {"rows": 4000}
+    for year in range(2020, 2024):
+        files = [f for f in os.listdir(os.path.join(path, f"year={year}")) if f.endswith(".parquet")]
+        assert len(files) == 1
+        rows = [r.id for r in spark.read.parquet(os.path.join(path, f"year={year}", files[0])).collect()]
+        assert rows == sorted(rows) and len(rows) == 1000
