@@ -29,14 +29,17 @@ from daybook.llm.common import WHITE_SPACE, cut, words
 #: Statistics of the vector; their transforms are in ``vector``.
 DIMS = 4
 MIN_GROUP = 20
-#: Variance added to each statistic (about the square of a harmless difference).
-RIDGE = (0.02, 0.02, 0.1, 0.1)
+#: Variance added to each statistic, so that chance in a short document is no outlier: the sampling variance of x0 at 50
+#: words (letters a word vary by 3) and of x1 at 200 words, of x2 and x3 at 20 lines and 20 separate repeats.  Small enough
+#: that each statistic alone can pass the cutoff.
+RIDGE = (0.07, 0.02, 0.05, 0.05)
 STEPS = 3
 BINS_PER_E = 16
 # Chi-square with 4 degrees of freedom, median.
 CHI2_MEDIAN = 3.356694
-#: Squared distance, scaled so that its median is the chi-square median, above which a document is rejected.
-CUTOFF = 400.0
+#: Squared distance, scaled so that its median is the chi-square median, above which a document is rejected: the
+#: 0.999 quantile of chi-square with 4 degrees of freedom.
+CUTOFF = 18.466827
 
 GROUP = ["lang_key", "source_key"]
 

@@ -505,6 +505,30 @@ def test_outlier_distances_equal_numpy(documents):
     assert all(got[i]["kept"] == (i % 10 != 0) for i in range(120))
 
 
+@pytest.mark.parametrize("spread", [False, True])
+def test_outlier_in_one_statistic_alone(documents, spread):
+    rng = random.Random(8)
+    rows, fresh = [], iter(range(10 ** 6))
+
+    def distinct(n, longest, symbols=0.0):
+        return [f"{next(fresh):06d}"[:6] + "x" * rng.randint(0, longest) + ("#" if rng.random() < symbols else "") for _ in range(n)]
+
+    def lines(w, per):
+        return "\n".join(" ".join(w[k:k + per]) for k in range(0, len(w), per))
+    for i in range(200):
+        rows.append((i, lines(distinct(200, rng.randint(0, 12) if spread else 4, rng.random() * 0.5 if spread else 0.0), 10)))
+    a = "same line"
+    rows.append((500, "\n".join(a + "\n" + " ".join(distinct(5, 4, 0.25 * spread)) for _ in range(30))))
+    phrase = distinct(44, 4, 0.25 * spread)
+    rows.append((501, lines(phrase + distinct(110, 4, 0.25 * spread) + phrase, 13)))
+    got = by_id(outliers.judge(documents(rows)))
+    assert got[500]["n_dup_lines"] == 29 and got[500]["n_repeat_words"] == 0
+    assert got[501]["n_dup_lines"] == 0 and got[501]["n_repeat_words"] == 88
+    assert not got[500]["base_failed"] and not got[501]["base_failed"]
+    assert not got[500]["kept"] and not got[501]["kept"]
+    assert sum(got[i]["kept"] for i in range(200)) >= 190
+
+
 def test_outlier_odd(odd, documents):
     got = outliers.judge(odd).collect()
     assert len(got) == odd.count() and not any(r["kept"] for r in got)
