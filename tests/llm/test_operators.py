@@ -138,6 +138,36 @@ def test_pii_trees_add_lookalikes(documents):
     assert got[1000]["n_phone"] == 0 and "phone:13:29" in got[1000]["spans"]
 
 
+def test_pii_adds_common_other_spellings(documents):
+    rng = random.Random(10)
+    rows, hidden = [], {}
+    for i in range(1200):
+        area, line, who = rng.randint(200, 999), rng.randint(1000, 9999), f"{rng.choice('abcdefg')}{rng.randint(10, 99)}"
+        secret = [f"+1 ({area}) 555-{line}", f"{who}@host.com", f"({area}) 555-{line}", f"{who} at host dot com"][i % 4]
+        rows.append((i, [f"Please phone {secret} today.", f"Contact {secret} today."][i % 2]))
+        if i % 4 > 1:
+            hidden[i] = (secret, ["phone", "email"][i % 2])
+    for i in range(1200, 1800):
+        rows.append((i, f"The range 12-14-{rng.randint(10, 99)} was seen at 10.{rng.randint(10, 59)} of it, in 44 12 {rng.randint(10, 99)} rows."))
+    for i in range(1800, 2400):
+        number = "".join(str(rng.randint(0, 9)) for _ in range(15))
+        check = next(d for d in range(10) if luhn(number + str(d)))
+        number += str(check if i % 2 else (check + rng.randint(1, 9)) % 10)
+        rows.append((i, f"Seen {number} here."))
+    rows.append((3000, "Seen 4111.1111.1111.1111 here."))
+    df = documents(rows)
+    texts = dict(rows)
+    got = by_id(pii.op2_pii(df))
+    assert got[3000]["n_card"] == 0 and got[3000]["spans"] == "card:5:24"
+    assert all((got[i]["spans"] == "card:5:21") == bool(i % 2) for i in range(1800, 2400))
+    clean = by_id(pii.redact(df))
+    for i, (secret, kind) in hidden.items():
+        at = texts[i].index(secret)
+        assert got[i]["n_phone"] == got[i]["n_email"] == 0 and got[i]["spans"] == f"{kind}:{at}:{at + len(secret)}"
+        assert clean[i]["text"] == texts[i].replace(secret, f"[{kind.upper()}]")
+    assert all(got[i]["spans"] == "" for i in range(1200, 1800))
+
+
 def test_pii_redaction_and_odd(odd, documents):
     df = pii.redact(documents([(1, "mail a@b.cc or +1 (555) 010-9999 now"), (2, None), (2, None), (3, "clean")], extra=("spans", "row")))
     assert sorted((r["doc_id"], r["text"], r["n_chars"]) for r in df.collect() if r["text"]) == [
