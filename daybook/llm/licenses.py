@@ -3,17 +3,22 @@
 A text is brought to a canonical form (lower case, copyright lines dropped,
 equivalent spellings made one, punctuation and white space reduced to single
 spaces) and digested; the digest is hash-joined to the digests of known
-licence texts.  The whole text is looked up, and so is each of its lines that
-names a licence, which finds one-line notices.
+licence texts, a table (by default KNOWN and the file known_licenses.json).
+The whole text is looked up, and so is each of its lines, which finds notices
+and licences written as one line.
 
-Scale: one pass; only digests meet in the join, and the known side is the
-constant list below, whose size bounds the broadcast.  Defined cases: null and
+Scale: the known table's digests are broadcast, so no text is shuffled; the
+few lines found are aggregated by (doc_id, text digest) and joined back to the
+rows' digests.  Defined cases: null and
 empty texts match nothing; repeated rows are each reported; ties cannot occur,
 as a digest belongs to one licence; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import json
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -50,7 +55,7 @@ SPELLINGS = [
     ("favour", "favor"), ("organisation", "organization"), ("whilst", "while"),
 ]
 COPYRIGHT_LINE = r"(?m)^[^\S\n]*(?:copyright\b|©|\(c\)\s)[^\n]*$"
-#: Lines looked up on their own name a licence and are no longer than this.
+#: The SQL below looks up lines that name a licence and are no longer than this; ``scan`` looks up every line.
 NOTICE_CHARS = 400
 
 
@@ -66,26 +71,36 @@ def digest(text: Column) -> Column:
     return F.sha2(canonical(text), 256)
 
 
-def known_digests(spark) -> DataFrame:
-    """known (digest), license: bounded by the list of known texts."""
-    rows = spark.createDataFrame(KNOWN, "license string, body string")
-    return rows.select(digest(F.col("body")).alias("known"), "license").dropDuplicates(["known"])
+def known_texts(spark) -> DataFrame:
+    """license, body: KNOWN and the whole texts and standard notices of the file beside this module."""
+    listed = json.loads((Path(__file__).parent / "known_licenses.json").read_text(encoding="utf-8"))
+    return spark.createDataFrame(KNOWN + [(x["license"], x["body"]) for x in listed], "license string, body string")
+
+
+def known_digests(texts: DataFrame) -> DataFrame:
+    """known (digest), license of a table of known texts; of several licences of one digest the first by name.
+
+    Each text counts as listed and as one line without its copyright notices: ``canonical`` drops every line that
+    starts with the word copyright, so a listed line "COPYRIGHT HOLDERS BE LIABLE" is missing from the first.
+    """
+    one_line = F.translate(F.regexp_replace("body", r"(?mi)^[^\S\n]*(?:copyright\s+(?:\(c\)|©|[0-9])|©|\(c\)\s)[^\n]*$", " "), "\n", " ")
+    return texts.select("license", F.explode(F.array("body", one_line)).alias("body")).groupBy(digest(F.col("body")).alias("known")).agg(F.min("license").alias("license"))
 
 
-def scan(docs: DataFrame) -> DataFrame:
+def scan(docs: DataFrame, texts: DataFrame | None = None) -> DataFrame:
     """doc_id, digest (of the whole text; null if nothing is left of it), license (or null), notices (ids, sorted, comma-joined)."""
-    spark = docs.sparkSession
-    known = F.broadcast(known_digests(spark))
-    lines = F.filter(F.split("text", "\n"), lambda x: (F.length(x) <= NOTICE_CHARS) & x.rlike("(?i)licen[cs]e"))
-    rows = docs.select("doc_id", "text").select(
-        "doc_id", F.when(canonical(F.col("text")) != "", digest(F.col("text"))).alias("digest"),
-        F.coalesce(F.array_distinct(F.transform(lines, digest)), F.array().cast("array<string>")).alias("lines"))
-    listed = known_digests(spark).agg(F.map_from_entries(F.collect_list(F.struct("known", "license"))).alias("ids"))
+    known = F.broadcast(known_digests(known_texts(docs.sparkSession) if texts is None else texts))
+    row = F.md5(F.coalesce("text", F.lit("")))
+    lines = F.array_distinct(F.transform(F.split("text", "\n"), digest))
+    found = docs.select(F.col("doc_id").alias("n_id"), row.alias("n_key"), F.explode(lines).alias("line"))
+    notices = found.join(known, F.col("line") == F.col("known")).groupBy("n_id", "n_key").agg(
+        F.array_join(F.array_sort(F.collect_set("license")), ",").alias("notices"))
+    rows = docs.select("doc_id", row.alias("row_key"), F.when(
+        canonical(F.col("text")) != "", digest(F.col("text"))).alias("digest"))
     return (
-        rows.join(known, F.col("digest") == F.col("known"), "left").crossJoin(F.broadcast(listed))
-        .select("doc_id", "digest", "license",
-                F.array_join(F.array_sort(F.array_distinct(F.filter(
-                    F.transform("lines", lambda d: F.try_element_at(F.col("ids"), d)), lambda x: x.isNotNull()))), ",").alias("notices"))
+        rows.join(known, F.col("digest") == F.col("known"), "left")
+        .join(notices, (F.col("row_key") == F.col("n_key")) & F.col("doc_id").eqNullSafe(F.col("n_id")), "left")
+        .select("doc_id", "digest", "license", F.coalesce("notices", F.lit("")).alias("notices"))
     )
 
 

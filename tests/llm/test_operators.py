@@ -318,6 +318,26 @@ def test_licenses(documents, odd):
     assert licenses.op6_licenses(documents([])).collect() == []
 
 
+def test_licenses_whole_texts_and_every_line(documents, spark):
+    listed = [(r["license"], r["body"]) for r in licenses.known_texts(spark).collect()]
+    assert {"Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "GPL-2.0", "GPL-3.0", "MPL-2.0", "Unlicense"} <= {
+        i for i, body in listed if len(body) > 1000}
+    rows = [(k, "Copyright 2021 Someone\n" + body) for k, (_, body) in enumerate(listed)]
+    one_line = [" ".join(next(v for k, v in listed if k == x and len(v) > 400).split()) for x in ("ISC", "MIT")]
+    assert "licen" not in one_line[0].lower()
+    rows += [(1000, f"Before.\n{one_line[0]}\n{one_line[1]}\nAfter."), (1000, "other"), (1000, f"x\n{one_line[1]}"), (None, one_line[0] + "\nx")]
+    got = licenses.op6_licenses(documents(rows)).collect()
+    assert len(got) == len(rows)
+    assert {r["doc_id"]: r["license"] for r in got if r["doc_id"] is not None and r["doc_id"] < 1000} == {
+        k: i for k, (i, _) in enumerate(listed)}
+    assert sorted(r["notices"] for r in got if r["doc_id"] == 1000) == ["", "ISC,MIT", "MIT"]
+    assert [r["notices"] for r in got if r["doc_id"] is None] == ["ISC"]
+    rewrapped = one_line[1].replace("THE AUTHORS OR COPYRIGHT", "THE\nAUTHORS OR COPYRIGHT")
+    assert by_id(licenses.op6_licenses(documents([(1, rewrapped)])))[1]["license"] == "MIT"
+    own = spark.createDataFrame([("Mine", "Do as you like.")], "license string, body string")
+    assert [(r["license"], r["notices"]) for r in licenses.scan(documents([(1, "do as you like")]), own).collect()] == [("Mine", "Mine")]
+
+
 # 7 quality ----------------------------------------------------------------
 
 def test_quality_held_out_accuracy(spark):
