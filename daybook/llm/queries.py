@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from daybook.llm import jaccard, licenses, mixing, outliers, pieces, pii, quality, repeats, topk, urls
+from daybook.llm import jaccard, licenses, mixing, outliers, pieces, pii, quality, repeats, topk, turns, urls
 from daybook.llm.common import read_table
 
 
@@ -48,6 +48,10 @@ def q_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outliers.judge(read_table(spark, sf_dir, "documents"))
 
 
+def q_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turns.op11_turns(read_table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_source_mix": q_source_mix,
     "op2_pii_boosting": q_pii,
@@ -59,6 +63,7 @@ QUERIES = {
     "op8_ngram_jaccard": q_jaccard,
     "op9_repeated_strings": q_repeats,
     "op10_robust_outliers": q_outliers,
+    "op11_conversation_repair": q_turns,
 }
 
 #: The others have no SQL form (trained models, iterations); tests/llm holds them against brute force.
