@@ -53,3 +53,9 @@ def hash_sample(df: DataFrame, key: Column, fraction: float) -> DataFrame:
     if fraction >= 1.0:
         return df
     return df.where(F.pmod(F.xxhash64(key, F.lit("sample")), F.lit(1 << 30)) < int(math.ceil(fraction * (1 << 30))))
+
+
+def forget(spark: SparkSession, path: str) -> None:
+    """Deletes a scratch folder of this run, in whatever store it is."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from daybook.llm import jaccard, licenses, mixing, outliers, pieces, pii, quality, repeats, topk, turns, urls
+from daybook.llm import jaccard, licenses, mixing, outliers, pieces, pii, quality, repeats, shallot, topk, toxicity, turns, urls
 from daybook.llm.common import read_table
 
 
@@ -52,6 +52,14 @@ def q_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return turns.op11_turns(read_table(spark, sf_dir, "conversations"))
 
 
+def q_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.op12_toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def q_shallot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shallot.op13_cluster(read_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_source_mix": q_source_mix,
     "op2_pii_boosting": q_pii,
@@ -64,6 +72,8 @@ QUERIES = {
     "op9_repeated_strings": q_repeats,
     "op10_robust_outliers": q_outliers,
     "op11_conversation_repair": q_turns,
+    "op12_toxicity_compression": q_toxicity,
+    "op13_shallot_clusters": q_shallot,
 }
 
 #: The others have no SQL form (trained models, iterations); tests/llm holds them against brute force.
@@ -71,4 +81,5 @@ ORACLE_SQL = {
     "op1_source_mix": mixing.ORACLE,
     "op5_exact_topk": topk.ORACLE,
     "op6_license_digests": licenses.ORACLE,
+    "op13_shallot_clusters": shallot.ORACLE,
 }
