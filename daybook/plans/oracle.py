@@ -206,6 +206,23 @@ SELECT d.ticker, d.source, d.date_key, d.stock_open, d.stock_high, d.stock_low,
        f.date_key AS edgar_10q_date_key, f.cik AS edgar_cik
 FROM d ASOF LEFT JOIN f ON d.ticker = f.ticker AND d.date_key >= f.date_key"""
 
+FX = f"""
+{PAIRS.strip()},
+fx AS (
+  SELECT event_type || 'U' || CAST(user_id % 5 AS VARCHAR) || '=X' AS symbol,
+         CAST(ts AS DATE) AS day, value,
+         row_number() OVER (PARTITION BY event_type || 'U' || CAST(user_id % 5 AS VARCHAR), CAST(ts AS DATE)
+                            ORDER BY ts DESC, event_id DESC) AS rn
+  FROM events
+)"""
+
+FX_RATES = """
+SELECT p.currency, p.transaction_currency,
+       CAST(strftime(fx.day, '%Y%m%d') AS INTEGER) AS date_key,
+       CAST(1.0 AS DOUBLE) AS currency_unit, fx.value AS transaction_currency_rate
+FROM pairs p JOIN fx ON fx.symbol = p.currency || p.transaction_currency || '=X' AND fx.rn = 1
+WHERE fx.day >= DATE '2024-01-01' AND fx.day < DATE '2024-12-31'"""
+
 ORACLE_SQL: dict[str, str] = {
     "asof_market_cap": EXTENDED + "\nSELECT * FROM extended",
     "asof_market_cap_monthly": EXTENDED + "\nSELECT * FROM extended",
@@ -217,19 +234,20 @@ ORACLE_SQL: dict[str, str] = {
 SELECT daily.* FROM daily
 UNION ALL
 SELECT daily.* FROM daily JOIN part ON daily.ticker = CAST(p_partkey AS VARCHAR) AND p_size % 2 = 0""",
-    "daily_fx": f"""WITH {PAIRS.strip()},
-fx AS (
-  SELECT event_type || 'U' || CAST(user_id % 5 AS VARCHAR) || '=X' AS symbol,
-         CAST(ts AS DATE) AS day, value,
-         row_number() OVER (PARTITION BY event_type || 'U' || CAST(user_id % 5 AS VARCHAR), CAST(ts AS DATE)
-                            ORDER BY ts DESC, event_id DESC) AS rn
-  FROM events
-)
-SELECT p.currency, p.transaction_currency,
-       CAST(strftime(fx.day, '%Y%m%d') AS INTEGER) AS date_key,
-       CAST(1.0 AS DOUBLE) AS currency_unit, fx.value AS transaction_currency_rate
-FROM pairs p JOIN fx ON fx.symbol = p.currency || p.transaction_currency || '=X' AND fx.rn = 1
-WHERE fx.day >= DATE '2024-01-01' AND fx.day < DATE '2024-12-31'""",
+    "daily_prices_csv": f"WITH {PRICE_HISTORY.strip()}\nSELECT * FROM daily",
+    "daily_fx": f"WITH {FX.strip()}{FX_RATES}",
+    "daily_fx_csv": f"""WITH {FX.strip()}{FX_RATES}
+  AND p.transaction_currency <> 'U4' AND day(fx.day) NOT IN (13, 17, 21)""",
+    "fx_rejects": f"""WITH {FX.strip()}
+SELECT symbol || '.csv' AS file,
+       CASE WHEN symbol LIKE '%U4=X' THEN '2024-01-02,7' WHEN day(day) = 21 THEN '2024-01-21'
+            WHEN day(day) = 13 THEN CASE WHEN length(symbol) % 2 = 0 THEN 'n/a,2024-01-13' ELSE '2024-01-13,n/a' END
+            ELSE CASE WHEN length(symbol) % 2 = 0 THEN '1.5,soon' ELSE 'soon,1.5' END END AS value,
+       CASE WHEN symbol LIKE '%U4=X' THEN 'no header with Date, Close' WHEN day(day) = 21 THEN 'too few fields'
+            WHEN day(day) = 13 THEN 'unreadable rate' ELSE 'unreadable day' END AS reason
+FROM fx WHERE rn = 1 AND (symbol LIKE '%U4=X' OR day(day) IN (13, 17, 21))
+UNION ALL
+SELECT DISTINCT symbol || '.csv', 'Date,Last', 'no header with Date, Close' FROM fx WHERE symbol LIKE '%U4=X'""",
     "currency_pairs": f"WITH {PAIRS.strip()}\nSELECT * FROM pairs",
     "cik_map": CIK_MAP,
     "cik_map_json": CIK_MAP,

@@ -28,7 +28,16 @@ from daybook.operators import (
 )
 from daybook.operators.trading_days import date_spine_between
 from daybook.session import scratch_path
-from daybook.sources import flatten_cik_documents, parse_company_facts, read_currency_pairs, read_tickers
+from daybook.sources import (
+    accepted_fx,
+    flatten_cik_documents,
+    fx_lines,
+    parse_company_facts,
+    price_history_of_lines,
+    read_currency_pairs,
+    read_tickers,
+    rejected_fx,
+)
 from daybook.sources import testdata as td
 
 
@@ -77,6 +86,23 @@ def q_daily_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
     return daily_fx(td.fx_history(spark, sf_dir), q_currency_pairs(spark, sf_dir), td.FX_START, td.FX_END)
 
 
+def q_daily_prices_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily prices from per-ticker CSV lines whose headers differ from file to file."""
+    history = price_history_of_lines(td.price_csv_lines(spark, sf_dir))
+    return daily_prices(history, td.tickers_by_part(spark, sf_dir), td.PRICE_START, td.PRICE_END)
+
+
+def q_daily_fx_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily rates from per-symbol CSV lines, some of them damaged."""
+    history = accepted_fx(fx_lines(td.fx_csv_lines(spark, sf_dir)))
+    return daily_fx(history, td.currency_pairs_frame(spark, sf_dir), td.FX_START, td.FX_END)
+
+
+def q_fx_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The damaged lines, with what is wrong with each."""
+    return rejected_fx(fx_lines(td.fx_csv_lines(spark, sf_dir)))
+
+
 def _shares(spark: SparkSession, sf_dir: str, facts: DataFrame) -> DataFrame:
     return shares_outstanding(
         facts,
@@ -159,7 +185,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "shares_outstanding_json": q_shares_outstanding_json,
     "daily_prices": q_daily_prices,
     "daily_prices_repeated": q_daily_prices_repeated,
+    "daily_prices_csv": q_daily_prices_csv,
     "daily_fx": q_daily_fx,
+    "daily_fx_csv": q_daily_fx_csv,
+    "fx_rejects": q_fx_rejects,
     "currency_pairs": q_currency_pairs,
     "cik_map": q_cik_map,
     "cik_map_json": q_cik_map_json,

@@ -4,34 +4,27 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from daybook.schemas import contract_null_rows
 
 
-def write_table(
+def write_counted(
     df: DataFrame,
-    path: str,
+    folder: str,
     flags: dict[str, Column] | None = None,
     partition_by: list[str] | None = None,
     sort_within: list[str] | None = None,
     contract: StructType | None = None,
 ) -> dict[str, int]:
-    """Replace the Parquet table at ``path`` with ``df``; return its counts.
+    """Write ``df`` as Parquet to a new ``folder``; return its counts.
 
     ``rows`` and one count per ``flags`` entry (e.g. open days, rows without a
     filing) are gathered by an ``Observation`` while the write runs, so the
-    plan executes once.  ``partition_by`` (e.g. ``["year"]``) is off by
-    default: a partition column is appended to the table's contract.  Rows
-    are then rebalanced by it (one shuffle), so a folder gets few files.
-    ``sort_within`` orders rows inside each output file (no shuffle), which
-    tightens Parquet min/max statistics for later key and date filters.
-    With ``contract``, a NULL in a column the contract declares non-null
-    (Spark does not enforce it) fails the write: files go to a sibling
-    folder first and take the table's place only if the counts allow it, so
-    a refused write leaves the old table as it was.
+    plan executes once.  With ``contract`` the rows that hold a NULL in a
+    column it declares non-null are counted too (``null_violations``).
     """
     obs = Observation(f"write_{uuid.uuid4().hex}")
     metrics = [F.count(F.lit(1)).alias("rows")]
@@ -48,34 +41,84 @@ def write_table(
     writer = observed.write
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    staged = f"{path.rstrip('/')}.staged-{uuid.uuid4().hex}"
-    writer.parquet(staged)
-    counts = {k: int(v) for k, v in obs.get.items()}
+    writer.parquet(folder)
+    return {k: int(v) for k, v in obs.get.items()}
+
+
+def refuse_nulls(path: str, counts: dict[str, int]) -> None:
+    """Raise if a counted write broke its contract."""
     if counts.get("null_violations"):
-        _folder(df, staged).delete()
         raise ValueError(f"{path}: {counts['null_violations']} rows break the non-null contract; the table was not replaced")
-    _folder(df, staged).rename(path)
+
+
+def write_table(
+    df: DataFrame,
+    path: str,
+    flags: dict[str, Column] | None = None,
+    partition_by: list[str] | None = None,
+    sort_within: list[str] | None = None,
+    contract: StructType | None = None,
+) -> dict[str, int]:
+    """Replace the Parquet table at ``path`` with ``df``; return its counts (see ``write_counted``).
+
+    ``partition_by`` (e.g. ``["year"]``) is off by default: a partition column
+    is appended to the table's contract.  Rows are then rebalanced by it (one
+    shuffle), so a folder gets few files.  ``sort_within`` orders rows inside
+    each output file (no shuffle), which tightens Parquet min/max statistics
+    for later key and date filters.  With ``contract``, a NULL in a column the
+    contract declares non-null (Spark does not enforce it) fails the write:
+    files go to a sibling folder first and take the table's place only if the
+    counts allow it, so a refused write leaves the old table as it was.  The
+    old folder is moved aside and removed after the new one has its place;
+    between the two renames the path is empty.  ``plans.versions`` has no such
+    moment.
+    """
+    staged = f"{path.rstrip('/')}.staged-{uuid.uuid4().hex}"
+    counts = write_counted(df, staged, flags, partition_by, sort_within, contract)
+    folder = Folder(df.sparkSession, staged)
+    try:
+        refuse_nulls(path, counts)
+    except ValueError:
+        folder.delete()
+        raise
+    folder.rename(path)
     return counts
 
 
-class _folder:
-    """A folder in whatever store Spark writes to."""
+class Folder:
+    """A folder in whatever store Spark writes to (needs a session with a JVM, not Spark Connect)."""
 
-    def __init__(self, df: DataFrame, path: str):
-        spark = df.sparkSession
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark = spark
         self.make = spark._jvm.org.apache.hadoop.fs.Path
         self.path = self.make(path)
         self.fs = self.path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
 
+    def exists(self) -> bool:
+        return self.fs.exists(self.path)
+
     def delete(self) -> None:
         self.fs.delete(self.path, True)
 
+    def children(self) -> list[tuple[str, int]]:
+        """(name, modification time in ms) of what the folder holds."""
+        if not self.exists():
+            return []
+        return [(s.getPath().getName(), s.getModificationTime()) for s in self.fs.listStatus(self.path)]
+
     def rename(self, path: str) -> None:
-        """Takes the place of ``path``."""
-        to = self.make(path)
-        self.fs.delete(to, True)
+        """Takes the place of ``path``; what was there is removed last."""
+        to, aside = self.make(path), None
+        if self.fs.exists(to):
+            aside = self.make(f"{path.rstrip('/')}.replaced-{uuid.uuid4().hex}")
+            if not self.fs.rename(to, aside):
+                raise OSError(f"could not move {to} aside")
         if not self.fs.rename(self.path, to):
+            if aside is not None:
+                self.fs.rename(aside, to)
             raise OSError(f"could not move {self.path} to {to}")
+        if aside is not None:
+            self.fs.delete(aside, True)
 
 
 def with_year(df: DataFrame, key_col: str = "date_key") -> DataFrame:

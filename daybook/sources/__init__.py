@@ -1,5 +1,6 @@
 """Sources: readers of landed files, and adapters over the driver's testdata."""
 
+from daybook.sources.csv_files import accepted_fx, bind_by_header, csv_lines, fx_lines, price_history_of_lines, rejected_fx
 from daybook.sources.landed import (
     flatten_company_facts,
     flatten_cik_documents,
@@ -15,6 +16,12 @@ from daybook.sources.landed import (
 )
 
 __all__ = [
+    "accepted_fx",
+    "bind_by_header",
+    "csv_lines",
+    "fx_lines",
+    "price_history_of_lines",
+    "rejected_fx",
     "flatten_company_facts",
     "flatten_cik_documents",
     "parse_company_facts",

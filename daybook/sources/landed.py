@@ -21,6 +21,7 @@ from daybook.schemas import (
     PRICE_HISTORY,
     company_facts_schema,
 )
+from daybook.sources.csv_files import accepted_fx, csv_lines, fx_lines, price_history_of_lines
 
 # The taxonomy and unit whose share counts are read.
 FACTS_TAXONOMY = "us-gaap"
@@ -168,47 +169,23 @@ def read_fx_history(spark: SparkSession, path: str, fmt: str = "parquet") -> Dat
     return reader.load(path).select(*[f.name for f in FX_HISTORY.fields])
 
 
-def _name_from_file() -> F.Column:
-    """File base name without extension (``.../AAPL.csv`` → ``AAPL``)."""
-    return F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)\.[^./]+$", 1)
-
-
-def _local_day(text: F.Column) -> F.Column:
-    """The calendar day as written at the start of a timestamp text
-    (``2024-01-02 00:00:00-05:00`` → 2024-01-02): the exchange-local day."""
-    return F.to_date(F.substring(text, 1, 10), "yyyy-MM-dd")
-
-
 def read_price_history_csv_per_ticker(spark: SparkSession, path: str) -> DataFrame:
     """Price history landed as one CSV per ticker (file ``<TICKER>.csv``).
 
-    Header ``Date,Open,High,Low,Close,Volume[,...]``; extra columns are
-    ignored.  Returns the ``PRICE_HISTORY`` shape.
+    Header ``Date,Open,High,Low,Close,Volume[,...]`` in any order, each file
+    its own; extra columns are ignored.  Returns the ``PRICE_HISTORY`` shape
+    (see ``csv_files.price_history_of_lines``).
     """
-    raw = spark.read.csv(path, header=True).select(
-        "Date", "Open", "High", "Low", "Close", "Volume", "_metadata"
-    )
-    return raw.select(
-        _name_from_file().alias("ticker"),
-        _local_day(F.col("Date")).alias("day"),
-        F.col("Open").cast("double").alias("open"),
-        F.col("High").cast("double").alias("high"),
-        F.col("Low").cast("double").alias("low"),
-        F.col("Close").cast("double").alias("close"),
-        F.col("Volume").cast("double").alias("volume"),
-    )
+    return price_history_of_lines(csv_lines(spark, path))
 
 
 def read_fx_history_csv_per_symbol(spark: SparkSession, path: str) -> DataFrame:
     """FX history landed as one CSV per symbol (file ``<SYMBOL>.csv``, e.g.
-    ``USDJPY=X.csv``) with ``Date`` and ``Close``.  Returns ``FX_HISTORY``.
+    ``USDJPY=X.csv``) with ``Date`` and ``Close``, each file by its own
+    header.  Returns ``FX_HISTORY``.
 
-    Rows whose day or rate is missing or unreadable are left out, so that one
-    bad line or pair does not fail the others.
+    Lines whose day or rate is missing or unreadable are left out, so that one
+    bad line or pair does not fail the others; ``csv_files.fx_lines`` has them
+    with the reason.
     """
-    raw = spark.read.csv(path, header=True).select("Date", "Close", "_metadata")
-    return raw.select(
-        _name_from_file().alias("symbol"),
-        F.substring("Date", 1, 10).try_cast("date").alias("day"),
-        F.col("Close").try_cast("double").alias("close"),
-    ).dropna(subset=["day", "close"])
+    return accepted_fx(fx_lines(csv_lines(spark, path)))

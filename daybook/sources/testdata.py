@@ -247,6 +247,66 @@ def fx_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).agg(F.max_by("value", F.struct("ts", "event_id")).alias("close"))
 
 
+def _text(name: str) -> Column:
+    return F.col(name).cast("string")
+
+
+# The column orders of the testdata's price files, by part key modulo three.
+PRICE_FILE_HEADERS = [
+    "Date,Open,High,Low,Close,Volume",
+    "Volume,Close,Low,High,Open,Date",
+    '"Adj ""Close""",Close,Date,"Open",Volume,High,Low',
+]
+
+
+def price_csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``price_history`` as the lines of one CSV file per part, in three column orders: ``file, line, value``."""
+    history = price_history(spark, sf_dir)
+    day = F.date_format("day", "yyyy-MM-dd")
+    o, h, low, c, v = (_text(n) for n in ("open", "high", "low", "close", "volume"))
+    orders = [F.concat_ws(",", day, o, h, low, c, v), F.concat_ws(",", v, c, low, h, o, day),
+              F.concat_ws(",", F.lit('"a,""b"""'), c, F.concat(F.lit('"'), day, F.lit(' 00:00:00-05:00"')), o, v, h, low)]
+
+    def by_part(key: Column, choices: list) -> Column:
+        kind = key.cast("long") % 3
+        return F.when(kind == 0, choices[0]).when(kind == 1, choices[1]).otherwise(choices[2])
+
+    rows = history.select(F.concat("ticker", F.lit(".csv")).alias("file"), date_key("day").cast("long").alias("line"),
+                          by_part(F.col("ticker"), orders).alias("value"))
+    key = F.col("p_partkey")
+    headers = table(spark, sf_dir, "part").select(F.concat(key.cast("string"), F.lit(".csv")).alias("file"), F.lit(0).cast("long").alias("line"),
+                                                  by_part(key, [F.lit(x) for x in PRICE_FILE_HEADERS]).alias("value"))
+    return rows.unionByName(headers)
+
+
+# Days of the month whose FX lines are damaged, and the line each gets.
+DAMAGED_FX_LINES = {13: "2024-01-13,n/a", 17: "soon,1.5", 21: "2024-01-21"}
+# Files of this user bucket have no usable header, and what their lines say.
+HEADERLESS_BUCKET, HEADERLESS_LINE = "U4", "2024-01-02,7"
+
+
+def fx_csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``fx_history`` as the lines of one CSV file per symbol, some damaged: ``file, line, value``.
+
+    Symbols whose event type has an even length list the rate first; files of bucket
+    U4 have a header without ``Close``.
+    """
+    history = fx_history(spark, sf_dir)
+    turned = F.length("symbol") % 2 == 0
+    lost = F.contains("symbol", F.lit(f"{HEADERLESS_BUCKET}=X"))
+    file = F.concat("symbol", F.lit(".csv"))
+    day = F.date_format("day", "yyyy-MM-dd")
+    value = F.when(turned, F.concat_ws(",", _text("close"), day)).otherwise(F.concat_ws(",", day, _text("close")))
+    for number, line in DAMAGED_FX_LINES.items():
+        first, _, rest = line.partition(",")
+        swapped = f"{rest},{first}" if rest else line
+        value = F.when(F.dayofmonth("day") == number, F.when(turned, F.lit(swapped)).otherwise(F.lit(line))).otherwise(value)
+    rows = history.select(file.alias("file"), date_key("day").cast("long").alias("line"), F.when(lost, F.lit(HEADERLESS_LINE)).otherwise(value).alias("value"))
+    header = F.when(lost, F.lit("Date,Last")).when(turned, F.lit("Close,Date")).otherwise(F.lit("Date,Close"))
+    headers = history.select("symbol").distinct().select(file.alias("file"), F.lit(0).cast("long").alias("line"), header.alias("value"))
+    return rows.unionByName(headers)
+
+
 def event_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily-table-shaped quotes from ``events``: many rows per (user, day).
 
