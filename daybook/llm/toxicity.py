@@ -9,12 +9,13 @@ the few kilobytes after it, trained from windows of labelled texts.  A toxic tex
 has mostly ordinary windows, so the windows to train from are mined: of every text
 of a fold the MINED ones that the dictionaries of the other fold (at first: the
 ordinary text alone) set apart most, for both classes alike.  Labels of texts thus
-never decide over their own windows.
+never decide over their own windows.  Of three parts of the labelled texts each is
+mined, and measured, with dictionaries made from the other two; the final ones are
+trained from all that was mined.
 
-Thresholds are calibrated on a third part of the labelled texts: the log ratio of
-how often a difference occurs in toxic and in ordinary texts (each difference is a
-threshold with a weight of its own), summed over a text's windows, and a logistic
-curve that makes the sum a score.  The curve takes both classes as equally common
+Thresholds are calibrated on those measures: the log ratio of how often a difference
+occurs in toxic and in ordinary texts (each difference is a threshold with a weight
+of its own), summed over a text's windows, and a logistic curve that makes the sum a score.  The curve takes both classes as equally common
 (TOXIC_SHARE): calibrated for a tenth of toxic texts, a score of 0.5 would miss a
 third of them, as a few toxic words in a long text prove little.
 
@@ -118,9 +119,13 @@ def most(texts: list[bytes], measure: Callable[[list[bytes]], list[float]]) -> l
     return [w for _, w in sorted(found, reverse=True)]
 
 
+def base_of(ordinary: list[list[bytes]]) -> bytes:
+    return b"".join(t for fold in zip(*ordinary) for t in fold)[:BASE_BYTES]
+
+
 def dictionaries(toxic: list[list[bytes]], ordinary: list[list[bytes]]) -> Dictionaries:
     """Dictionaries from two folds of texts of either class."""
-    base = b"".join(t for fold in zip(*ordinary) for t in fold)[:BASE_BYTES]
+    base = base_of(ordinary)
     plain = packer(base)
 
     def bare(parts: list[bytes]) -> list[float]:
@@ -135,35 +140,53 @@ def dictionaries(toxic: list[list[bytes]], ordinary: list[list[bytes]]) -> Dicti
     return Dictionaries(base, trained(mined[0][0] + mined[1][0]), trained(mined[0][1] + mined[1][1]))
 
 
+def cross_fitted(parts: dict[int, list[list[bytes]]]) -> tuple[Dictionaries, dict[int, list[np.ndarray]]]:
+    """Dictionaries from all three parts, and every text's window levels by those of the parts it is not in."""
+    levels, mined = {0: [], 1: []}, {0: [], 1: []}
+    for k in range(3):
+        others = [j for j in range(3) if j != k]
+        found = dictionaries([parts[1][j] for j in others], [parts[0][j] for j in others])
+        for q in (0, 1):
+            levels[q] += [level(found.differences(windows(t))) for t in parts[q][k]]
+            mined[q] += most(parts[q][k], found.differences)
+    return Dictionaries(base_of(parts[0]), trained(mined[0]), trained(mined[1])), levels
+
+
 def level(differences: list[int]) -> np.ndarray:
     return np.clip(np.array(differences, dtype=np.int64), LEAST, MOST) - LEAST
 
 
 def learnable(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """text and toxic of the distinct labelled documents that may be learned from."""
+    """doc_id, content (a hash of the text) and toxic of the labelled documents that may be learned from."""
     marks = labels.where("toxic IN (0, 1) AND doc_id IS NOT NULL").groupBy("doc_id").agg(
         F.min("toxic").alias("toxic"), F.max("toxic").alias("other")).where("toxic = other").drop("other")
-    rows = docs.select("doc_id", "text").where(
-        ~held_out(F.col("doc_id")) & (F.octet_length("text") > 0) & (F.octet_length("text") <= SAMPLE_BYTES))
-    return rows.join(marks, "doc_id").select("text", "toxic")
+    rows = docs.where(
+        ~held_out(F.col("doc_id")) & (F.octet_length("text") > 0) & (F.octet_length("text") <= SAMPLE_BYTES)).select(
+            "doc_id", F.xxhash64("text").alias("content"))
+    return rows.join(marks, "doc_id")
+
+
+def sample(docs: DataFrame, labels: DataFrame) -> dict[int, list[bytes]]:
+    """About SAMPLE_DOCS distinct texts of either class; texts move only once they are chosen."""
+    rows = learnable(docs, labels).groupBy("toxic", "content").agg(F.min("doc_id").alias("doc_id"))
+    counts = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
+    chosen = [hash_sample(rows.where(F.col("toxic") == q), F.col("content"), sample_fraction(n, SAMPLE_DOCS)) for q, n in sorted(counts.items())]
+    if not chosen:
+        return {}
+    picked = chosen[0] if len(chosen) == 1 else chosen[0].unionByName(chosen[1])
+    # About twice SAMPLE_DOCS rows of three numbers, whatever the tables' size.
+    texts = docs.select("doc_id", F.xxhash64("text").alias("content"), "text").join(F.broadcast(picked), ["doc_id", "content"])
+    found = texts.select("toxic", "content", "text").distinct().orderBy("content", "text").collect()
+    return {q: part for q in (0, 1) if (part := [r["text"].encode() for r in found if r["toxic"] == q])}
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> dict:
     """The model: {'dictionaries', 'weights', 'slope', 'intercept'} or {'constant': score}."""
-    rows = learnable(docs, labels)
-    counts = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.approx_count_distinct(F.xxhash64("text")).alias("n")).collect()}
-    if len(counts) < 2:
-        return {"constant": float(next(iter(counts), 0.5))}
-    parts, share = {}, {}
-    for toxic in (0, 1):
-        share[toxic] = sample_fraction(counts[toxic], SAMPLE_DOCS)
-        part = hash_sample(rows.where(F.col("toxic") == toxic), F.xxhash64("text"), share[toxic])
-        texts = [r["text"].encode() for r in part.distinct().orderBy(F.xxhash64("text"), "text").select("text").collect()]
-        if not texts:
-            return {"constant": float(1 - toxic)}
-        parts[toxic] = [texts[k::3] or texts for k in range(3)]
-    found = dictionaries(parts[1][:2], parts[0][:2])
-    levels = {q: [level(found.differences(windows(t))) for t in parts[q][2]] for q in (0, 1)}
+    texts = sample(docs, labels)
+    if len(texts) < 2:
+        return {"constant": float(next(iter(texts), 0.5))}
+    parts = {q: [texts[q][k::3] or texts[q] for k in range(3)] for q in (0, 1)}
+    found, levels = cross_fitted(parts)
     seen = {q: np.bincount(np.concatenate(levels[q]), minlength=MOST - LEAST + 1) for q in (0, 1)}
     # Every difference counts as seen once more, in the proportion of the classes' windows.
     odds = {q: seen[q] + seen[q].sum() / max(seen[0].sum(), seen[1].sum(), 1) for q in (0, 1)}
