@@ -2,7 +2,7 @@
 
     python -m daybook --landing DIR --out DIR [--start 2024-01-01] [--end 2024-12-31]
                       [--tables equity|date|all|name,name] [--partition-by-year]
-                      [--history-format parquet|csv] [--preview N]
+                      [--history-format parquet|csv] [--versioned] [--preview N]
 
 Prints one line per table with the counts gathered while it was written.
 """
@@ -16,6 +16,7 @@ from datetime import date
 
 from daybook.plans.build import DATE_TABLES, EQUITY_TABLES, TABLES, build_all
 from daybook.plans.sinks import preview
+from daybook.plans.versions import read_table
 from daybook.session import cluster_conf, get_session
 
 PRESETS = {"all": TABLES, "equity": EQUITY_TABLES, "date": DATE_TABLES}
@@ -37,6 +38,8 @@ def main(argv: list[str] | None = None) -> None:
                     help="price/FX history as Parquet, or one CSV per ticker/symbol")
     ap.add_argument("--facts-json-lines", action="store_true",
                     help="company facts as JSON Lines instead of one document per file")
+    ap.add_argument("--versioned", action="store_true",
+                    help="publish each table as a version (atomic replace) instead of plain files at its path")
     ap.add_argument("--preview", type=int, default=0, help="show the first N rows of each table")
     ap.add_argument("--master", default=None, help="Spark master (default: from the environment)")
     ap.add_argument("--input-gb", type=float, default=0, help="size of the landed input, to size the shuffles by")
@@ -52,11 +55,11 @@ def main(argv: list[str] | None = None) -> None:
         report = build_all(spark, args.landing, args.out, args.start, args.end,
                            partition_by_year=args.partition_by_year, tables=tables,
                            history_format=args.history_format,
-                           facts_json_lines=args.facts_json_lines)
+                           facts_json_lines=args.facts_json_lines, versioned=args.versioned)
         for name, counts in report.items():
             print(json.dumps({"table": name, **counts}))
             if args.preview:
-                preview(spark.read.parquet(os.path.join(args.out, name)), args.preview)
+                preview(read_table(spark, os.path.join(args.out, name)), args.preview)
     finally:
         spark.stop()
 

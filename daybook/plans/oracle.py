@@ -105,6 +105,10 @@ extended AS (
   FROM daily d ASOF LEFT JOIN shares f ON d.ticker = f.ticker AND d.date_key >= f.date_key
 )"""
 
+# The same over the whole build's date range (prices and filings share it).
+BUILT = EXTENDED.replace("h.day < DATE '2001-12-31'", "h.day < DATE '2024-12-31'").replace("dk < 19980101", "dk < 19950101").replace(
+    "dk <= 19991231", "dk <= 20241231")
+
 # The weekdays on which the exchange stayed closed, as published, for the
 # years that the testdata cover (orders 1995-2001, events 2024).
 CLOSED = """
@@ -226,6 +230,7 @@ WHERE fx.day >= DATE '2024-01-01' AND fx.day < DATE '2024-12-31'"""
 ORACLE_SQL: dict[str, str] = {
     "asof_market_cap": EXTENDED + "\nSELECT * FROM extended",
     "asof_market_cap_monthly": EXTENDED + "\nSELECT * FROM extended",
+    "built_extended": BUILT + "\nSELECT * FROM extended",
     "missing_filings": EXTENDED + "\nSELECT * FROM extended WHERE edgar_shares_outstanding IS NULL",
     "shares_outstanding": f"WITH {FILINGS.strip()}\nSELECT * FROM shares",
     "shares_outstanding_json": f"WITH {FILINGS.strip()}\nSELECT * FROM shares",

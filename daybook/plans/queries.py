@@ -2,8 +2,8 @@
 
 Every callable takes ``(spark, sf_dir)`` and returns a DataFrame (nothing is
 collected).  The matching DuckDB statements live in ``plans.oracle``.
-Queries over CSV lists first write them, on every call, as files in the
-shared scratch folder; JSON documents are made and parsed within one plan.
+JSON documents and CSV lines are made and parsed within one plan; the whole
+build (``built_extended``) lands files in the shared scratch folder first.
 """
 
 from __future__ import annotations
@@ -27,6 +27,8 @@ from daybook.operators import (
     table_report,
 )
 from daybook.operators.trading_days import date_spine_between
+from daybook.plans.build import build_all
+from daybook.plans.versions import read_table
 from daybook.session import scratch_path
 from daybook.sources import (
     accepted_fx,
@@ -137,6 +139,18 @@ def q_asof_market_cap_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_built_extended(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The extended table as a whole build from landed files published it.
+
+    The inputs land as files in the shared scratch folder, all seven tables are
+    built and published from them, and the published version is read.
+    """
+    landing, warehouse = scratch_path(spark, "landing"), scratch_path(spark, "warehouse")
+    td.land_files(spark, sf_dir, landing)
+    build_all(spark, landing, warehouse, td.PRICE_START, td.FX_END, facts_json_lines=True, versioned=True, concepts=td.LANDED_CONCEPTS)
+    return read_table(spark, f"{warehouse}/equity_table_extended")
+
+
 def q_latest_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Extended table over quotes with many rows per ticker-day (collapsed to one)."""
     return equity_extended(td.event_quotes(spark, sf_dir), td.event_signups(spark, sf_dir))
@@ -196,6 +210,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "trading_calendar": q_trading_calendar,
     "trading_calendar_event_years": q_trading_calendar_event_years,
     "open_days": q_open_days,
+    "built_extended": q_built_extended,
     "latest_per_key": q_latest_per_key,
     "latest_per_customer": q_latest_per_customer,
     "missing_filings": q_missing_filings,

@@ -75,6 +75,13 @@ EQUITY_EXTENDED_TABLE = StructType(
     ]
 )
 
+# Lines of FX files that could not be used, and why.
+FX_REJECTS = StructType([
+    StructField("file", StringType(), False),
+    StructField("value", StringType(), False),
+    StructField("reason", StringType(), False),
+])
+
 # ---- landed inputs -------------------------------------------------------
 
 # Price history as landed by an extract job: one row per ticker and day.

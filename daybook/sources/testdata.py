@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.functions import date_key, zero_pad_cik
+from daybook.operators.filings import SHARE_CONCEPTS
 
 # Date windows used with the testdata (history end is exclusive,
 # filing window inclusive).
@@ -39,6 +40,9 @@ FX_START, FX_END = date(2024, 1, 1), date(2024, 12, 31)
 TESTDATA_CONCEPTS = ["AF", "AO", "NF", "NO", "RF", "RO"]
 FORM_BY_PRIORITY = {"1": "10-K", "2": "10-Q", "3": "8-K", "4": "10-Q/A", "5": "S-1"}
 
+# The same six as they are landed: the published concept names, then the two that are left.
+LANDED_CONCEPTS = SHARE_CONCEPTS + TESTDATA_CONCEPTS[len(SHARE_CONCEPTS):]
+
 # A listed pair that has no FX history.
 PAIR_WITHOUT_HISTORY = ("XAU", "XAG")
 
@@ -366,21 +370,17 @@ def land_files(spark: SparkSession, sf_dir: str, root: str) -> None:
     """Land the testdata in ``root`` in the landing layout read by ``build_all``.
 
     Ticker and pair CSVs, company→CIK JSON objects, company facts as JSON
-    Lines (the six testdata concepts mapped onto the first four share-count
-    concept names), and Parquet price / FX histories.
+    Lines (all six testdata concepts, under the names of ``LANDED_CONCEPTS``:
+    build with those), and Parquet price / FX histories.
     """
-    from daybook.operators.filings import SHARE_CONCEPTS
-
+    mapping = F.create_map(*[x for pair in zip(TESTDATA_CONCEPTS, LANDED_CONCEPTS) for x in (F.lit(pair[0]), F.lit(pair[1]))])
+    facts = numbered_filing_facts(spark, sf_dir).withColumn("concept", mapping[F.col("concept")])
     tickers_by_part(spark, sf_dir).coalesce(1).write.option("header", True).csv(
         f"{root}/tickers.csv")
     currency_pairs_frame(spark, sf_dir).coalesce(1).write.option("header", True).csv(
         f"{root}/currency_pairs.csv")
     cik_documents(cik_entries_by_part(spark, sf_dir)).write.partitionBy("part").text(
         f"{root}/company_tickers.json")
-    mapping = F.create_map(*[x for pair in zip(TESTDATA_CONCEPTS, SHARE_CONCEPTS)
-                             for x in (F.lit(pair[0]), F.lit(pair[1]))])
-    facts = numbered_filing_facts(spark, sf_dir).withColumn("concept", mapping[F.col("concept")]).where(
-        F.col("concept").isNotNull())
     facts_documents(facts).write.text(f"{root}/companyfacts")
     price_history(spark, sf_dir).write.parquet(f"{root}/prices")
     fx_history(spark, sf_dir).write.parquet(f"{root}/fx")

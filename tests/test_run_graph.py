@@ -1,0 +1,122 @@
+"""Concurrent builds: independent tables at once, failures that stop only their dependants."""
+
+import os
+import threading
+import time
+from datetime import date
+
+import pytest
+
+from daybook.plans.build import DEPENDS_ON, TABLES, BuildFailed, build_all, run_graph
+from daybook.plans.versions import read_table
+from test_build import _land
+
+
+def test_independent_tables_run_at_once():
+    both = threading.Barrier(2, timeout=20)       # breaks unless two builders are inside at the same time
+    order = []
+
+    def meet(name):
+        def build():
+            both.wait()
+            order.append(name)
+            return {"rows": 1}
+        return build
+
+    report = run_graph({"a": meet("a"), "b": meet("b"), "c": lambda: order.append("c") or {"rows": 2}}, {"c": ["a", "b"]})
+    assert list(report) == ["a", "b", "c"] and order[-1] == "c" and report["c"] == {"rows": 2}
+
+
+def test_every_table_waits_for_what_it_needs():
+    ended, begun, lock = {}, {}, threading.Lock()
+
+    def build(name):
+        def run():
+            with lock:
+                begun[name] = time.monotonic()
+            time.sleep(0.02)
+            with lock:
+                ended[name] = time.monotonic()
+            return {}
+        return run
+
+    run_graph({name: build(name) for name in TABLES}, DEPENDS_ON)
+    for name, needs in DEPENDS_ON.items():
+        assert all(ended[d] <= begun[name] for d in needs)
+
+
+def test_a_failure_stops_only_its_dependants():
+    def bad():
+        raise OSError("disk")
+
+    built = []
+    graph = {"a": bad, "b": lambda: built.append("b") or {"rows": 1}, "c": lambda: built.append("c"), "d": lambda: built.append("d") or {},
+             "e": lambda: built.append("e")}
+    with pytest.raises(BuildFailed, match="a: disk") as failed:
+        run_graph(graph, {"c": ["a"], "d": ["b"], "e": ["c", "d"]})
+    assert sorted(built) == ["b", "d"]
+    assert failed.value.report == {"b": {"rows": 1}, "d": {}} and failed.value.skipped == ["c", "e"]
+    assert isinstance(failed.value.failures["a"], OSError) and isinstance(failed.value.__cause__, OSError)
+
+
+def test_limits_and_circles():
+    inside, most = [0], [0]
+
+    def build():
+        inside[0] += 1
+        most[0] = max(most[0], inside[0])
+        time.sleep(0.02)
+        inside[0] -= 1
+        return {}
+
+    run_graph({str(k): build for k in range(5)}, {}, at_once=1)
+    assert most == [1]
+    assert run_graph({}, {}) == {}
+    assert run_graph({"b": lambda: {}}, {"b": ["a"]}) == {"b": {}}    # a is there already
+    with pytest.raises(ValueError, match="depend on each other"):
+        run_graph({"a": dict, "b": dict}, {"a": ["b"], "b": ["a"]})
+
+
+def test_a_failed_fact_leaves_the_other_tables_built(spark, tmp_path):
+    root, out = str(tmp_path / "landing"), str(tmp_path / "out")
+    os.makedirs(root)
+    _land(spark, root)
+    with open(os.path.join(root, "company_tickers.json"), "w") as fh:
+        fh.write('{"0": {"cik_str": 1, "ticker"')
+    with pytest.raises(BuildFailed) as failed:
+        build_all(spark, root, out, date(2024, 1, 1), date(2024, 12, 31))
+    assert list(failed.value.failures) == ["edgar_10q_table"] and failed.value.skipped == ["equity_table_extended"]
+    assert failed.value.report["daily_table"]["rows"] == 7 and failed.value.report["daily_currency_table"]["rows"] == 2
+    assert spark.read.parquet(f"{out}/date_table").count() == 366
+
+
+def test_versioned_build_equals_the_plain_one(spark, tmp_path):
+    root = str(tmp_path / "landing")
+    os.makedirs(root)
+    _land(spark, root)
+    plain, versioned = str(tmp_path / "plain"), str(tmp_path / "versioned")
+    window = date(2024, 1, 1), date(2024, 12, 31)
+    first = build_all(spark, root, plain, *window, at_once=1)
+    for _ in range(2):           # a second build replaces the first
+        assert build_all(spark, root, versioned, *window, versioned=True) == first
+    for name in TABLES:
+        a, b = spark.read.parquet(f"{plain}/{name}"), read_table(spark, f"{versioned}/{name}")
+        assert a.schema == b.schema
+        assert sorted(map(tuple, a.collect()), key=repr) == sorted(map(tuple, b.collect()), key=repr)
+
+
+def test_rejected_lines_become_a_table(spark, tmp_path):
+    root, out = str(tmp_path / "landing"), str(tmp_path / "out")
+    os.makedirs(f"{root}/fx")
+    with open(f"{root}/currency_pairs.csv", "w") as fh:
+        fh.write("currency,transaction_currency\nUSD,JPY\nEUR,USD\n")
+    with open(f"{root}/fx/USDJPY=X.csv", "w") as fh:
+        fh.write("Date,Close\n2024-01-02,141.0\n2024-01-03,none\n2024-01-04,142.0\n")
+    with open(f"{root}/fx/EURUSD=X.csv", "w") as fh:
+        fh.write("Close,Date\n1.1,2024-01-02\n")
+    report = build_all(spark, root, out, date(2024, 1, 1), date(2024, 12, 31), tables=["daily_currency_table"], history_format="csv")
+    assert report["daily_currency_table"] == {"rows": 3, "null_violations": 0, "rejected_lines": 1}
+    rejects = spark.read.parquet(f"{out}/daily_currency_rejects").collect()
+    assert [(r["file"].rsplit("/", 1)[1], r["value"], r["reason"]) for r in rejects] == [("USDJPY=X.csv", "2024-01-03,none", "unreadable rate")]
+    rates = {(r["currency"], r["date_key"]): r["transaction_currency_rate"] for r in spark.read.parquet(f"{out}/daily_currency_table").collect()}
+    assert rates == {("USD", 20240102): 141.0, ("USD", 20240104): 142.0, ("EUR", 20240102): 1.1}

@@ -2,11 +2,9 @@
 
 Usage: python tools/land_testdata.py [sf_dir]
 Writes a landing folder and a warehouse under the shared checkpoint folder
-(``scratch_path``), runs ``build_all`` from the first filing-window day to the
-last FX-window day (so every table has rows), and prints one JSON line with
-the landing and build times and per-table counts.  The six testdata concepts
-are mapped onto the first four share-count concept names, so the filing
-table differs from the registered ``shares_outstanding`` query.
+(``scratch_path``), runs ``build_all`` over all of it, from the first price day
+to the last FX day, and prints one JSON line with the landing and build times
+and per-table counts.
 """
 
 from __future__ import annotations
@@ -30,7 +28,7 @@ def main() -> None:
     t0 = time.perf_counter()
     td.land_files(spark, sf_dir, root)
     t1 = time.perf_counter()
-    report = build_all(spark, root, out, td.FILING_START, td.FX_END, facts_json_lines=True)
+    report = build_all(spark, root, out, td.PRICE_START, td.FX_END, facts_json_lines=True, concepts=td.LANDED_CONCEPTS)
     t2 = time.perf_counter()
     spark.stop()
     print(json.dumps({"landing_sec": round(t1 - t0, 2), "build_sec": round(t2 - t1, 2),
