@@ -230,6 +230,16 @@ WHERE fx.day >= DATE '2024-01-01' AND fx.day < DATE '2024-12-31'"""
 ORACLE_SQL: dict[str, str] = {
     "asof_market_cap": EXTENDED + "\nSELECT * FROM extended",
     "asof_market_cap_monthly": EXTENDED + "\nSELECT * FROM extended",
+    "asof_hot_ticker": """WITH ticks AS (
+  SELECT CASE WHEN user_id % 2 = 0 THEN 'EVERY' ELSE 'U' || CAST(user_id AS VARCHAR) END AS ticker, ts, event_id, event_type, value
+  FROM events
+),
+bought AS (
+  SELECT * FROM ticks WHERE event_type = 'purchase'
+  QUALIFY row_number() OVER (PARTITION BY ticker, ts ORDER BY value DESC, event_id DESC) = 1
+)
+SELECT t.ticker, t.ts, t.event_id, b.ts AS purchase_ts, b.value AS paid, b.event_id AS purchase_id
+FROM ticks t ASOF LEFT JOIN bought b ON t.ticker = b.ticker AND t.ts >= b.ts""",
     "built_extended": BUILT + "\nSELECT * FROM extended",
     "missing_filings": EXTENDED + "\nSELECT * FROM extended WHERE edgar_shares_outstanding IS NULL",
     "shares_outstanding": f"WITH {FILINGS.strip()}\nSELECT * FROM shares",

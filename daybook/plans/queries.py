@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.operators import (
+    asof_join,
     asset_dimension,
     calendar_rows,
     cik_map,
@@ -43,6 +44,10 @@ from daybook.sources import (
 from daybook.sources import testdata as td
 
 
+#: Ticks a range of the hot ticker aims at; the library's default suits real sizes.
+HOT_TICKER_SPLIT = 2_000
+
+
 def landed(spark: SparkSession, rows: DataFrame, name: str) -> str:
     """Path of ``rows`` written as CSV files with a header, as an extract job would drop them off."""
     path = scratch_path(spark, name)
@@ -161,6 +166,19 @@ def q_latest_per_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return equity_extended(td.order_quotes(spark, sf_dir), td.finished_orders(spark, sf_dir))
 
 
+def q_asof_hot_ticker(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every tick with the latest purchase of its ticker up to its time; one ticker has half of all ticks.
+
+    The carry of such a ticker is split into ranges of its own times.
+    """
+    ticks = td.event_ticks(spark, sf_dir)
+    bought = ticks.where(F.col("event_type") == "purchase").select(
+        "ticker", F.col("ts").alias("bought_at"), F.col("value").alias("paid"), F.col("event_id").alias("purchase_id"))
+    return asof_join(
+        ticks.select("ticker", "ts", "event_id"), bought, by="ticker", left_on="ts", right_on="bought_at",
+        payload=["paid", "purchase_id"], matched_key="purchase_ts", split_rows=HOT_TICKER_SPLIT)
+
+
 def q_trading_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Calendar over the order-date range of ``orders`` (bounds found by Spark)."""
     bounds = td.table(spark, sf_dir, "orders").agg(
@@ -195,6 +213,7 @@ def q_coverage_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "asof_market_cap": q_asof_market_cap,
     "asof_market_cap_monthly": q_asof_market_cap_monthly,
+    "asof_hot_ticker": q_asof_hot_ticker,
     "shares_outstanding": q_shares_outstanding,
     "shares_outstanding_json": q_shares_outstanding_json,
     "daily_prices": q_daily_prices,

@@ -340,6 +340,17 @@ def event_signups(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).agg(F.count(F.lit(1)).alias("shares_outstanding"))
 
 
+# The ticker of the events that share one, and how many kinds of user do.
+SHARED_TICKER, SHARED_OF = "EVERY", 2
+
+
+def event_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``ticker, ts, event_id, event_type, value``: events as ticks, half of the users' under one ticker."""
+    ev = table(spark, sf_dir, "events")
+    ticker = F.when(F.col("user_id") % SHARED_OF == 0, F.lit(SHARED_TICKER)).otherwise(F.concat(F.lit("U"), F.col("user_id").cast("string")))
+    return ev.select(ticker.alias("ticker"), "ts", "event_id", "event_type", "value")
+
+
 def order_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily-table-shaped rows from ``orders``: ticker = ``C<custkey>``, one row
     per order (a customer can order twice a day), price = total price."""
