@@ -52,13 +52,53 @@ def dense_index(df: DataFrame, order: list[str], id_col: str, partitions: int |
     )
 
 
+#: Ranges that distinct values are ranked in, and ids that one row is expanded to at a time.
+RANK_RANGES, EXPAND = 256, 10_000
+
+
+def dense_rank_of_values(df: DataFrame, value: str, id_col: str, ranges: int = RANK_RANGES) -> DataFrame:
+    """``value, id_col``: every row of ``df``'s column with its 0-based position in value order.
+
+    Two passes in one lazy plan; no job runs while the frame is built, and no window
+    sees more than one range of values:
+
+    * equal values are counted (a partial aggregate, so a value that most rows have is
+      one row from here on);
+    * range edges are a sample of the distinct values, the ``ranges`` with the smallest
+      hashes, as a scalar subquery: the same on every run, bounded by the parameter;
+    * a running sum of the counts within each range, plus the total of all ranges before
+      it (one row per range), is the position of a value's first row;
+    * a value with n rows is expanded to n consecutive positions again, in steps, so that
+      no long array is made of a value that most rows have.
+
+    NULLs come first.
+    """
+    sizes = df.groupBy(F.col(value).alias("__v")).agg(F.count(F.lit(1)).alias("__n"))
+    # Distinct values in the order of their hashes: an even sample of them.
+    sample = sizes.where(F.col("__v").isNotNull()).orderBy(F.xxhash64("__v"), "__v").limit(ranges - 1)
+    edges = sample.agg(F.array_sort(F.collect_list("__v"))).scalar()
+    in_range = F.size(F.filter("__edges", lambda e: e <= F.col("__v")))
+    ranged = sizes.withColumn("__edges", edges).withColumn(
+        "__range", F.when(F.col("__v").isNull(), -1).otherwise(in_range)).drop("__edges")
+    within = Window.partitionBy("__range").orderBy(F.col("__v").asc_nulls_first())
+    # One row per range: at most ``ranges`` + 1.
+    totals = ranged.groupBy("__range").agg(F.sum("__n").alias("__total"))
+    offsets = totals.select("__range", (F.sum("__total").over(Window.orderBy("__range")) - F.col("__total")).alias("__offset"))
+    first = ranged.withColumn("__first", F.sum("__n").over(within) - F.col("__n")).join(F.broadcast(offsets), "__range").select(
+        "__v", "__n", (F.col("__offset") + F.col("__first")).alias("__first"))
+    steps = first.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("__n") - 1, F.lit(EXPAND).cast("long"))).alias("__step"))
+    last = F.least(F.col("__step") + EXPAND, F.col("__n")) - 1
+    return steps.select(F.col("__v").alias(value), F.explode(F.sequence("__step", last)).alias("__k"), "__first").select(
+        value, (F.col("__first") + F.col("__k")).cast("long").alias(id_col))
+
+
 def asset_dimension(tickers: DataFrame) -> DataFrame:
     """T2 ``asset_id, ticker, asset_class``: one row per listed ticker.
 
     ``asset_id`` is dense and deterministic: the row's position in ticker
     order.  Duplicates in the list are kept (each gets its own id).
     """
-    indexed = dense_index(tickers.select("ticker"), ["ticker"], "asset_id")
+    indexed = dense_rank_of_values(tickers.select("ticker"), "ticker", "asset_id")
     return indexed.select(
         "asset_id", "ticker", F.lit(EQUITY_CLASS).alias("asset_class")
     )

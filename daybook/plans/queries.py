@@ -33,13 +33,13 @@ from daybook.plans.versions import read_table
 from daybook.session import scratch_path
 from daybook.sources import (
     accepted_fx,
+    currency_pairs_of_lines,
     flatten_cik_documents,
     fx_lines,
     parse_company_facts,
     price_history_of_lines,
-    read_currency_pairs,
-    read_tickers,
     rejected_fx,
+    tickers_of_lines,
 )
 from daybook.sources import testdata as td
 
@@ -48,16 +48,9 @@ from daybook.sources import testdata as td
 HOT_TICKER_SPLIT = 2_000
 
 
-def landed(spark: SparkSession, rows: DataFrame, name: str) -> str:
-    """Path of ``rows`` written as CSV files with a header, as an extract job would drop them off."""
-    path = scratch_path(spark, name)
-    rows.write.option("header", True).csv(path)
-    return path
-
-
 def q_asset_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The ticker list lands as a CSV file in the shared scratch folder, then is read back."""
-    return asset_dimension(read_tickers(spark, landed(spark, td.tickers_by_name(spark, sf_dir), "tickers_csv")))
+    """The ticker list comes as the lines of a CSV file."""
+    return asset_dimension(tickers_of_lines(td.ticker_list_lines(spark, sf_dir)))
 
 
 def q_cik_map(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,9 +64,8 @@ def q_cik_map_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_currency_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pairs land as a CSV file in the shared scratch folder, then are read back."""
-    path = landed(spark, td.currency_pairs_frame(spark, sf_dir), "currency_pairs_csv")
-    return currency_pairs(read_currency_pairs(spark, path))
+    """The pair list comes as the lines of a CSV file."""
+    return currency_pairs(currency_pairs_of_lines(td.pair_list_lines(spark, sf_dir)))
 
 
 def q_daily_prices(spark: SparkSession, sf_dir: str) -> DataFrame:

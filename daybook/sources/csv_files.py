@@ -84,6 +84,29 @@ def base_name(file: Column) -> Column:
     return F.regexp_extract(file, r"([^/]+)\.[^./]+$", 1)
 
 
+def tickers_of_lines(lines: DataFrame) -> DataFrame:
+    """``ticker`` of the lines (``file, line, value``) of ticker lists; other columns are ignored.
+
+    A list without a ``ticker`` header fails the read.
+    """
+    return _headed(bind_by_header(lines, ["ticker"]), ["ticker"]).select("ticker")
+
+
+def currency_pairs_of_lines(lines: DataFrame) -> DataFrame:
+    """``currency, transaction_currency`` of the lines of pair lists, by the names in their headers.
+
+    So a file whose header has the two swapped is read right; one without them fails.
+    """
+    names = ["currency", "transaction_currency"]
+    return _headed(bind_by_header(lines, names), names).select(*names)
+
+
+def _headed(rows: DataFrame, names: list[str]) -> DataFrame:
+    """``rows``, failing on a file without header."""
+    return rows.where(F.when(F.col("headed"), F.lit(True)).otherwise(F.raise_error(
+        F.concat(F.lit(f"no header with {', '.join(names)}: "), "file")).cast("boolean")))
+
+
 # The columns read of a price and of an FX file.
 PRICE_COLUMNS = ["Date", "Open", "High", "Low", "Close", "Volume"]
 FX_COLUMNS = ["Date", "Close"]
@@ -96,9 +119,7 @@ def price_history_of_lines(lines: DataFrame) -> DataFrame:
     without a header that names all six columns fails the read, as does text that is
     no number: a price history is whole or not at all.
     """
-    rows = bind_by_header(lines, PRICE_COLUMNS)
-    rows = rows.where(F.when(F.col("headed"), F.lit(True)).otherwise(F.raise_error(
-        F.concat(F.lit(f"no header with {', '.join(PRICE_COLUMNS)}: "), "file")).cast("boolean")))
+    rows = _headed(bind_by_header(lines, PRICE_COLUMNS), PRICE_COLUMNS)
     return rows.select(
         base_name(F.col("file")).alias("ticker"), F.to_date(F.substring("Date", 1, 10), "yyyy-MM-dd").alias("day"),
         *[F.col(c).cast("double").alias(c.lower()) for c in PRICE_COLUMNS[1:]])

@@ -64,6 +64,32 @@ def tickers_by_part(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("ticker"))
 
 
+def _quoted(name: str) -> Column:
+    return F.concat(F.lit('"'), F.replace(_text(name), F.lit('"'), F.lit('""')), F.lit('"'))
+
+
+def _as_list(rows: DataFrame, file: str, header: str, line: Column) -> DataFrame:
+    """``rows`` (``value``) as the lines of one CSV file with a header: ``file, line, value``."""
+    spark = rows.sparkSession
+    body = rows.select(F.lit(file).alias("file"), line.cast("long").alias("line"), "value")
+    return body.unionByName(spark.range(1, numPartitions=1).select(
+        F.lit(file).alias("file"), F.lit(0).cast("long").alias("line"), F.lit(header).alias("value")))
+
+
+def ticker_list_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The names of the parts as lines of a ticker list with another column in front."""
+    part = table(spark, sf_dir, "part")
+    rows = part.select(F.col("p_partkey").alias("n"), F.concat_ws(",", _text("p_partkey"), _quoted("p_name")).alias("value"))
+    return _as_list(rows, "tickers.csv", "no,ticker", F.col("n") + 1)
+
+
+def pair_list_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The currency pairs as lines of a pair list whose two columns are swapped."""
+    rows = currency_pairs_frame(spark, sf_dir).select(
+        F.concat_ws(",", _quoted("transaction_currency"), _quoted("currency")).alias("value"))
+    return _as_list(rows, "currency_pairs.csv", "transaction_currency,currency", F.lit(1))
+
+
 def price_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``ticker, day, open, high, low, close, volume`` from ``lineitem``.
 

@@ -100,3 +100,14 @@ def test_a_file_read_in_many_splits(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", size)
     assert len(rows) == 6000 and all(int(r["v"]) == 2 * int(r["k"]) for r in rows)
+
+
+def test_lists_by_their_headers(spark, tmp_path):
+    from daybook.sources import currency_pairs_of_lines, tickers_of_lines
+    path = land(tmp_path / "t", {"a.csv": 'name,ticker\n"x, y",007\n\nz,NA\n', "b.csv": "ticker\nKELP\nKELP\n"})
+    assert sorted(r["ticker"] for r in tickers_of_lines(csv_lines(spark, path)).collect()) == ["007", "KELP", "KELP", "NA"]
+    pairs = land(tmp_path / "c", {"a.csv": "transaction_currency,currency\nJPY,USD\n", "b.csv": "currency,transaction_currency\nEUR,USD\n"})
+    assert sorted(tuple(r) for r in currency_pairs_of_lines(csv_lines(spark, pairs)).collect()) == [("EUR", "USD"), ("USD", "JPY")]
+    bad = land(tmp_path / "d", {"a.csv": "symbol\nKELP\n"})
+    with pytest.raises(Exception, match="no header with ticker"):
+        tickers_of_lines(csv_lines(spark, bad)).collect()

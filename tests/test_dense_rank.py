@@ -1,0 +1,48 @@
+"""Dense ids of values in one lazy plan."""
+
+import random
+
+import pytest
+
+from daybook.operators.dims import asset_dimension, dense_rank_of_values
+
+
+def ranked(df, **more):
+    return sorted((r["id"], r["v"]) for r in dense_rank_of_values(df, "v", "id", **more).collect())
+
+
+@pytest.mark.parametrize("ranges", [1, 2, 5, 256])
+def test_positions_in_value_order(spark, ranges):
+    rng = random.Random(ranges)
+    values = [rng.choice(["HOT", f"v{rng.randrange(40)}", "ünder", "", "Z", "a"]) for _ in range(700)]
+    got = ranked(spark.createDataFrame([(v,) for v in values], "v string").repartition(5), ranges=ranges)
+    want = sorted(values, key=lambda v: v.encode())
+    assert got == list(enumerate(want))
+
+
+def test_nulls_numbers_and_empty(spark):
+    rows = dense_rank_of_values(spark.createDataFrame([(None,), (3,), (None,), (-1,), (3,)], "v int"), "v", "id").collect()
+    assert sorted((r["id"], r["v"]) for r in rows if r["v"] is not None) == [(2, -1), (3, 3), (4, 3)]
+    assert sorted(r["id"] for r in rows if r["v"] is None) == [0, 1]
+    assert dense_rank_of_values(spark.createDataFrame([], "v string"), "v", "id").collect() == []
+
+
+def test_a_value_that_most_rows_have(spark, monkeypatch):
+    from daybook.operators import dims
+    monkeypatch.setattr(dims, "EXPAND", 7)
+    rows = [("A",)] * 3 + [("HOT",)] * 1000 + [("Z",)] * 14
+    assert [v for _, v in ranked(spark.createDataFrame(rows, "v string"))] == ["A"] * 3 + ["HOT"] * 1000 + ["Z"] * 14
+
+
+def test_no_job_runs_while_the_frame_is_built(spark):
+    sc = spark.sparkContext
+    tickers = spark.createDataFrame([("KELP",), ("FERN",)], "ticker string")
+    sc.setJobGroup("building", "no job expected")
+    try:
+        frame = asset_dimension(tickers)
+        assert list(sc.statusTracker().getJobIdsForGroup("building")) == []
+        rows = frame.collect()
+        assert list(sc.statusTracker().getJobIdsForGroup("building")) != []
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    assert sorted(tuple(r) for r in rows) == [(0, "FERN", "equity"), (1, "KELP", "equity")]
