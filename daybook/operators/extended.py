@@ -38,6 +38,7 @@ def equity_extended(
     daily: DataFrame,
     filings: DataFrame,
     bucket: Callable[[Column], Column] | None = None,
+    by_ticker: bool = False,
 ) -> DataFrame:
     """T7: every daily row with the filing of greatest ``date_key`` on or before it.
 
@@ -49,9 +50,16 @@ def equity_extended(
     Rows are reduced to one per (ticker, date_key) first, so daily rows and
     filings can share one window per ticker, bounded by its days.  With
     ``bucket`` the two-level forward fill of ``asof_join`` is used instead.
+    With ``by_ticker`` every row looks its filing up among its ticker's own: on
+    tables bucketed by ticker (``plans.versions``) nothing is shuffled, at the
+    price of comparing a row with each filing of its ticker.
     """
+    if by_ticker:
+        if bucket is not None:
+            raise ValueError("either bucket or by_ticker")
+        return _priced(_looked_up(one_row_per_ticker_day(daily), filings))
     if bucket is None:
-        return _priced(_carried(one_row_per_ticker_day(daily), filings))
+        return _priced(_carried(daily, filings))
     right = filings.select(
         F.col("ticker"),
         F.col("date_key").alias("edgar_date_key"),
@@ -73,28 +81,46 @@ def equity_extended(
 
 
 def _carried(daily: DataFrame, filings: DataFrame) -> DataFrame:
-    """Daily rows with the latest filing, carried by one window over both."""
+    """One daily row per (ticker, date_key) with the latest filing, from one grouping and one window over both.
+
+    Of several daily rows of a key the first by source and then the measures stays, as
+    in ``one_row_per_ticker_day``.
+    """
     day = daily.schema["date_key"].dataType
-    filed = (
-        filings.where(F.col("ticker").isNotNull() & F.col("date_key").isNotNull())
-        .select("ticker", F.col("date_key").cast(day).alias("date_key"), F.struct(
-            F.col("date_key").cast(day).alias("edgar_10q_date_key"),
-            F.col("shares_outstanding").alias("edgar_shares_outstanding"),
-            F.col("cik").alias("edgar_cik")).alias("__filing"))
-        .groupBy("ticker", "date_key").agg(F.max("__filing").alias("__filing"))
-    )
-    row = F.struct(*[c for c in DAILY_COLUMNS if c not in ("ticker", "date_key")])
+    row = F.struct(*[F.col(c) for c in DAILY_COLUMNS if c not in ("ticker", "date_key")])
+    filing = F.struct(
+        F.col("date_key").cast(day).alias("edgar_10q_date_key"),
+        F.col("shares_outstanding").alias("edgar_shares_outstanding"),
+        F.col("cik").alias("edgar_cik"))
+    filed = filings.where(F.col("ticker").isNotNull() & F.col("date_key").isNotNull()).select(
+        "ticker", F.col("date_key").cast(day).alias("date_key"), filing.alias("__filing"))
     both = daily.select("ticker", "date_key", row.alias("__row")).unionByName(filed, allowMissingColumns=True)
-    # On equal days the filing (no row) sorts first, so it is visible to the day.
-    order = Window.partitionBy("ticker").orderBy("date_key", F.col("__row").isNotNull()).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
+    # Structs compare field by field, NULLs first; a key's filing is visible to its own day.
+    keys = both.groupBy("ticker", "date_key").agg(F.min("__row").alias("__row"), F.max("__filing").alias("__filing"))
+    order = Window.partitionBy("ticker").orderBy("date_key").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return (
-        both.withColumn("__filing", F.last("__filing", ignorenulls=True).over(order))
+        keys.withColumn("__filing", F.last("__filing", ignorenulls=True).over(order))
         .where(F.col("__row").isNotNull())
         .select("ticker", "date_key", "__row.*", "__filing.*")
     )
 
 
+def _looked_up(daily: DataFrame, filings: DataFrame) -> DataFrame:
+    """Daily rows with the latest filing, from one array per ticker (a ticker has at most one filing a day there)."""
+    day = daily.schema["date_key"].dataType
+    own = (
+        filings.where(F.col("ticker").isNotNull() & F.col("date_key").isNotNull())
+        .groupBy("ticker").agg(F.array_sort(F.collect_set(F.struct(
+            F.col("date_key").cast(day).alias("edgar_10q_date_key"),
+            F.col("shares_outstanding").alias("edgar_shares_outstanding"),
+            F.col("cik").alias("edgar_cik")))).alias("__filings"))
+    )
+    joined = daily.join(own, "ticker", "left")
+    # Of equal days the largest filing is last, as in the carry.
+    latest = F.get(F.reverse(F.filter("__filings", lambda f: f["edgar_10q_date_key"] <= F.col("date_key"))), F.lit(0))
+    return joined.withColumn("__filing", latest).select(*DAILY_COLUMNS, "__filing.*")
+
+
 def _priced(joined: DataFrame) -> DataFrame:
     return joined.select(
         *DAILY_COLUMNS,

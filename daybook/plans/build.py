@@ -195,6 +195,7 @@ def build_all(
     history_format: str = "parquet",
     facts_json_lines: bool = False,
     versioned: bool = False,
+    buckets: int | None = None,
     concepts: list[str] = SHARE_CONCEPTS,
     at_once: int | None = None,
 ) -> dict[str, dict[str, int]]:
@@ -203,7 +204,9 @@ def build_all(
 
     With ``versioned`` every table is published as a version (``plans.versions``:
     replaced in one atomic step, read by ``read_table``), else written as plain
-    files at its path.  ``concepts`` are the share-count concepts in order of
+    files at its path.  With ``buckets`` (and ``versioned``) the daily and filing
+    tables are bucketed by ticker and sorted by day, and the extended table is
+    made from them without a shuffle.  ``concepts`` are the share-count concepts in order of
     preference; ``at_once`` bounds how many tables are built at a time.  Of FX
     histories in CSV, the lines left out become the table
     ``daily_currency_rejects`` and are counted as ``rejected_lines``.  Tables that
@@ -214,6 +217,10 @@ def build_all(
     as JSON Lines (one document per line, e.g. after a bulk conversion)
     instead of one document per file.
     """
+    if buckets and (not versioned or partition_by_year):
+        raise ValueError("buckets need versioned tables that are not partitioned by year")
+    by_ticker = {"buckets": (buckets, ["ticker"])} if buckets else {}
+
     def path(name):
         return os.path.join(out, name)
 
@@ -274,7 +281,7 @@ def build_all(
         df, by = part(daily_prices(price_history(), tickers(), start, end))
         return write(
             df, "daily_table", partition_by=by, sort_within=["ticker", "date_key"],
-            contract=DAILY_TABLE,
+            contract=DAILY_TABLE, **by_ticker,
         )
 
     def build_edgar_10q_table():
@@ -288,7 +295,7 @@ def build_all(
         )
         return write(
             filings, "edgar_10q_table", sort_within=["ticker", "date_key"],
-            contract=SHARES_TABLE,
+            contract=SHARES_TABLE, **by_ticker,
         )
 
     def build_daily_currency_table():
@@ -305,7 +312,7 @@ def build_all(
 
     def build_equity_table_extended():
         # Reads the written daily and filing tables: lineage starts at files.
-        df, by = part(equity_extended(written("daily_table"), written("edgar_10q_table")))
+        df, by = part(equity_extended(written("daily_table"), written("edgar_10q_table"), by_ticker=bool(buckets)))
         return write(
             df,
             "equity_table_extended",

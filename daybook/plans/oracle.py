@@ -230,6 +230,7 @@ WHERE fx.day >= DATE '2024-01-01' AND fx.day < DATE '2024-12-31'"""
 ORACLE_SQL: dict[str, str] = {
     "asof_market_cap": EXTENDED + "\nSELECT * FROM extended",
     "asof_market_cap_monthly": EXTENDED + "\nSELECT * FROM extended",
+    "asof_market_cap_bucketed": EXTENDED + "\nSELECT * FROM extended",
     "asof_hot_ticker": """WITH ticks AS (
   SELECT CASE WHEN user_id % 2 = 0 THEN 'EVERY' ELSE 'U' || CAST(user_id AS VARCHAR) END AS ticker, ts, event_id, event_type, value
   FROM events

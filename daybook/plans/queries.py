@@ -29,7 +29,7 @@ from daybook.operators import (
 )
 from daybook.operators.trading_days import date_spine_between
 from daybook.plans.build import build_all
-from daybook.plans.versions import read_table
+from daybook.plans.versions import publish, read_table
 from daybook.session import scratch_path
 from daybook.sources import (
     accepted_fx,
@@ -158,6 +158,19 @@ def q_latest_per_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return equity_extended(td.order_quotes(spark, sf_dir), td.finished_orders(spark, sf_dir))
 
 
+#: Files of the bucketed tables of ``asof_market_cap_bucketed``.
+TICKER_BUCKETS = 16
+
+
+def q_asof_market_cap_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flagship from published daily and filing tables that are bucketed by ticker and sorted by day."""
+    layout = {"sort_within": ["ticker", "date_key"], "buckets": (TICKER_BUCKETS, ["ticker"])}
+    daily, filings = scratch_path(spark, "daily_table"), scratch_path(spark, "edgar_10q_table")
+    publish(q_daily_prices(spark, sf_dir), daily, **layout)
+    publish(q_shares_outstanding(spark, sf_dir), filings, **layout)
+    return equity_extended(read_table(spark, daily), read_table(spark, filings), by_ticker=True)
+
+
 def q_asof_hot_ticker(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every tick with the latest purchase of its ticker up to its time; one ticker has half of all ticks.
 
@@ -205,6 +218,7 @@ def q_coverage_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "asof_market_cap": q_asof_market_cap,
     "asof_market_cap_monthly": q_asof_market_cap_monthly,
+    "asof_market_cap_bucketed": q_asof_market_cap_bucketed,
     "asof_hot_ticker": q_asof_hot_ticker,
     "shares_outstanding": q_shares_outstanding,
     "shares_outstanding_json": q_shares_outstanding_json,

@@ -18,13 +18,17 @@ def write_counted(
     partition_by: list[str] | None = None,
     sort_within: list[str] | None = None,
     contract: StructType | None = None,
+    buckets: tuple[int, list[str]] | None = None,
 ) -> dict[str, int]:
     """Write ``df`` as Parquet to a new ``folder``; return its counts.
 
     ``rows`` and one count per ``flags`` entry (e.g. open days, rows without a
     filing) are gathered by an ``Observation`` while the write runs, so the
     plan executes once.  With ``contract`` the rows that hold a NULL in a
-    column it declares non-null are counted too (``null_violations``).
+    column it declares non-null are counted too (``null_violations``).  With
+    ``buckets`` (number, columns) rows are dealt to that many files by the hash of
+    the columns (one shuffle), each sorted by ``sort_within``; the layout is of use
+    to readers that know it (``versions.read_table``).
     """
     obs = Observation(f"write_{uuid.uuid4().hex}")
     metrics = [F.count(F.lit(1)).alias("rows")]
@@ -33,6 +37,16 @@ def write_counted(
     if any_null is not None:
         metrics.append(F.count_if(any_null).alias("null_violations"))
     observed = df.observe(obs, *metrics)
+    if buckets:
+        if partition_by or not sort_within:
+            raise ValueError("a bucketed table has sort_within and no partition_by")
+        number, by = buckets
+        # The writer's table is only a name for the folder while it writes.
+        name = f"daybook_write_{uuid.uuid4().hex}"
+        writer = observed.repartition(number, *by).write.bucketBy(number, *by).sortBy(*sort_within)
+        writer.option("path", folder).format("parquet").saveAsTable(name)
+        df.sparkSession.sql(f"DROP TABLE {name}")
+        return {k: int(v) for k, v in obs.get.items()}
     if partition_by:
         # Else every task would write a file into every partition folder; AQE splits the large ones.
         observed = observed.hint("rebalance", *partition_by)

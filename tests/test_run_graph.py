@@ -103,6 +103,12 @@ def test_versioned_build_equals_the_plain_one(spark, tmp_path):
         a, b = spark.read.parquet(f"{plain}/{name}"), read_table(spark, f"{versioned}/{name}")
         assert a.schema == b.schema
         assert sorted(map(tuple, a.collect()), key=repr) == sorted(map(tuple, b.collect()), key=repr)
+    bucketed = str(tmp_path / "bucketed")
+    assert build_all(spark, root, bucketed, *window, versioned=True, buckets=3) == first
+    a, b = (read_table(spark, f"{x}/equity_table_extended") for x in (versioned, bucketed))
+    assert sorted(map(tuple, a.collect()), key=repr) == sorted(map(tuple, b.collect()), key=repr)
+    with pytest.raises(ValueError, match="buckets"):
+        build_all(spark, root, bucketed, *window, buckets=3)
 
 
 def test_rejected_lines_become_a_table(spark, tmp_path):

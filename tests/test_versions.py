@@ -127,3 +127,65 @@ def test_replacing_a_plain_table_leaves_nothing_behind(spark, tmp_path):
     write_table(numbers(spark, 0, 3), path)
     write_table(numbers(spark, 3, 5), path)
     assert ids(spark.read.parquet(path)) == [3, 4] and os.listdir(tmp_path) == ["t"]
+
+
+def _bucketed(spark, folder, seed):
+    import random
+    from daybook.schemas import DAILY_TABLE
+    rng = random.Random(seed)
+    days = [20240100 + d for d in range(1, 29)]
+    daily = spark.createDataFrame([(rng.choice(["KELP", "FERN", "MOSS", "REED"]), rng.choice(["a", "b"]), rng.choice(days), 1.0, 2.0, 0.5, rng.random(), k)
+                                   for k in range(400)], DAILY_TABLE)
+    filings = spark.createDataFrame([(rng.choice(["KELP", "FERN", "MOSS"]), "0000000001", rng.choice(days), k) for k in range(30)], SHARES_TABLE)
+    paths = str(folder / "d"), str(folder / "f")
+    for frame, path in zip((daily, filings), paths):
+        publish(frame, path, sort_within=["ticker", "date_key"], buckets=(4, ["ticker"]), contract=None)
+    return daily, filings, paths
+
+
+def test_bucketed_tables_need_no_shuffle(spark, tmp_path):
+    from daybook.operators import equity_extended
+    daily, filings, paths = _bucketed(spark, tmp_path, 1)
+    read = [read_table(spark, p) for p in paths]
+    assert read[0].schema.names == daily.schema.names and read[0].count() == 400
+    plain = equity_extended(daily, filings)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        looked_up = equity_extended(*read, by_ticker=True)
+        plan = looked_up._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "Bucketed: true" in plan and "SortMergeJoin" in plan
+        assert sorted(map(tuple, looked_up.collect()), key=repr) == sorted(map(tuple, plain.collect()), key=repr)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    with pytest.raises(ValueError):
+        equity_extended(*read, by_ticker=True, bucket=lambda k: k)
+
+
+def test_files_of_a_bucketed_table_are_sorted(spark, tmp_path):
+    import glob
+
+    import pyarrow.parquet as pq
+    _, _, paths = _bucketed(spark, tmp_path, 2)
+    files = [f for p in paths for f in glob.glob(f"{p}/_v-*/*.parquet")]
+    tickers = {}
+    for file in files:
+        table = pq.read_table(file).to_pydict()
+        keys = list(zip(table["ticker"], table["date_key"]))
+        assert keys == sorted(keys)
+        footer = pq.ParquetFile(file).metadata
+        place = footer.schema.names.index("date_key")
+        assert footer.row_group(0).column(place).statistics.min == min(table["date_key"])
+        for t in set(table["ticker"]):       # one file per table and ticker
+            assert tickers.setdefault((file.split("/_v-")[0], t), file) == file
+    with pytest.raises(ValueError, match="sort_within"):
+        publish(numbers(spark, 0, 3), str(tmp_path / "x"), buckets=(2, ["id"]))
+
+
+def test_bucketed_versions_replace_each_other(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for k in range(3):
+        publish(numbers(spark, 0, 5 + k), path, sort_within=["id"], buckets=(2, ["part"]))
+    publish(read_table(spark, path).where("id < 2"), path)
+    assert ids(read_table(spark, path)) == [0, 1] and ids(read_table(spark, path, 3)) == list(range(7))
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("daybook_write")]
