@@ -7,14 +7,18 @@ takes part only if its greatest length times the query's can reach it.  Inside
 a block the local cosine threshold (threshold over the product of lengths)
 chooses the pruning: high thresholds prune by the interval that the query's
 largest coordinate leaves for a candidate's same coordinate, low ones by the
-candidates' lengths.  What is left is verified by exact products.
+candidates' lengths.  What is left is verified by exact products: in float64 where
+lengths bound every product by 2**53, else what may count within the rounding error
+is multiplied again in Python integers.
 
 Scale: queries and candidates meet in blocks, one pair of blocks a row; a
 bucket of equal lengths is split by a hash of the id; each pair yields at most
 k rows per query.  Defined cases: vectors that are null, empty or hold null or
 non-finite components take no part, nor do rows without id; vectors meet only
-those of equal dimension; rows with the query's id are its own; components
-must leave products below 2**53; an empty table gives an empty result.
+those of equal dimension; rows with the query's id are its own; a repeated row is a
+candidate as often as it is there; a repeated query id asks its smallest vector, once;
+a result beyond a long raises an error; columns besides vec_id and embedding are
+ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -36,6 +40,8 @@ QUERY_ROWS = 512
 BINS_PER_DOUBLING = 16
 #: Local cosine threshold from which a coordinate prunes better than lengths do.
 COORDINATE_FROM = 0.5
+#: Below this float64 holds every product and sum of whole numbers.
+EXACT = 2.0 ** 53
 
 
 def whole_vectors(embeddings: DataFrame) -> DataFrame:
@@ -63,8 +69,9 @@ BLOCK_SCHEMA = "dim int, bin int, salt int, n int, top double, ids binary, mat b
 def blocks(vectors: DataFrame, rows: int) -> DataFrame:
     """Vectors packed into blocks of about ``rows``, within one bin of one dimension."""
     counts = vectors.groupBy("dim", "bin").agg(F.ceil(F.count(F.lit(1)) / rows).cast("int").alias("parts"))
-    salted = vectors.join(counts, ["dim", "bin"]).withColumn(
-        "salt", F.pmod(F.xxhash64("vec_id"), F.col("parts")).cast("int"))
+    # By row, not by id: an id that most rows have is spread, too.
+    salted = vectors.withColumn("row", F.monotonically_increasing_id()).join(counts, ["dim", "bin"]).withColumn(
+        "salt", F.pmod(F.xxhash64("row"), F.col("parts")).cast("int")).drop("row")
     return salted.groupBy("dim", "bin", "salt").applyInPandas(_block, BLOCK_SCHEMA)
 
 
@@ -87,14 +94,32 @@ def best_of(q: np.ndarray, own: int, threshold: float, ids: np.ndarray, c: np.nd
             use = np.flatnonzero((x >= low - 1e-9) & (x <= high + 1e-9))
         else:
             use = slice(0, int(np.searchsorted(-norms, -threshold * (1 - 1e-12) / length, side="right")))
-    scores, ids = c[use] @ q, ids[use]
+    c, ids, own_length = c[use], ids[use], length * (float(norms[0]) if len(norms) else 0.0)
+    if own_length * (1 + 1e-9) >= EXACT:
+        return exact_best(q, own, threshold, ids, c, k)
+    scores = c @ q
     keep = (ids != own) & (scores >= threshold)
     scores, ids = scores[keep], ids[keep]
     if len(scores) > k:
         near = scores >= np.partition(scores, len(scores) - k)[len(scores) - k]
         scores, ids = scores[near], ids[near]
     order = np.lexsort((ids, -scores))[:k]
-    return ids[order], scores[order]
+    return ids[order], scores[order].astype(np.int64)
+
+
+def exact_best(q: np.ndarray, own: int, threshold: float, ids: np.ndarray, c: np.ndarray, k: int):
+    """``best_of`` where float64 rounds: it only says which candidates may count, integers decide."""
+    rough = c @ q
+    error = (np.abs(c) @ np.abs(q)) * ((len(q) + 4) * 2.0 ** -52)
+    may = np.flatnonzero((ids != own) & (rough + error >= threshold - abs(threshold) * 2.0 ** -52))
+    if len(may) > k:
+        sure = (rough - error)[may]
+        may = may[(rough + error)[may] >= np.partition(sure, len(sure) - k)[len(sure) - k]]
+    whole = [int(x) for x in q]
+    best = sorted((-sum(int(x) * y for x, y in zip(c[i], whole)), int(ids[i])) for i in may)[:k]
+    if any(abs(score) >= 1 << 63 for score, _ in best):
+        raise OverflowError("an inner product exceeds a long")
+    return np.array([i for _, i in best], np.int64), np.array([-score for score, _ in best], np.int64)
 
 
 def _pairs(k: int):
@@ -109,7 +134,7 @@ def _pairs(k: int):
                 least = np.frombuffer(r.least) if r.least is not None else np.full(len(q), -np.inf)
                 for i in range(len(q)):
                     got, scores = best_of(q[i], q_ids[i], least[i], ids, c, norms, k)
-                    out.append(pd.DataFrame({"query_id": q_ids[i], "vec_id": got, "score": scores.astype(np.int64)}))
+                    out.append(pd.DataFrame({"query_id": q_ids[i], "vec_id": got, "score": scores}))
             yield pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype(np.int64)
     return run
 
@@ -125,8 +150,9 @@ def _ranked(found: DataFrame, k: int) -> DataFrame:
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     """query_id, rank, vec_id, score."""
     vectors = cut(vectors)
-    candidates = cut(blocks(vectors.dropDuplicates(["vec_id", "v"]), BLOCK_ROWS))
-    asked = cut(blocks(queries.dropDuplicates(["vec_id"]), QUERY_ROWS).select(
+    candidates = cut(blocks(vectors, BLOCK_ROWS))
+    fixed = queries.groupBy("vec_id").agg(F.min(F.struct("v", "dim", "norm", "bin")).alias("q")).select("vec_id", "q.*")
+    asked = cut(blocks(cut(fixed), QUERY_ROWS).select(
         "dim", F.col("bin").alias("q_bin"), F.col("salt").alias("q_salt"), F.col("n").alias("q_n"), F.col("top").alias("q_top"),
         F.col("ids").alias("q_ids"), F.col("mat").alias("q_mat")))
     # First threshold: the k-th score among the candidates of the greatest lengths (one block per dimension).
@@ -175,10 +201,10 @@ WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor({SCALE} * x::DOUBLE)::BIGINT) AS v FROM embeddings
   WHERE embedding IS NOT NULL AND vec_id IS NOT NULL AND len(embedding) > 0
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
-), s AS (
+), asked AS (SELECT vec_id, min(v) AS v FROM v WHERE vec_id % {QUERY_STEP} = 0 GROUP BY vec_id), s AS (
   SELECT q.vec_id AS query_id, c.vec_id,
          list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))::BIGINT AS score
-  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % {QUERY_STEP} = 0
+  FROM asked q JOIN v c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
 ), r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= {K}
 """
