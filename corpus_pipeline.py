@@ -14,13 +14,25 @@ from daybook.llm.common import read_table
 from daybook.session import scratch_path
 
 
+#: Bytes of rows that go to a Python worker at once.  Stages run one after the other in the same executors, where
+#: the default (64 MB, and 10,000 rows) adds up to much of their memory.
+BATCH_BYTES = 4 << 20
+
+
+def _bounded(spark: SparkSession) -> None:
+    """Batches to and from Python workers bounded by bytes, for this session."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the compression classifier accepts."""
+    _bounded(spark)
     return quality.keep_good(docs, read_table(spark, sf_dir, "labels"))
 
 
 def jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies."""
+    _bounded(spark)
     return jaccard.keep_one(docs)
 
 
@@ -36,6 +48,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def sentencepiece_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Piece ids of every document, with their round trip checked."""
+    _bounded(spark)
     return pieces.op4_sentencepiece(docs)
 
 
