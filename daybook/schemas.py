@@ -104,7 +104,8 @@ FX_HISTORY = StructType([
 
 # One company→CIK document: an object keyed "0", "1", ... in document order.
 # ``cik_str`` is read as text, so a number and a quoted number both work.
-CIK_DOCUMENT_DDL = "map<string,struct<cik_str:string,ticker:string,title:string>>"
+CIK_ENTRY_DDL = "struct<cik_str:string,ticker:string,title:string>"
+CIK_DOCUMENT_DDL = f"map<string,{CIK_ENTRY_DDL}>"
 
 # One company-facts document.  ``val`` is read as text so that fractional
 # values truncate instead of turning NULL (see ``truncate_to_long``).

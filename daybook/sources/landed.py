@@ -15,6 +15,7 @@ from daybook.functions import zero_pad_cik
 from daybook.operators.filings import SHARE_CONCEPTS
 from daybook.schemas import (
     CIK_DOCUMENT_DDL,
+    CIK_ENTRY_DDL,
     COMPANY_FACTS,
     CURRENCY_PAIRS_TABLE,
     FX_HISTORY,
@@ -50,24 +51,47 @@ def read_currency_pairs(spark: SparkSession, path: str, strict_header: bool = Tr
     )
 
 
+# A company→CIK entry up to its closing brace: what opens or separates entries, the key, the body.
+_ENTRY = r'^[\s\uFEFF]*[{,]\s*"(?:[^"\\]|\\.)*"\s*:\s*(\{[\s\S]*)$'
+_UNESCAPED_QUOTE = r'(?<!\\)(?:\\\\)*"'
+
+
 def read_cik_document(spark: SparkSession, path: str) -> DataFrame:
     """Company→CIK document(s): JSON objects ``{"0": {cik_str, ticker, title}, ...}``.
 
     Returns ``doc, pos, ticker, cik_str, title``: ``doc`` is the file path and
-    ``pos`` the position in that file's object, so (``doc``, ``pos``) is the
-    document order and a ticker listed twice resolves "last one wins".  Each
-    file is one object, parsed by one task; the published mapping is a
-    single bounded file, and a mapping split over several files (in path
-    order) is read in parallel.  A damaged document fails the read rather
-    than passing for an empty mapping.
+    ``pos`` the place in that file's object, so (``doc``, ``pos``) is the
+    document order and a ticker listed twice resolves "last one wins".
+
+    One object is a single JSON value, but its entries are flat: the file is read as
+    text that ends at each closing brace, so Spark cuts a large mapping into
+    byte ranges and many tasks parse it; an entry's place is the range it starts in
+    and its row there.  A first pass over the pieces finds documents that are not
+    closed (refused, rather than read as far as they go) and braces inside texts,
+    for which every document is parsed whole, by one task a file.  A damaged
+    entry fails the read.
     """
-    return flatten_cik_documents(spark.read.text(path, wholetext=True).select(
-        F.col("_metadata.file_path").alias("doc"), "value"
-    ))
+    pieces = spark.read.option("lineSep", "}").text(path).select(
+        F.col("_metadata.file_path").alias("doc"),
+        F.struct(F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("row")).alias("pos"), "value")
+    marked = pieces.select("doc", F.col("value").rlike(r"^[\s\uFEFF{]*$").alias("closing"),
+                           (F.regexp_count("value", F.lit(_UNESCAPED_QUOTE)) % 2).alias("odd"))
+    state = marked.groupBy("doc").agg(F.bool_or("closing").alias("closed"), F.sum("odd").alias("cut")).agg(
+        F.min(F.when(~F.col("closed") & (F.col("cut") == 0), F.col("doc"))).alias("open"), F.coalesce(F.sum("cut"), F.lit(0)).alias("cut")).first()
+    if state["open"] is not None:
+        raise ValueError(f"malformed company→CIK document (not closed): {state['open']}")
+    if state["cut"]:
+        return flatten_cik_documents(spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("doc"), "value"))
+    body = F.regexp_extract("value", _ENTRY, 1)
+    text = F.when(body != "", F.concat(body, F.lit("}"))).otherwise(
+        F.raise_error(F.concat(F.lit("malformed company→CIK entry in "), "doc", F.lit(": "), F.substring("value", 1, 200))))
+    entries = pieces.where(~F.col("value").rlike(r"^[\s\uFEFF{]*$")).select(
+        "doc", "pos", F.from_json(text, CIK_ENTRY_DDL, {"mode": "FAILFAST"}).alias("e"))
+    return entries.select("doc", "pos", "e.ticker", "e.cik_str", "e.title")
 
 
 def flatten_cik_documents(docs: DataFrame) -> DataFrame:
-    """Company→CIK documents as text (``doc, value``) → one row per entry (see ``read_cik_document``)."""
+    """Company→CIK documents as text (``doc, value``) → one row per entry (see ``read_cik_document``; ``pos`` is a number)."""
     entries = docs.select(
         "doc", F.posexplode(F.map_values(F.from_json("value", CIK_DOCUMENT_DDL, {"mode": "FAILFAST"})))
     )
