@@ -15,7 +15,7 @@ class Missing:
             raise ModuleNotFoundError(f"No module named {{name!r}}", name=name)
 sys.meta_path.insert(0, Missing())
 import __spark_entry__ as entry
-print(len([q for q in entry.queries() if not q.startswith("op") and q != "pipeline"]), "pipeline" in entry.queries(), set(entry.oracle_sql()) <= set(entry.queries()))
+print(len([q for q in entry.queries() if not q[:3].startswith(("op1", "op2", "op3", "op4", "op5", "op6", "op7", "op8", "op9")) and q != "pipeline"]), "pipeline" in entry.queries(), set(entry.oracle_sql()) <= set(entry.queries()))
 """
 
 
@@ -25,4 +25,5 @@ def test_core_queries_without_the_subpackage(name):
     run = subprocess.run([sys.executable, "-c", CODE.format(name=name)], cwd=REPO, capture_output=True, text=True, timeout=120)
     assert run.returncode == 0, run.stderr[-2000:]
     assert run.stdout.split() == [str(len(QUERIES)), "False", "True"]
-    assert ("left out" in run.stderr) == (name in ("ahocorasick", "zstandard"))
+    there = os.path.isdir(os.path.join(REPO, "daybook", "llm"))
+    assert ("left out" in run.stderr) == (there and name in ("ahocorasick", "zstandard"))
