@@ -6,17 +6,22 @@ statistics by the minimum covariance determinant: from two deterministic
 starts (coordinate-wise median and MAD; plain mean and covariance)
 concentration steps re-estimate from the half of the documents that is nearest
 by Mahalanobis distance, and the start whose final determinant is smaller
-wins.  Documents too far from the robust centre are rejected.
+wins.  Documents too far from the robust centre are rejected.  The same is estimated for
+every language and for the corpus: a source with fewer than MIN_GROUP documents
+that pass the base rules is judged by its language, a language with fewer by
+the corpus (column ``level`` says by which).
 
 Scale: one row of five numbers per document is checkpointed; a step is one
 join with the group estimates and one aggregate by (group, distance bin) with
-partial sums, so no group is gathered.  The half is taken in whole bins of the
+partial sums, so no group is gathered; the join is salted, so that neither the corpus
+nor a source with a third of all rows is one task.  The half is taken in whole bins of the
 distance (a factor of exp(1/BINS_PER_E)), i.e. rounded up.
 
 Defined cases: null text counts as empty (fails the base rules); null lang and
-source form their own groups; groups with fewer than MIN_GROUP documents that
-pass the base rules have no estimate and keep them; repeated rows count as
-often as they occur; an empty table gives an empty result.
+source form their own groups; with fewer than MIN_GROUP documents in the whole
+corpus there is no estimate and what passes the base rules is kept; repeated rows count as
+often as they occur; very long texts count whole; columns besides doc_id, text, lang
+and source are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -42,6 +47,10 @@ CHI2_MEDIAN = 3.356694
 CUTOFF = 18.466827
 
 GROUP = ["lang_key", "source_key"]
+#: Estimates from the most specific on, and the key that stands for all languages or sources.
+LEVELS, ALL = ("source", "language", "corpus"), "*"
+#: Parts that the rows of a group are dealt to when they meet its estimate.
+SALTS = 64
 
 
 def statistics(docs: DataFrame) -> DataFrame:
@@ -87,6 +96,25 @@ def vector(stats: DataFrame) -> DataFrame:
     )
 
 
+def _level_keys() -> list:
+    """(level, lang_key, source_key) structs of a document's three groups."""
+    keys = [(F.col("lang_key"), F.col("source_key")), (F.col("lang_key"), F.lit(ALL)), (F.lit(ALL), F.lit(ALL))]
+    return [F.struct(F.lit(i).alias("level"), a.alias("lang_key"), b.alias("source_key")) for i, (a, b) in enumerate(keys)]
+
+
+def _in_levels(rows: DataFrame) -> DataFrame:
+    """The vectors once for each group they belong to."""
+    xs = [f"x{i}" for i in range(DIMS)]
+    return rows.select(*xs, F.explode(F.array(*_level_keys())).alias("g")).select(*xs, "g.lang_key", "g.source_key")
+
+
+def _beside(rows: DataFrame, small: DataFrame) -> DataFrame:
+    """Rows with their group's row of ``small``; a group's rows are dealt to SALTS parts."""
+    salted = rows.withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(SALTS)))
+    copies = small.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return salted.join(copies, [*GROUP, "salt"]).drop("salt")
+
+
 def _sums() -> list:
     out = [F.count(F.lit(1)).cast("double").alias("n")]
     out += [F.sum(f"x{i}").alias(f"s{i}") for i in range(DIMS)]
@@ -127,7 +155,7 @@ def _distance(df: DataFrame) -> DataFrame:
 def _bins(rows: DataFrame, estimates: DataFrame, keys: list[str]) -> DataFrame:
     """Sums per group and bin of the squared distance."""
     lowest = 1e-6
-    near = _distance(rows.join(estimates, GROUP))
+    near = _distance(_beside(rows, estimates))
     return (
         near.withColumn("bin", F.floor(F.log(F.greatest(F.col("d2"), F.lit(lowest))) * BINS_PER_E).cast("int"))
         .groupBy(*keys, "bin").agg(*_sums())
@@ -149,7 +177,7 @@ def mcd(rows: DataFrame) -> DataFrame:
     medians = rows.groupBy(*GROUP).agg(
         F.count(F.lit(1)).alias("rows"), *[F.percentile_approx(f"x{i}", 0.5, 10000).alias(f"m{i}") for i in range(DIMS)])
     medians = medians.where(F.col("rows") >= MIN_GROUP).drop("rows")
-    mads = rows.join(medians, GROUP).groupBy(*GROUP).agg(
+    mads = _beside(rows, medians).groupBy(*GROUP).agg(
         *[F.first(f"m{i}").alias(f"m{i}") for i in range(DIMS)],
         *[F.percentile_approx(F.abs(F.col(f"x{i}") - F.col(f"m{i}")), 0.5, 10000).alias(f"a{i}") for i in range(DIMS)])
     robust = mads.select(
@@ -169,12 +197,17 @@ def mcd(rows: DataFrame) -> DataFrame:
 
 
 def judge(docs: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
-    """Every document with its counts, base_failed, distance (null without estimate) and kept."""
+    """Every document with its counts, base_failed, distance (null without estimate), level of its estimate and kept."""
     rows = cut(vector(statistics(docs)))
-    estimates = cut(mcd(rows.where(~F.col("base_failed"))))
+    estimates = cut(mcd(_in_levels(rows.where(~F.col("base_failed")))))
+    # One row per (lang, source): the most specific of its three groups that has an estimate.
+    own = rows.select(*GROUP).distinct().select(*[F.col(c).alias(f"own_{c}") for c in GROUP], F.explode(F.array(*_level_keys())).alias("g"))
+    first = Window.partitionBy(*[f"own_{c}" for c in GROUP]).orderBy("level")
+    chosen = own.select(*[f"own_{c}" for c in GROUP], "g.*").join(estimates, GROUP).withColumn("place", F.row_number().over(first)).where(
+        "place = 1").drop("place", *GROUP).withColumnsRenamed({f"own_{c}": c for c in GROUP})
+    chosen = chosen.withColumn("level", F.element_at(F.array(*[F.lit(x) for x in LEVELS]), F.col("level") + 1))
     scaled = F.col("d2") / F.greatest(F.col("med"), F.lit(CHI2_MEDIAN / 4)) * CHI2_MEDIAN
-    return _distance(rows.join(estimates, GROUP, "left")).select(
+    return _distance(rows.join(chosen, GROUP, "left")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-        scaled.alias("distance"),
+        scaled.alias("distance"), F.when(~F.col("base_failed"), F.col("level")).alias("level"),
         (~F.col("base_failed") & F.coalesce(scaled <= cutoff, F.lit(True))).alias("kept"))
-
