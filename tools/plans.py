@@ -34,26 +34,31 @@ COUNTED = [
 
 # What grows with the data in each query, and what bounds the rest.
 NOTES = {
-    "asof_market_cap": "Daily rows shuffle once by (ticker, day) (top-1 limit applied map-side); "
-                       "the as-of spine holds distinct keys only, its window is bounded by days per "
-                       "ticker; the final join reuses the left partitioning. Filings: one scan of the facts.",
-    "asof_market_cap_monthly": "As the flagship, with the forward fill split per (ticker, month) and a "
-                               "carry over one row per bucket.",
+    "asof_market_cap": "Daily rows and filings are grouped together by (ticker, day), partially before the shuffle; "
+                       "one window per ticker, bounded by its days, carries the filing. Filings: one scan of the facts.",
+    "asof_market_cap_monthly": "The key spine, filled per (ticker, month) with a carry over one row per bucket.",
+    "asof_market_cap_bucketed": "Scans of published tables in buckets by ticker: no shuffle above them.",
+    "asof_hot_ticker": "The key spine; a ticker above the row bound is cut at percentiles of its own times, "
+                       "found by a count and a percentile aggregate; at most rows / bound edges are broadcast.",
+    "built_extended": "The scan of a published table; the build's own jobs run before it.",
     "shares_outstanding": "Facts read once; one partial aggregate per (CIK, concept, period); the concept "
-                          "choice is a window per CIK over aggregated groups; ticker list broadcast behind "
-                          "a row-count check. The testdata adapter's range sort spreads hot companies.",
-    "shares_outstanding_json": "As shares_outstanding; company-facts JSON read with a schema pruned to the "
-                               "listed concepts; documents hold at most 1000 entries.",
-    "daily_prices": "History filtered at the scan; the ticker list is broadcast after a row-count check, "
-                    "so the history is not shuffled by the join.",
-    "daily_fx": "As daily_prices, with the pair list broadcast after a row-count check.",
-    "currency_pairs": "A distinct over events (partial aggregate), a CSV round trip.",
+                          "choice is a window per CIK over aggregated groups.",
+    "shares_outstanding_json": "As shares_outstanding; documents are made from numbered facts (a global sort) and parsed "
+                               "with a schema pruned to the listed concepts; they hold at most 1000 entries.",
+    "daily_prices": "History filtered at the scan; Spark broadcasts the ticker list by its measured bytes.",
+    "daily_prices_repeated": "As daily_prices.",
+    "daily_prices_csv": "As daily_prices, from lines bound by their file's header; headers broadcast within a measured bound.",
+    "daily_fx": "As daily_prices, with the pair list.",
+    "daily_fx_csv": "As daily_fx, from lines.",
+    "fx_rejects": "The same lines, the other ones.",
+    "currency_pairs": "A distinct over events (partial aggregate); the list's lines parsed in the plan.",
     "cik_map": "One partial aggregate per ticker (max_by position).",
-    "cik_map_json": "JSON objects of at most 1000 entries, one per file, read in parallel.",
-    "asset_dimension": "Range partitioning on (ticker, tie-breaker), checkpoint, per-partition offsets.",
+    "cik_map_json": "JSON objects of at most 1000 entries, made and parsed in the plan.",
+    "asset_dimension": "Counts per ticker (partial), ranks within ranges, offsets over one row per range, expanded to rows.",
     "trading_calendar": "A global min/max (partial aggregates), then a per-row expression over the days.",
+    "trading_calendar_event_years": "As trading_calendar.",
     "open_days": "As trading_calendar plus a filter.",
-    "latest_per_key": "Top-1 per (user, day) with the limit applied map-side, then the as-of spine.",
+    "latest_per_key": "As the flagship, over quotes with many rows a day.",
     "latest_per_customer": "As latest_per_key, over orders.",
     "missing_filings": "The flagship plus a filter.",
     "coverage_report": "The flagship and the calendar, each reduced by one global aggregate.",
