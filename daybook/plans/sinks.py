@@ -44,7 +44,7 @@ def write_counted(
         # The writer's table is only a name for the folder while it writes.
         name = f"daybook_write_{uuid.uuid4().hex}"
         writer = observed.repartition(number, *by).write.bucketBy(number, *by).sortBy(*sort_within)
-        writer.option("path", folder).format("parquet").saveAsTable(name)
+        writer.option("path", Folder(df.sparkSession, folder).qualified()).format("parquet").saveAsTable(name)
         df.sparkSession.sql(f"DROP TABLE {name}")
         return {k: int(v) for k, v in obs.get.items()}
     if partition_by:
@@ -108,6 +108,10 @@ class Folder:
         self.path = self.make(path)
         self.fs = self.path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
 
+    def qualified(self) -> str:
+        """The whole path, with its store (the catalog takes a relative one for a place in the warehouse)."""
+        return self.fs.makeQualified(self.path).toString()
+
     def exists(self) -> bool:
         return self.fs.exists(self.path)
 

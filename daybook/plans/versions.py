@@ -109,9 +109,10 @@ def _layout(df: DataFrame, buckets: tuple[int, list[str]] | None, sort_within: l
 def _bucketed(spark: SparkSession, folder: str, own: str, layout: Row) -> DataFrame:
     """A version's files with their layout: a name for them in the session's catalog."""
     name = f"daybook_version_{own}"
+    place = Folder(spark, folder).qualified().replace("\\", "\\\\").replace("'", "\\'")
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({layout['columns']}) USING parquet "
               f"CLUSTERED BY ({', '.join(layout['by'])}) SORTED BY ({', '.join(layout['sorted'])}) INTO {layout['number']} BUCKETS "
-              f"LOCATION '{folder}'")
+              f"LOCATION '{place}'")
     return spark.table(name)
 
 

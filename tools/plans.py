@@ -13,7 +13,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from __spark_entry__ import queries  # noqa: E402
+from daybook.plans.queries import QUERIES  # noqa: E402
 from daybook.session import get_session  # noqa: E402
 
 COUNTED = [
@@ -72,7 +72,7 @@ def main() -> None:
     print(f"# Executed plans of the registered queries ({os.path.basename(sf_dir)}, AQE final plans)\n")
     print("Generated by `python tools/plans.py`. Counts are operators in the final physical plan "
           "(a reused exchange is counted once per use).\n")
-    for name, fn in queries().items():
+    for name, fn in QUERIES.items():
         df = fn(spark, sf_dir)
         df.collect()
         plan = df._jdf.queryExecution().executedPlan().toString()
