@@ -239,7 +239,7 @@ bought AS (
   SELECT * FROM ticks WHERE event_type = 'purchase'
   QUALIFY row_number() OVER (PARTITION BY ticker, ts ORDER BY value DESC, event_id DESC) = 1
 )
-SELECT t.ticker, t.ts, t.event_id, b.ts AS purchase_ts, b.value AS paid, b.event_id AS purchase_id
+SELECT t.ticker, CAST(t.ts AS VARCHAR) AS ts, t.event_id, CAST(b.ts AS VARCHAR) AS purchase_ts, b.value AS paid, b.event_id AS purchase_id
 FROM ticks t ASOF LEFT JOIN bought b ON t.ticker = b.ticker AND t.ts >= b.ts""",
     "built_extended": BUILT + "\nSELECT * FROM extended",
     "missing_filings": EXTENDED + "\nSELECT * FROM extended WHERE edgar_shares_outstanding IS NULL",

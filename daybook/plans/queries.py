@@ -179,9 +179,11 @@ def q_asof_hot_ticker(spark: SparkSession, sf_dir: str) -> DataFrame:
     ticks = td.event_ticks(spark, sf_dir)
     bought = ticks.where(F.col("event_type") == "purchase").select(
         "ticker", F.col("ts").alias("bought_at"), F.col("value").alias("paid"), F.col("event_id").alias("purchase_id"))
-    return asof_join(
+    joined = asof_join(
         ticks.select("ticker", "ts", "event_id"), bought, by="ticker", left_on="ts", right_on="bought_at",
         payload=["paid", "purchase_id"], matched_key="purchase_ts", split_rows=HOT_TICKER_SPLIT)
+    # As text, which reads the same in every engine.
+    return joined.withColumns({c: F.col(c).cast("string") for c in ("ts", "purchase_ts")})
 
 
 def q_trading_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
