@@ -16,7 +16,7 @@ SF = "/root/testdata/sf0.001"
 def test_registered():
     assert set(QUERIES) | {"pipeline"} <= set(queries())
     assert set(ORACLE_SQL) <= set(oracle_sql())
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
