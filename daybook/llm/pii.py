@@ -6,13 +6,13 @@ addresses, national phone formats, cards and addresses with other separators).
 Those that hold a base span of their kind are positives; those that break the
 kind's validity rule, or lie on a base span of another kind only, are negatives;
 valid ones that overlap no base span are unlabelled: what is looked for is among
-them.  Gradient-boosted trees (Spark ML) learn from a bounded hash sample of the
-labelled ones, by context and by the format of a form in which all spellings of
-a kind look alike (``form``) and without what the validity rules read (numbers
-of digits, Luhn, octets); per kind, the threshold is the lowest score at which
-the labelled candidates of a held-out quarter reach PRECISION; those that Luhn
-or octets refuse do not count there, as they are refused at any score.
-Unlabelled candidates above it are added.
+them.  Gradient-boosted trees (Spark ML) learn from all labelled ones of three
+quarters of the texts, by context and by the format of a form in which all
+spellings of a kind look alike (``form``) and without what the validity rules
+read (numbers of digits, Luhn, octets); per kind, the threshold is the lowest
+score at which the labelled candidates of the held-out quarter reach PRECISION;
+those that Luhn or octets refuse do not count there, as they are refused at any
+score.  Unlabelled candidates above it are added.
 
 Native: expressions and Spark ML on the JVM only.  Each pattern is run by
 ``regexp_extract_all`` and ``split``; the lengths of matches and of the gaps
@@ -21,7 +21,9 @@ possessive quantifiers and look-behind so that long runs neither overflow the
 matcher's stack nor are rescanned from each of their characters.
 
 Scale: one pass over the texts leaves a checkpoint of spans and candidate
-features; no text is shuffled by the search.  Defined cases: null text is
+features; no text is shuffled by the search.  Labelled candidates with equal
+features are one row, weighted by their number (partial aggregates), so the
+trees read all of them from far fewer rows.  Defined cases: null text is
 empty; empty text has no spans; repeated rows get equal results; with no
 candidate of one of the two classes there is no model and base spans stand
 alone; a kind without labelled candidates in the held-out quarter, or whose
@@ -31,13 +33,15 @@ there is judged by its positives' lowest score; an empty table gives an empty re
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.common import cut, hash_sample, sample_fraction
+from daybook.llm.common import cut
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -66,9 +70,8 @@ CUES = {
     "phone": r"(?i)phone|tel\b|call|fax|mobile|llam|appel|anruf",
 }
 CONTEXT = 32
-#: Candidates the trees are fitted on at most (about), and their shape.
-SAMPLE_ROWS = 20_000
-TREES, DEPTH, SEED = 12, 3, 11
+#: The shape of the trees, and the bins of a feature at least.
+TREES, DEPTH, SEED, BINS = 12, 3, 11, 32
 PRECISION = 0.95
 
 FEATURES = ["is_email", "is_ip", "is_card", "is_phone", "letters", "spaces", "dots", "dashes", "brackets", "groups",
@@ -185,28 +188,32 @@ def candidates(found: DataFrame) -> DataFrame:
     return out.fillna(0.0, FEATURES)
 
 
+def weighted(cands: DataFrame) -> DataFrame:
+    """FEATURES, label, k, held (of the held-out quarter of the texts), refused and weight: how many labelled candidates are alike."""
+    held = F.pmod(F.xxhash64("row_key", F.lit("fold")), F.lit(4)) == 0
+    return cands.where(F.col("label").isNotNull()).groupBy(*FEATURES, "label", "k", held.alias("held"), "refused").agg(
+        F.count(F.lit(1)).cast("double").alias("weight"))
+
+
 def added_spans(found: DataFrame) -> DataFrame:
     """doc_id, row_key, start, k, stop of the proposals that the trees add; empty without a model."""
     cands = cut(candidates(found))
     schema = cands.select("doc_id", "row_key", "start", "k", "stop")
-    labelled = cands.where(F.col("label").isNotNull())
-    counts = cands.agg(F.count("label"), F.sum("label"), F.max(F.col("free").cast("int"))).first()
-    rows, positive, any_free = counts[0], counts[1] or 0, counts[2] or 0
-    if not any_free or positive == 0 or positive == rows:
-        return schema.where(F.lit(False))
-    sample = hash_sample(labelled, F.concat_ws("|", "row_key", "start", "k"), sample_fraction(rows, SAMPLE_ROWS))
-    fold = F.pmod(F.xxhash64("row_key", F.lit("fold")), F.lit(4))
     wide = VectorAssembler(inputCols=FEATURES, outputCol="features")
-    sample = cut(wide.transform(sample).withColumn("fold", fold).select("features", "label", "k", "fold", "refused")
-                 .repartition(8, "features").sortWithinPartitions("k", "label"))
-    have = sample.where("fold <> 0").agg(F.min("label"), F.max("label")).first()
-    if have[0] == have[1]:
+    # In one order on every run: the trees add floating-point numbers.
+    labelled = cut(wide.transform(weighted(cands).sortWithinPartitions(*FEATURES, "label", "k", "held", "refused")).select(
+        "features", "label", "k", "held", "refused", "weight"))
+    learned = labelled.where("NOT held")
+    low, high, rows = learned.agg(F.min("label"), F.max("label"), F.count(F.lit(1))).first()
+    if low == high or cands.where("free").isEmpty():
         return schema.where(F.lit(False))
-    trees = GBTClassifier(featuresCol="features", labelCol="label", maxIter=TREES, maxDepth=DEPTH, seed=SEED, stepSize=0.3)
-    model = trees.fit(sample.where("fold <> 0"))
+    # Spark ML looks for a feature's bins in as many rows as the square of their number: so in all of them.
+    trees = GBTClassifier(featuresCol="features", labelCol="label", weightCol="weight", maxIter=TREES, maxDepth=DEPTH, seed=SEED,
+                          stepSize=0.3, maxBins=max(BINS, math.isqrt(rows) + 1))
+    model = trees.fit(learned)
     score = F.round(vector_to_array("probability")[1], 3)
-    held = model.transform(sample.where("fold = 0 AND NOT refused")).groupBy("k", score.alias("score")).agg(
-        F.sum("label").alias("good"), F.count(F.lit(1)).alias("n"))
+    held = model.transform(labelled.where("held AND NOT refused")).groupBy("k", score.alias("score")).agg(
+        F.sum(F.col("label") * F.col("weight")).alias("good"), F.sum("weight").alias("n"))
     down = "OVER (PARTITION BY k ORDER BY score DESC)"
     thresholds = held.selectExpr("k", "score", f"sum(good) {down} / sum(n) {down} AS precision").where(
         F.col("precision") >= PRECISION).groupBy("k").agg(F.min("score").alias("threshold"))

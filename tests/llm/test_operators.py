@@ -168,6 +168,20 @@ def test_pii_adds_common_other_spellings(documents):
     assert all(got[i]["spans"] == "" for i in range(1200, 1800))
 
 
+def test_pii_model_reads_every_labelled_candidate(documents, monkeypatch):
+    rng = random.Random(12)
+    rows = [(i, f"Please phone +1 ({rng.randint(200, 999)}) 555-{rng.randint(1000, 9999)} today." if i % 2
+             else f"The range 12-14-16 and {rng.randint(10, 99)} 44 12 of it.") for i in range(400)]
+    rows.append((1000, "Please phone 1 (386) 555-3733 today."))
+    df = documents(rows)
+    monkeypatch.setattr(pii, "SAMPLE_ROWS", 4, raising=False)  # No bound on candidates has a say.
+    assert "phone:13:29" in by_id(pii.op2_pii(df))[1000]["spans"]
+    cands = pii.candidates(pii.find(df)).where("label IS NOT NULL")
+    kinds = {(r["label"], r["k"]): r["n"] for r in cands.groupBy("label", "k").agg(F.count(F.lit(1)).alias("n")).collect()}
+    counted = pii.weighted(cands).groupBy("label", "k").agg(F.sum("weight").alias("n"), F.count(F.lit(1)).alias("rows")).collect()
+    assert {(r["label"], r["k"]): r["n"] for r in counted} == kinds and sum(r["rows"] for r in counted) < sum(kinds.values())
+
+
 def test_pii_redaction_and_odd(odd, documents):
     df = pii.redact(documents([(1, "mail a@b.cc or +1 (555) 010-9999 now"), (2, None), (2, None), (3, "clean")], extra=("spans", "row")))
     assert sorted((r["doc_id"], r["text"], r["n_chars"]) for r in df.collect() if r["text"]) == [
