@@ -77,9 +77,12 @@ def dense_rank_of_values(df: DataFrame, value: str, id_col: str, ranges: int = R
     # Distinct values in the order of their hashes: an even sample of them.
     sample = sizes.where(F.col("__v").isNotNull()).orderBy(F.xxhash64("__v"), "__v").limit(ranges - 1)
     edges = sample.agg(F.array_sort(F.collect_list("__v"))).scalar()
-    in_range = F.size(F.filter("__edges", lambda e: e <= F.col("__v")))
+    # Edges up to the value, by halving steps: beyond the last edge the comparison is NULL.
+    halves = F.array(*[F.lit(1 << k) for k in reversed(range(ranges.bit_length()))])
+    in_range = F.aggregate(halves, F.lit(0), lambda at, step: F.when(F.get("__edges", at + step - 1) <= F.col("__v"), at + step).otherwise(at))
+    # Never NULL, in Spark's eyes too: else it tests that before the grouping, on every row and for every edge.
     ranged = sizes.withColumn("__edges", edges).withColumn(
-        "__range", F.when(F.col("__v").isNull(), -1).otherwise(in_range)).drop("__edges")
+        "__range", F.coalesce(F.when(F.col("__v").isNull(), -1).otherwise(in_range), F.lit(0))).drop("__edges")
     within = Window.partitionBy("__range").orderBy(F.col("__v").asc_nulls_first())
     # One row per range: at most ``ranges`` + 1.
     totals = ranged.groupBy("__range").agg(F.sum("__n").alias("__total"))

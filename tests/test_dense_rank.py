@@ -46,3 +46,12 @@ def test_no_job_runs_while_the_frame_is_built(spark):
     finally:
         sc.setLocalProperty("spark.jobGroup.id", None)
     assert sorted(tuple(r) for r in rows) == [(0, "FERN", "equity"), (1, "KELP", "equity")]
+
+
+def test_ranges_of_many_values_are_found_per_value_and_not_per_row(spark):
+    values = [f"{k * 7919 % 1000:03d}" for k in range(1000)] * 2
+    df = spark.createDataFrame([(v,) for v in values], "v string").where("length(v) > 0")
+    assert ranked(df) == list(enumerate(sorted(values)))
+    rows = dense_rank_of_values(df.selectExpr("split(v, ',')[0] AS v"), "v", "id")
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert not [line for line in plan.splitlines() if "Filter" in line and "lambda" in line]
