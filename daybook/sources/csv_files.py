@@ -59,26 +59,42 @@ def file_headers(lines: DataFrame, names: list[str]) -> DataFrame:
     return first.select("file", "header_line", *[F.array_position("cells", n).cast("int").alias(f"at_{k}") for k, n in enumerate(names)])
 
 
-def bind_by_header(lines: DataFrame, names: list[str], broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+def bind_by_header(lines: DataFrame, names: list[str], broadcast_bytes: int = BROADCAST_BYTES, parse_once: bool = False) -> DataFrame:
     """``file, value, headed`` and one text column per name, for every line but headers and blank lines.
 
     ``headed`` says whether the line's file has a header with all names; if not,
-    the columns are NULL, as they are for a line that is too short.
+    the columns are NULL, as they are for a line that is too short.  With
+    ``parse_once`` callers' filters stay above the parse (``once``): for many lines.
     """
     checkpoint_root(lines.sparkSession)
     headers = file_headers(lines, names).checkpoint(eager=True)
     width = 12 + 4 * len(names)
     size = headers.agg(F.sum(F.octet_length("file") + width)).first()[0] or 0
     side = F.broadcast(headers) if size <= broadcast_bytes else headers
-    joined = lines.where(F.trim(F.rtrim("value", F.lit("\r"))) != "").join(side, "file", "left")
+    joined = lines.join(side, "file", "left")
     is_data = F.col("header_line").isNull() | (F.col("line") != F.col("header_line"))
-    cells = fields(F.col("value"))
+    filled = F.trim(F.rtrim("value", F.lit("\r"))) != ""
+    if parse_once:
+        kept = ["file", "line", "value", *headers.columns[1:]]
+        parsed = once(joined.where(is_data), kept, filled.alias("filled"), fields(F.col("value")).alias("cells")).where("filled")
+        cells = F.col("cells")
+    else:
+        parsed, cells = joined.where(filled & is_data), fields(F.col("value"))
     # A header's own cells are NULL too: Spark may test a caller's filter on them before it drops the header line.
-    return joined.where(is_data).select(
+    return parsed.select(
         "file", "value", F.col("header_line").isNotNull().alias("headed"),
         *[F.get(cells, F.when(is_data, F.col(f"at_{k}") - 1)).alias(n) for k, n in enumerate(names)])
 
 
+def once(rows: DataFrame, kept: list[str], *made: Column) -> DataFrame:
+    """``rows`` with ``kept`` and the ``made`` columns, which are computed once a row.
+
+    One struct a row, exploded, is a fence: else Spark moves filters on what was made
+    below it, where each of their mentions computes it (and what it was made from) anew.
+    """
+    return rows.select(*kept, F.explode(F.array(F.struct(*made))).alias("__made")).select(*kept, "__made.*")
+
+
 def base_name(file: Column) -> Column:
     """File name without folder and extension (``.../AAPL.csv`` → ``AAPL``)."""
     return F.regexp_extract(file, r"([^/]+)\.[^./]+$", 1)
@@ -119,9 +135,9 @@ def price_history_of_lines(lines: DataFrame) -> DataFrame:
     without a header that names all six columns fails the read, as does text that is
     no number: a price history is whole or not at all.
     """
-    rows = _headed(bind_by_header(lines, PRICE_COLUMNS), PRICE_COLUMNS)
-    return rows.select(
-        base_name(F.col("file")).alias("ticker"), F.to_date(F.substring("Date", 1, 10), "yyyy-MM-dd").alias("day"),
+    rows = _headed(bind_by_header(lines, PRICE_COLUMNS, parse_once=True), PRICE_COLUMNS)
+    return once(
+        rows, [], base_name(F.col("file")).alias("ticker"), F.to_date(F.substring("Date", 1, 10), "yyyy-MM-dd").alias("day"),
         *[F.col(c).cast("double").alias(c.lower()) for c in PRICE_COLUMNS[1:]])
 
 

@@ -111,3 +111,15 @@ def test_lists_by_their_headers(spark, tmp_path):
     bad = land(tmp_path / "d", {"a.csv": "symbol\nKELP\n"})
     with pytest.raises(Exception, match="no header with ticker"):
         tickers_of_lines(csv_lines(spark, bad)).collect()
+
+
+def test_a_line_is_parsed_once_whatever_its_caller_filters(spark):
+    from daybook.sources.csv_files import price_history_of_lines
+    rows = [("a.csv", 0, "Date,Open,High,Low,Close,Volume"), ("a.csv", 1, "2024-01-02,1,2,0.5,1.5,10"), ("a.csv", 2, "  \r"),
+            ("b.csv", 0, '"Volume",Close,Low,High,Open,Date'), ("b.csv", 1, '20,"2.5",1,3,2,"2024-01-03 00:00:00-05:00"')]
+    lines = spark.createDataFrame(rows, "file string, line long, value string")
+    history = price_history_of_lines(lines).where((F.col("day") > "2024-01-01") & (F.col("day") < "2024-02-01") & (F.col("close") > 0))
+    assert sorted((r["ticker"], str(r["day"]), r["close"], r["volume"]) for r in history.collect()) == [
+        ("a", "2024-01-02", 1.5, 10.0), ("b", "2024-01-03", 2.5, 20.0)]
+    plan = history._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all") == 1
