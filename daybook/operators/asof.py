@@ -139,14 +139,15 @@ def _ranged(spine: DataFrame, split_rows: int) -> DataFrame:
     return split.withColumn(_BUCKET, F.when(F.col(_EDGES).isNull(), 0).otherwise(below)).drop(_EDGES)
 
 
-def _two_level_fill(spine: DataFrame) -> DataFrame:
+def _two_level_fill(spine: DataFrame, kept: tuple[str, ...] = ()) -> DataFrame:
     """Forward fill split by key bucket, for keys with very many values per ``by``.
 
     Within a (by, bucket) the last right payload so far is carried as usual.
     Across buckets, one row per (by, bucket) holds the bucket's last right
     payload; a window over those rows (bounded by the number of buckets)
     gives each bucket the last payload of any earlier bucket, which fills
-    left keys that have no right row earlier in their own bucket.
+    left keys that have no right row earlier in their own bucket.  ``kept``
+    names further columns of the spine to return.
     """
     within = (
         Window.partitionBy(_BY, _BUCKET)
@@ -164,10 +165,20 @@ def _two_level_fill(spine: DataFrame) -> DataFrame:
     return (
         filled.where(F.col(_IS_LEFT))
         .join(carried, [_BY, _BUCKET], "left")
-        .select(_BY, _KEY, F.coalesce(F.col(_MATCH), F.col(_PREV)).alias(_MATCH))
+        .select(_BY, _KEY, F.coalesce(F.col(_MATCH), F.col(_PREV)).alias(_MATCH), *kept)
     )
 
 
+def filled_by_bucket(keys: DataFrame, by: str, key: str, match: str, left: str, bucket: Callable[[Column], Column]) -> DataFrame:
+    """``by, key, match, left`` of the keys that hold a left row (``left`` not NULL), ``match`` carried forward in two levels.
+
+    ``keys`` has one row per (``by``, ``key``), with what the key has of either side.
+    """
+    spine = keys.select(F.col(by).alias(_BY), F.col(key).alias(_KEY), F.col(match).alias(_MATCH), left,
+                        F.col(left).isNotNull().alias(_IS_LEFT), bucket(F.col(key)).alias(_BUCKET))
+    return _two_level_fill(spine, (left,)).select(F.col(_BY).alias(by), F.col(_KEY).alias(key), F.col(_MATCH).alias(match), left)
+
+
 def asof_join(
     left: DataFrame,
     right: DataFrame,

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from daybook.operators.asof import asof_join
+from daybook.operators.asof import filled_by_bucket
 
 DAILY_COLUMNS = [
     "ticker", "source", "date_key",
@@ -39,6 +39,7 @@ def equity_extended(
     filings: DataFrame,
     bucket: Callable[[Column], Column] | None = None,
     by_ticker: bool = False,
+    few_a_day: bool = False,
 ) -> DataFrame:
     """T7: every daily row with the filing of greatest ``date_key`` on or before it.
 
@@ -49,39 +50,24 @@ def equity_extended(
     reported; both are properties of the inputs, kept as they are.
     Rows are reduced to one per (ticker, date_key) first, so daily rows and
     filings can share one window per ticker, bounded by its days.  With
-    ``bucket`` the two-level forward fill of ``asof_join`` is used instead.
+    ``bucket`` they share the two-level forward fill of ``asof_join`` instead.
     With ``by_ticker`` every row looks its filing up among its ticker's own: on
     tables bucketed by ticker (``plans.versions``) nothing is shuffled, at the
     price of comparing a row with each filing of its ticker.
+    ``few_a_day`` says that a (ticker, date_key) has a few daily rows at most (its
+    sources and listings): rows then move once, by ticker, and are sorted once.
+    Without it rows that come many to a key are reduced before they move.  The
+    result is the same.
     """
     if by_ticker:
         if bucket is not None:
             raise ValueError("either bucket or by_ticker")
         return _priced(_looked_up(one_row_per_ticker_day(daily), filings))
-    if bucket is None:
-        return _priced(_carried(daily, filings))
-    right = filings.select(
-        F.col("ticker"),
-        F.col("date_key").alias("edgar_date_key"),
-        F.col("shares_outstanding").alias("edgar_shares_outstanding"),
-        F.col("cik").alias("edgar_cik"),
-    )
-    joined = asof_join(
-        one_row_per_ticker_day(daily),
-        right,
-        by="ticker",
-        left_on="date_key",
-        right_on="edgar_date_key",
-        payload=["edgar_shares_outstanding", "edgar_cik"],
-        matched_key="edgar_10q_date_key",
-        left_keys=daily,
-        bucket=bucket,
-    )
-    return _priced(joined)
+    return _priced(_carried(daily, filings, bucket, few_a_day))
 
 
-def _carried(daily: DataFrame, filings: DataFrame) -> DataFrame:
-    """One daily row per (ticker, date_key) with the latest filing, from one grouping and one window over both.
+def _carried(daily: DataFrame, filings: DataFrame, bucket: Callable[[Column], Column] | None, few_a_day: bool) -> DataFrame:
+    """One daily row per (ticker, date_key) with the latest filing, from one grouping of both and one window (with ``bucket`` two).
 
     Of several daily rows of a key the first by source and then the measures stays, as
     in ``one_row_per_ticker_day``.
@@ -95,14 +81,17 @@ def _carried(daily: DataFrame, filings: DataFrame) -> DataFrame:
     filed = filings.where(F.col("ticker").isNotNull() & F.col("date_key").isNotNull()).select(
         "ticker", F.col("date_key").cast(day).alias("date_key"), filing.alias("__filing"))
     both = daily.select("ticker", "date_key", row.alias("__row")).unionByName(filed, allowMissingColumns=True)
+    if few_a_day:
+        # The grouping and the window below both take this layout as it is.
+        both = both.repartition("ticker")
     # Structs compare field by field, NULLs first; a key's filing is visible to its own day.
     keys = both.groupBy("ticker", "date_key").agg(F.min("__row").alias("__row"), F.max("__filing").alias("__filing"))
-    order = Window.partitionBy("ticker").orderBy("date_key").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return (
-        keys.withColumn("__filing", F.last("__filing", ignorenulls=True).over(order))
-        .where(F.col("__row").isNotNull())
-        .select("ticker", "date_key", "__row.*", "__filing.*")
-    )
+    if bucket is not None:
+        filled = filled_by_bucket(keys, "ticker", "date_key", "__filing", "__row", bucket)
+    else:
+        order = Window.partitionBy("ticker").orderBy("date_key").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        filled = keys.withColumn("__filing", F.last("__filing", ignorenulls=True).over(order)).where(F.col("__row").isNotNull())
+    return filled.select("ticker", "date_key", "__row.*", "__filing.*")
 
 
 def _looked_up(daily: DataFrame, filings: DataFrame) -> DataFrame:

@@ -124,7 +124,7 @@ def q_shares_outstanding_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_asof_market_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return equity_extended(q_daily_prices(spark, sf_dir), q_shares_outstanding(spark, sf_dir))
+    return equity_extended(q_daily_prices(spark, sf_dir), q_shares_outstanding(spark, sf_dir), few_a_day=True)
 
 
 def q_asof_market_cap_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:

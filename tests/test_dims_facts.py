@@ -160,3 +160,18 @@ def test_one_bad_fx_file_leaves_the_others(spark):
             out.write("\n".join(["Date,Close", *lines]) + "\n")
     got = sorted(tuple(r) for r in read_fx_history_csv_per_symbol(spark, root).collect())
     assert got == [("CHFPLN=X", date(2024, 6, 3), 4.5), ("NOKSEK=X", date(2024, 6, 3), 0.97)]
+
+
+def test_extended_of_few_rows_a_day_moves_once_by_ticker(spark):
+    from daybook.operators import equity_extended
+    daily = spark.createDataFrame(
+        [(t, s, 20240100 + d, 1.0, 2.0, 0.5, 1.0 + d, 5) for t in ("A", "B", None) for d in (3, 5, 40) for s in ("y", "x")],
+        "ticker string, source string, date_key int, stock_open double, stock_high double, stock_low double, stock_close double, volume long")
+    filings = spark.createDataFrame([("A", "1", 20240104, 10), ("A", "1", 20240105, 20), ("B", "2", 20230101, 7), (None, "3", 20240101, 1)],
+                                    "ticker string, cik string, date_key int, shares_outstanding long")
+    usual, few = equity_extended(daily, filings), equity_extended(daily, filings, few_a_day=True)
+    monthly = equity_extended(daily, filings, bucket=lambda k: (k / 100).cast("int"))
+    planned = [df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") for df in (few, usual)]
+    assert planned == [1, 2]
+    got = [sorted(map(str, df.collect())) for df in (usual, few, monthly)]
+    assert got[0] == got[1] == got[2] and len(got[0]) == 9 and usual.columns == monthly.columns
