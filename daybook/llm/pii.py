@@ -6,13 +6,14 @@ addresses, national phone formats, cards and addresses with other separators).
 Those that hold a base span of their kind are positives; those that break the
 kind's validity rule, or lie on a base span of another kind only, are negatives;
 valid ones that overlap no base span are unlabelled: what is looked for is among
-them.  Gradient-boosted trees (Spark ML) learn from all labelled ones of three
-quarters of the texts, by context and by the format of a form in which all
-spellings of a kind look alike (``form``) and without what the validity rules
-read (numbers of digits, Luhn, octets); per kind, the threshold is the lowest
-score at which the labelled candidates of the held-out quarter reach PRECISION;
-those that Luhn or octets refuse do not count there, as they are refused at any
-score.  Unlabelled candidates above it are added.
+them.  Gradient-boosted trees (Spark ML) learn from all labelled ones, by
+context and by the format of a form in which all spellings of a kind look alike
+(``form``) and without what the validity rules read (numbers of digits, Luhn,
+octets).  For the thresholds, texts are dealt into FOLDS folds and each labelled
+candidate is scored by trees learnt from the other folds; per kind, the
+threshold is the lowest such score at which all labelled candidates reach
+PRECISION; those that Luhn or octets refuse do not count there, as they are
+refused at any score.  Unlabelled candidates above it are added.
 
 Native: expressions and Spark ML on the JVM only.  Each pattern is run by
 ``regexp_extract_all`` and ``split``; the lengths of matches and of the gaps
@@ -25,14 +26,15 @@ features; no text is shuffled by the search.  Labelled candidates with equal
 features are one row, weighted by their number (partial aggregates), so the
 trees read all of them from far fewer rows.  Defined cases: null text is
 empty; empty text has no spans; repeated rows get equal results; with no
-candidate of one of the two classes there is no model and base spans stand
-alone; a kind without labelled candidates in the held-out quarter, or whose
-precision there stays below PRECISION, adds nothing, and one without negatives
-there is judged by its positives' lowest score; an empty table gives an empty result.
+candidate of one of the two classes, or with all candidates in one fold, there
+is no model and base spans stand alone; a kind without labelled candidates, or
+whose precision stays below PRECISION, adds nothing, and one without negatives
+is judged by its positives' lowest score; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import functools
 import math
 
 from pyspark.ml.classification import GBTClassifier
@@ -72,7 +74,7 @@ CUES = {
 CONTEXT = 32
 #: The shape of the trees, and the bins of a feature at least.
 TREES, DEPTH, SEED, BINS = 12, 3, 11, 32
-PRECISION = 0.95
+PRECISION, FOLDS = 0.95, 4
 
 FEATURES = ["is_email", "is_ip", "is_card", "is_phone", "letters", "spaces", "dots", "dashes", "brackets", "groups",
             "group_chars", "cue", "word_before", "word_after", "digits_near"]
@@ -189,36 +191,42 @@ def candidates(found: DataFrame) -> DataFrame:
 
 
 def weighted(cands: DataFrame) -> DataFrame:
-    """FEATURES, label, k, held (of the held-out quarter of the texts), refused and weight: how many labelled candidates are alike."""
-    held = F.pmod(F.xxhash64("row_key", F.lit("fold")), F.lit(4)) == 0
-    return cands.where(F.col("label").isNotNull()).groupBy(*FEATURES, "label", "k", held.alias("held"), "refused").agg(
+    """FEATURES, label, k, fold (of the text), refused and weight: how many labelled candidates are alike."""
+    fold = F.pmod(F.xxhash64("row_key", F.lit("fold")), F.lit(FOLDS))
+    return cands.where(F.col("label").isNotNull()).groupBy(*FEATURES, "label", "k", fold.alias("fold"), "refused").agg(
         F.count(F.lit(1)).cast("double").alias("weight"))
 
 
+def thresholds(scored: DataFrame) -> DataFrame:
+    """k and its threshold, from the score, label and weight of labelled candidates."""
+    by_score = scored.groupBy("k", "score").agg(F.sum(F.col("label") * F.col("weight")).alias("good"), F.sum("weight").alias("n"))
+    down = "OVER (PARTITION BY k ORDER BY score DESC)"
+    return by_score.selectExpr("k", "score", f"sum(good) {down} / sum(n) {down} AS precision").where(
+        F.col("precision") >= PRECISION).groupBy("k").agg(F.min("score").alias("threshold"))
+
+
 def added_spans(found: DataFrame) -> DataFrame:
     """doc_id, row_key, start, k, stop of the proposals that the trees add; empty without a model."""
     cands = cut(candidates(found))
     schema = cands.select("doc_id", "row_key", "start", "k", "stop")
     wide = VectorAssembler(inputCols=FEATURES, outputCol="features")
     # In one order on every run: the trees add floating-point numbers.
-    labelled = cut(wide.transform(weighted(cands).sortWithinPartitions(*FEATURES, "label", "k", "held", "refused")).select(
-        "features", "label", "k", "held", "refused", "weight"))
-    learned = labelled.where("NOT held")
-    low, high, rows = learned.agg(F.min("label"), F.max("label"), F.count(F.lit(1))).first()
-    if low == high or cands.where("free").isEmpty():
+    labelled = cut(wide.transform(weighted(cands).sortWithinPartitions(*FEATURES, "label", "k", "fold", "refused")).select(
+        "features", "label", "k", "fold", "refused", "weight"))
+    low, high, rows, folds = labelled.agg(
+        F.min("label"), F.max("label"), F.count(F.lit(1)), F.sort_array(F.collect_set("fold"))).first()
+    if low == high or len(folds) < 2 or cands.where("free").isEmpty():
         return schema.where(F.lit(False))
     # Spark ML looks for a feature's bins in as many rows as the square of their number: so in all of them.
     trees = GBTClassifier(featuresCol="features", labelCol="label", weightCol="weight", maxIter=TREES, maxDepth=DEPTH, seed=SEED,
                           stepSize=0.3, maxBins=max(BINS, math.isqrt(rows) + 1))
-    model = trees.fit(learned)
-    score = F.round(vector_to_array("probability")[1], 3)
-    held = model.transform(labelled.where("held AND NOT refused")).groupBy("k", score.alias("score")).agg(
-        F.sum(F.col("label") * F.col("weight")).alias("good"), F.sum("weight").alias("n"))
-    down = "OVER (PARTITION BY k ORDER BY score DESC)"
-    thresholds = held.selectExpr("k", "score", f"sum(good) {down} / sum(n) {down} AS precision").where(
-        F.col("precision") >= PRECISION).groupBy("k").agg(F.min("score").alias("threshold"))
-    scored = model.transform(wide.transform(cands.where("free"))).withColumn("score", score)
-    return scored.join(thresholds, "k").where("score >= threshold").select("doc_id", "row_key", "start", "k", "stop")
+    score = F.round(vector_to_array("probability")[1], 3).alias("score")
+    out_of_fold = [
+        trees.fit(labelled.where(F.col("fold") != fold)).transform(labelled.where((F.col("fold") == fold) & ~F.col("refused")))
+        .select("k", "label", "weight", score) for fold in folds]
+    least = thresholds(functools.reduce(DataFrame.unionByName, out_of_fold))
+    scored = trees.fit(labelled).transform(wide.transform(cands.where("free"))).withColumn("score", score)
+    return scored.join(least, "k").where("score >= threshold").select("doc_id", "row_key", "start", "k", "stop")
 
 
 def all_spans(docs: DataFrame) -> DataFrame:

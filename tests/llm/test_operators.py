@@ -182,6 +182,31 @@ def test_pii_model_reads_every_labelled_candidate(documents, monkeypatch):
     assert {(r["label"], r["k"]): r["n"] for r in counted} == kinds and sum(r["rows"] for r in counted) < sum(kinds.values())
 
 
+def test_pii_trees_and_thresholds_leave_out_no_labelled_candidate(documents, monkeypatch):
+    rng = random.Random(13)
+    rows = [(i, f"Please phone +1 ({rng.randint(200, 999)}) 555-{rng.randint(1000, 9999)} today." if i % 2
+             else f"The range 12-14-16 and {rng.randint(10, 99)} 44 12 of it.") for i in range(200)]
+    rows.append((1000, "Please phone 1 (386) 555-3733 today."))
+    found = pii.find(documents(rows))
+    sizes = {r["fold"]: r["n"] for r in pii.weighted(pii.candidates(found)).groupBy("fold").agg(F.sum("weight").alias("n")).collect()}
+    learnt, judged = [], []
+    fit, thresholds = pii.GBTClassifier.fit, pii.thresholds
+    monkeypatch.setattr(pii.GBTClassifier, "fit", lambda self, df: learnt.append(df.agg(F.sum("weight")).first()[0]) or fit(self, df))
+    monkeypatch.setattr(pii, "thresholds", lambda scored: judged.append(scored.agg(F.sum("weight")).first()[0]) or thresholds(scored))
+    assert [r["start"] for r in pii.added_spans(found).where("doc_id = 1000").collect()] == [13]
+    total = sum(sizes.values())
+    assert len(sizes) == pii.FOLDS and judged == [total] and learnt[-1] == total
+    assert sorted(learnt[:-1]) == sorted(total - n for n in sizes.values())
+
+
+@pytest.mark.parametrize("texts", [
+    ["Please phone +1 (386) 555-3733 or 1 (386) 555-3733, range 12-14-16 and 15 44 12."],
+    ["Please phone +1 (386) 555-3733 today.", "The range 12-14-16 and 15 44 12 of it, or 1 (386) 555-3733."]])
+def test_pii_folds_without_a_class(documents, texts):
+    got = by_id(pii.op2_pii(documents(list(enumerate(texts)))))
+    assert len(got) == len(texts) and got[0]["n_phone"] == 1 and got[0]["spans"].startswith("phone:13:")
+
+
 def test_pii_redaction_and_odd(odd, documents):
     df = pii.redact(documents([(1, "mail a@b.cc or +1 (555) 010-9999 now"), (2, None), (2, None), (3, "clean")], extra=("spans", "row")))
     assert sorted((r["doc_id"], r["text"], r["n_chars"]) for r in df.collect() if r["text"]) == [
