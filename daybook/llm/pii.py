@@ -75,6 +75,8 @@ CONTEXT = 32
 #: The shape of the trees, and the bins of a feature at least.
 TREES, DEPTH, SEED, BINS = 12, 3, 11, 32
 PRECISION, FOLDS = 0.95, 4
+#: Rows of labelled candidates that a task of the trees reads.
+TASK_ROWS = 1000
 
 FEATURES = ["is_email", "is_ip", "is_card", "is_phone", "letters", "spaces", "dots", "dashes", "brackets", "groups",
             "group_chars", "cue", "word_before", "word_after", "digits_near"]
@@ -217,6 +219,8 @@ def added_spans(found: DataFrame) -> DataFrame:
         F.min("label"), F.max("label"), F.count(F.lit(1)), F.sort_array(F.collect_set("fold"))).first()
     if low == high or len(folds) < 2 or cands.where("free").isEmpty():
         return schema.where(F.lit(False))
+    # Each level of each tree is a shuffle of all tasks with all: so as many tasks as the rows need, not as many as the table has.
+    labelled = labelled.coalesce(math.ceil(rows / TASK_ROWS))
     # Spark ML looks for a feature's bins in as many rows as the square of their number: so in all of them.
     trees = GBTClassifier(featuresCol="features", labelCol="label", weightCol="weight", maxIter=TREES, maxDepth=DEPTH, seed=SEED,
                           stepSize=0.3, maxBins=max(BINS, math.isqrt(rows) + 1))
