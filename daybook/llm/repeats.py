@@ -22,6 +22,14 @@ have to meet, and the suffix order is built piecewise:
 Contents are compared by two independent 64-bit hashes of anchor and window,
 never over the whole corpus by one.
 
+Passages shorter than MIN_BYTES stay; ``n_shared`` tells of them.  Of every
+SHARED_WINDOW neighbouring strings of SHARED_WORDS words the one of least hash
+is chosen, and ``n_shared`` counts a text's different chosen strings that
+another row has chosen as well.  Equal passages choose alike, so any 50 words
+(SHARED_WORDS + SHARED_WINDOW - 1) that another row holds too count, whatever
+white space parts them, and no string below SHARED_WORDS words does.  These
+strings are compared by one 64-bit hash.
+
 Scale: step 1 leaves about one row per 170 bytes, of four numbers: anchor,
 content, the text's number in the written table, and the stretch's place in it
 packed into one number.  A text's number is exchanged for its identity (doc_id
@@ -40,12 +48,14 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daybook.session import scratch_path
 
 MIN_BYTES, SEED_BYTES = 400, 64
+SHARED_WORDS, SHARED_WINDOW = 16, 35
 #: Contents of one anchor that a task compares in memory; more are counted by Spark.
 HOT = 20_000
 #: Bytes of a text handled at once (longer texts in overlapping pieces).
@@ -249,10 +259,60 @@ def _hot_runs(hot: DataFrame, keep_first: bool) -> DataFrame:
         F.flatten(F.transform(F.sort_array(F.collect_set("window")), lambda w: F.array(w, w))).alias("runs"))
 
 
+def _words(raw: np.ndarray) -> np.ndarray:
+    """Hashes of the words of a text, parted by ASCII white space."""
+    blank = (raw == 32) | ((raw >= 9) & (raw <= 13))
+    edge = np.diff(np.concatenate([[True], blank, [True]]).astype(np.int8))
+    start, stop = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
+    out = np.empty(len(start), U64)
+    cuts = [*np.searchsorted(start, np.arange(0, len(raw), PIECE)), len(start)]
+    for a, b in zip(cuts, cuts[1:], strict=False):
+        if a < b and stop[b - 1] - start[b - 1] > PIECE:  # a long word is hashed alone
+            b -= 1
+            out[b] = int.from_bytes(hashlib.blake2b(raw[start[b]:stop[b]], digest_size=8).digest(), "little")
+        if a < b:
+            out[a:b] = Sums(raw[start[a]:stop[b - 1]], 0).of(start[a:b] - start[a], stop[a:b] - start[a])
+    return _mix(out + _mix((stop - start).astype(U64)))
+
+
+def chosen_strings(raw: np.ndarray) -> np.ndarray:
+    """Different hashes of the chosen strings of words of a text, sorted."""
+    words = _words(raw)
+    parts = []
+    for at in range(0, len(words) - SHARED_WORDS - SHARED_WINDOW + 2, PIECE):
+        some = words[at:at + PIECE + SHARED_WORDS + SHARED_WINDOW - 2]
+        first = np.arange(len(some) - SHARED_WORDS + 1)
+        parts.append(np.unique(_sliding_min(_mix(Sums(some, 1).of(first, first + SHARED_WORDS)), SHARED_WINDOW)))
+    return np.unique(np.concatenate(parts)) if parts else np.empty(0, U64)
+
+
+def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, len(batch), 256):
+            some = batch.slice(at, 256)
+            found = [chosen_strings(np.frombuffer(t.as_buffer(), np.uint8)) for t in some["t"]]
+            keys = np.repeat(some["key"].to_numpy(), [len(x) for x in found])
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.concatenate(found).view(np.int64))], ["key", "string"])
+
+
+def _shared(texts: DataFrame) -> DataFrame:
+    """n_shared of the texts (id, k1, k2) that have any."""
+    identity = ["id", "k1", "k2"]
+    key = F.xxhash64(*identity).alias("key")
+    # Words of one byte and the white space between them are the shortest.
+    least = 2 * (SHARED_WORDS + SHARED_WINDOW - 1) - 1
+    strings = texts.where(F.octet_length("t") >= least).select(key, F.col("t").cast("binary").alias("t")).mapInArrow(_strings, "key long, string long")
+    repeated = strings.groupBy("string").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("string")
+    # Equal rows have one key: each brings its strings.
+    rows = texts.groupBy(*identity).agg(F.count(F.lit(1)).alias("rows"))
+    counts = strings.join(repeated, "string").groupBy("key").agg(F.count(F.lit(1)).alias("strings"))
+    return rows.select(*identity, "rows", key).join(counts, "key").select(*identity, F.expr("strings div rows").alias("n_shared"))
+
+
 def _strip(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         out = []
-        for d, t, spans in zip(batch["doc_id"], batch["t"], batch["spans"], strict=True):
+        for d, t, spans, n_shared in zip(batch["doc_id"], batch["t"], batch["spans"], batch["n_shared"], strict=True):
             raw = t.encode("utf-8", "surrogatepass")
             removed, n_spans, at, kept = 0, 0, 0, []
             merged: list[list[int]] = []
@@ -265,16 +325,16 @@ def _strip(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 kept.append(raw[at:start])
                 removed, n_spans, at = removed + stop - start, n_spans + 1, stop
             kept = b"".join([*kept, raw[at:]])
-            out.append((d, len(raw), removed, n_spans, hashlib.sha256(kept).hexdigest(), kept))
-        frame = pd.DataFrame(out, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
+            out.append((d, len(raw), removed, n_spans, hashlib.sha256(kept).hexdigest(), n_shared, kept))
+        frame = pd.DataFrame(out, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "n_shared", "kept"])
         yield frame.astype({"doc_id": "Int64"})
 
 
-RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
+RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, n_shared long, kept binary"
 
 
 def deduplicate(docs: DataFrame, keep_first: bool = False) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and kept (the remaining bytes) of every document."""
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, n_shared and kept (the remaining bytes) of every document."""
     spark = docs.sparkSession
     texts = docs.select(F.struct(F.col("doc_id").cast("long").alias("doc_id")).alias("id"), F.coalesce("text", F.lit("")).alias("t")).select(
         "id", F.xxhash64("t").alias("k1"), F.xxhash64(F.lit(1), "t").alias("k2"), "t")
@@ -327,7 +387,8 @@ def deduplicate(docs: DataFrame, keep_first: bool = False) -> DataFrame:
         .groupBy("uid").agg(F.collect_list("span").alias("spans"))
         .join(named, "uid").groupBy(*identity).agg(F.flatten(F.collect_list("spans")).alias("spans"))
     )
-    return texts.join(spans, identity, "left").select("id.doc_id", "t", "spans").mapInPandas(_strip, RESULT)
+    return texts.join(spans, identity, "left").join(_shared(texts), identity, "left").select(
+        "id.doc_id", "t", "spans", F.coalesce("n_shared", F.lit(0)).alias("n_shared")).mapInPandas(_strip, RESULT)
 
 
 def op9_repeats(docs: DataFrame) -> DataFrame:

@@ -520,6 +520,51 @@ def test_repeats_pieces_of_long_texts(monkeypatch):
     assert n.sum() == whole == 5000 - 399 and sorted(x for f, k in zip(first, n, strict=True) for x in range(f, f + k)) == list(range(4601))
 
 
+def brute_shared(rows):
+    """Rows of which some 50 words, or some 16, stand in another row too."""
+    def strings(text, n):
+        words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+        return {tuple(words[p:p + n]) for p in range(len(words) - n + 1)}
+    out = {}
+    for n in (50, 16):
+        each = [strings(t, n) for _, t in rows]
+        seen = collections.Counter(s for one in each for s in one)
+        out[n] = [any(seen[s] > 1 for s in one) for one in each]
+    return out
+
+
+def test_repeats_shorter_than_400_bytes(documents):
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdeé") for _ in range(rng.randint(3, 6)))
+    fill = lambda n: [word() for _ in range(n)]
+    passages = [fill(n) for n in (50, 51, 55, 59, 15, 15)]
+    rows = []
+    for i in range(36):
+        blank = rng.choice([" ", "\n", " \t"])
+        rows.append((i, blank.join([*fill(rng.randint(0, 200)), *passages[i % 6], *fill(rng.randint(0, 200))])))
+    rows += [(36, " ".join(fill(300))), (37, " ".join(fill(60))), (38, "la " * 90), (39, None), (40, rows[36 - 30][1]), (40, rows[36 - 30][1])]
+    got = repeats.deduplicate(documents(rows, extra=("key", "string", "n_shared")).repartition(5)).drop("kept").collect()
+    shared = {r["doc_id"]: r["n_shared"] for r in got}
+    want = brute_shared(rows)
+    assert len(got) == len(rows) and sum(want[50]) == 26
+    assert all(shared[i] > 0 for (i, _), is_so in zip(rows, want[50], strict=True) if is_so)
+    assert all(shared[i] == 0 for (i, _), is_so in zip(rows, want[16], strict=True) if not is_so)
+    whole = repeats.chosen_strings(np.frombuffer(rows[6][1].encode(), np.uint8))
+    assert shared[40] == shared[6] == len(whole)
+
+
+def test_repeats_strings_in_pieces(monkeypatch):
+    rng = np.random.default_rng(2)
+    raw = rng.choice(np.frombuffer(b"abc \n", np.uint8), 4000)
+    raw[1000:1300] = 97
+    whole, words = repeats.chosen_strings(raw), repeats._words(raw)
+    monkeypatch.setattr(repeats, "PIECE", 200)
+    pieces = repeats._words(raw)
+    assert len(pieces) == len(words) == len(raw.tobytes().split()) and (pieces != words).sum() == 1
+    monkeypatch.setattr(repeats, "PIECE", 350)
+    assert (repeats.chosen_strings(raw) == whole).all()
+
+
 def test_repeats_odd(odd, documents):
     got = repeats.op9_repeats(odd)
     assert got.count() == odd.count()
