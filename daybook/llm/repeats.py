@@ -60,8 +60,8 @@ SHARED_WORDS, SHARED_WINDOW = 16, 35
 HOT = 20_000
 #: Bytes of a text handled at once (longer texts in overlapping pieces).
 PIECE = 1 << 22
-#: Windows compared at once.
-WINDOWS = 1 << 21
+#: Windows compared at once, which bounds a worker's memory (whole anchors are compared, so the last one may add up to HOT contents).
+WINDOWS = 1 << 19
 
 U64 = np.uint64
 BASES = (U64(0x9E3779B97F4A7C15), U64(0xC2B2AE3D27D4EB4F))
@@ -131,40 +131,44 @@ def stretches(raw: np.ndarray) -> tuple[np.ndarray, ...]:
 ANCHORS = "uid long, doc_id long, k1 long, k2 long, anchor long, content long, place long"
 
 
-def _anchors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(0, len(batch), 256):
-            out = []
-            for uid, d, k1, k2, t in zip(*(batch[c].iloc[at:at + 256] for c in ("uid", "doc_id", "k1", "k2", "t")), strict=True):
-                a, c, first, n, offset = stretches(np.frombuffer(t.encode("utf-8", "surrogatepass"), np.uint8))
-                if len(a):
-                    out.append(pd.DataFrame({
-                        "uid": uid, "doc_id": pd.array([d] * len(a), dtype="Int64"), "k1": k1, "k2": k2,
-                        "anchor": a.view(np.int64), "content": c.view(np.int64),
-                        "place": (first << 2 * PLACE_BITS) + (n << PLACE_BITS) + offset}))
-            if out:
-                yield pd.concat(out)
+            some = batch.slice(at, 256)
+            found = [stretches(np.frombuffer(t.as_buffer(), np.uint8)) for t in some["t"]]
+            text = pa.array(np.repeat(np.arange(len(some)), [len(x[0]) for x in found]))
+            a, c, first, n, offset = (np.concatenate(x) for x in zip(*found, strict=True))
+            own = ["uid", "doc_id", "k1", "k2"]
+            yield pa.RecordBatch.from_arrays(
+                [*(some[k].take(text) for k in own), pa.array(a.view(np.int64)), pa.array(c.view(np.int64)),
+                 pa.array((first << 2 * PLACE_BITS) + (n << PLACE_BITS) + offset)], [*own, "anchor", "content", "place"])
 
 
 CONTENTS = "anchor long, content long, n long, at_id long, at_uid long, at_first long, windows int, offset int, hot boolean, raw binary"
+CONTENTS_ARROW = pa.schema([
+    *((name, pa.int64()) for name in ("anchor", "content", "n", "at_id", "at_uid", "at_first")),
+    ("windows", pa.int32()), ("offset", pa.int32()), ("hot", pa.bool_()), ("raw", pa.binary())])
+
 
+def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
-def _contents(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+
+def _contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The bytes of the wanted stretches of each text."""
-    columns = ["anchor", "content", "n", "at_id", "at_uid", "at_first", "windows", "offset", "hot", "raw"]
     for batch in batches:
         out = []
-        for text, wanted in zip(batch["t"], batch["wanted"], strict=True):
-            raw = text.encode("utf-8", "surrogatepass")
-            for w in wanted:
+        for k in range(len(batch)):
+            raw = batch["t"][k].as_py()
+            for w in batch["wanted"][k].as_py():
                 first, windows = w["place"] >> 2 * PLACE_BITS, (w["place"] >> PLACE_BITS) % (1 << PLACE_BITS)
                 out.append((w["anchor"], w["content"], w["n"], w["at_id"], w["at_uid"], first, windows, w["place"] % (1 << PLACE_BITS),
                             w["hot"], raw[first:first + windows + MIN_BYTES - 1]))
             if len(out) >= 4096:
-                yield pd.DataFrame(out, columns=columns).astype({"at_id": "Int64"})
+                yield _batch(out, CONTENTS_ARROW)
                 out = []
         if out:
-            yield pd.DataFrame(out, columns=columns).astype({"at_id": "Int64"})
+            yield _batch(out, CONTENTS_ARROW)
 
 
 def _window_hashes(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -309,28 +313,31 @@ def _shared(texts: DataFrame) -> DataFrame:
     return rows.select(*identity, "rows", key).join(counts, "key").select(*identity, F.expr("strings div rows").alias("n_shared"))
 
 
-def _strip(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        out = []
-        for d, t, spans, n_shared in zip(batch["doc_id"], batch["t"], batch["spans"], batch["n_shared"], strict=True):
-            raw = t.encode("utf-8", "surrogatepass")
-            removed, n_spans, at, kept = 0, 0, 0, []
-            merged: list[list[int]] = []
-            for s in sorted(divmod(int(x), 1 << 31) for x in (spans if spans is not None else ())):
-                if merged and s[0] <= merged[-1][1]:
-                    merged[-1][1] = max(merged[-1][1], s[1])
-                else:
-                    merged.append(list(s))
-            for start, stop in merged:
-                kept.append(raw[at:start])
-                removed, n_spans, at = removed + stop - start, n_spans + 1, stop
-            kept = b"".join([*kept, raw[at:]])
-            out.append((d, len(raw), removed, n_spans, hashlib.sha256(kept).hexdigest(), n_shared, kept))
-        frame = pd.DataFrame(out, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "n_shared", "kept"])
-        yield frame.astype({"doc_id": "Int64"})
+RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, n_shared long, kept binary"
+RESULT_ARROW = pa.schema([
+    ("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()),
+    ("kept_sha256", pa.string()), ("n_shared", pa.int64()), ("kept", pa.binary())])
 
 
-RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, n_shared long, kept binary"
+def _strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for begin in range(0, len(batch), 256):
+            out = []
+            for x in batch.slice(begin, 256).to_pylist():
+                raw = x["t"]
+                removed, n_spans, at, kept = 0, 0, 0, []
+                merged: list[list[int]] = []
+                for s in sorted(divmod(y, 1 << 31) for y in x["spans"] or ()):
+                    if merged and s[0] <= merged[-1][1]:
+                        merged[-1][1] = max(merged[-1][1], s[1])
+                    else:
+                        merged.append(list(s))
+                for start, stop in merged:
+                    kept.append(raw[at:start])
+                    removed, n_spans, at = removed + stop - start, n_spans + 1, stop
+                kept = b"".join([*kept, raw[at:]])
+                out.append((x["doc_id"], len(raw), removed, n_spans, hashlib.sha256(kept).hexdigest(), x["n_shared"], kept))
+            yield _batch(out, RESULT_ARROW)
 
 
 def deduplicate(docs: DataFrame, keep_first: bool = False) -> DataFrame:
@@ -341,7 +348,7 @@ def deduplicate(docs: DataFrame, keep_first: bool = False) -> DataFrame:
     identity = ["id", "k1", "k2"]
     folder = scratch_path(spark, "stretches")
     texts.where(F.octet_length("t") >= MIN_BYTES).select(
-        F.monotonically_increasing_id().alias("uid"), "id.doc_id", "k1", "k2", "t").mapInPandas(_anchors, ANCHORS).write.parquet(folder)
+        F.monotonically_increasing_id().alias("uid"), "id.doc_id", "k1", "k2", F.col("t").cast("binary").alias("t")).mapInArrow(_anchors, ANCHORS).write.parquet(folder)
     stored = spark.read.schema(ANCHORS).parquet(folder)
     # One row per text: its first stretch starts at 0.
     named = stored.where(F.col("place") < 1 << 2 * PLACE_BITS).select("uid", F.struct("doc_id").alias("id"), "k1", "k2")
@@ -359,7 +366,7 @@ def deduplicate(docs: DataFrame, keep_first: bool = False) -> DataFrame:
 
     def fetched(some: DataFrame) -> DataFrame:
         lists = some.groupBy(*identity).agg(F.collect_list("one").alias("wanted"))
-        return texts.join(lists, identity).select("t", "wanted").mapInPandas(_contents, CONTENTS)
+        return texts.join(lists, identity).select(F.col("t").cast("binary").alias("t"), "wanted").mapInArrow(_contents, CONTENTS)
 
     cool = fetched(wanted.where("NOT one.hot")).repartition("anchor").sortWithinPartitions("anchor").mapInPandas(_compare(keep_first), RUNS)
     hot = _hot_runs(fetched(wanted.where("one.hot")).dropDuplicates(["anchor", "content"]), keep_first)
@@ -388,7 +395,7 @@ def deduplicate(docs: DataFrame, keep_first: bool = False) -> DataFrame:
         .join(named, "uid").groupBy(*identity).agg(F.flatten(F.collect_list("spans")).alias("spans"))
     )
     return texts.join(spans, identity, "left").join(_shared(texts), identity, "left").select(
-        "id.doc_id", "t", "spans", F.coalesce("n_shared", F.lit(0)).alias("n_shared")).mapInPandas(_strip, RESULT)
+        "id.doc_id", F.col("t").cast("binary").alias("t"), "spans", F.coalesce("n_shared", F.lit(0)).alias("n_shared")).mapInArrow(_strip, RESULT)
 
 
 def op9_repeats(docs: DataFrame) -> DataFrame:
