@@ -173,15 +173,21 @@ def _contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _window_hashes(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(row, window in the row, hash of anchor, offset and content) of all windows of the rows."""
-    sizes = rows["raw"].map(len).to_numpy(np.int64)
-    counts = rows["windows"].to_numpy(np.int64)
-    starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-    sums = Sums(np.frombuffer(b"".join(rows["raw"]), np.uint8), 1)
-    row = np.repeat(np.arange(len(rows)), counts)
-    window = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
-    at = starts[row] + window
-    offset = rows["offset"].to_numpy(np.int64)[row] - window
-    return row, window, _mix(sums.of(at, at + MIN_BYTES) + _mix(rows["anchor"].to_numpy(np.int64)[row].view(U64) + _mix(offset.astype(U64))))
+    # Few rows at a time: the tables of powers are as long as the bytes hashed together, and a worker keeps them.
+    parts = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, U64))]
+    for begin in range(0, len(rows), 256):
+        some = rows.iloc[begin:begin + 256]
+        sizes = some["raw"].map(len).to_numpy(np.int64)
+        counts = some["windows"].to_numpy(np.int64)
+        starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+        sums = Sums(np.frombuffer(b"".join(some["raw"]), np.uint8), 1)
+        row = np.repeat(np.arange(len(some)), counts)
+        window = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
+        at = starts[row] + window
+        offset = some["offset"].to_numpy(np.int64)[row] - window
+        anchor = some["anchor"].to_numpy(np.int64)[row].view(U64)
+        parts.append((row + begin, window, _mix(sums.of(at, at + MIN_BYTES) + _mix(anchor + _mix(offset.astype(U64))))))
+    return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
 
 
 def _runs(row: np.ndarray, window: np.ndarray, n_rows: int) -> list[list[int]]:
@@ -220,8 +226,8 @@ def _compare(keep_first: bool):
         held: list[pd.DataFrame] = []
         waiting = 0
         for batch in batches:
-            for at in range(0, len(batch), 4096):
-                part = batch.iloc[at:at + 4096]
+            for at in range(0, len(batch), 512):
+                part = batch.iloc[at:at + 512]
                 held.append(part)
                 waiting += int(part["windows"].sum())
                 if waiting < WINDOWS:
