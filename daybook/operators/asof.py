@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
 _BY, _KEY, _MATCH, _IS_LEFT = "__asof_by", "__asof_key", "__asof_match", "__asof_left"
-_BUCKET, _PREV, _EDGES = "__asof_bucket", "__asof_prev", "__asof_edges"
+_BUCKET, _PREV, _EDGES, _OWN = "__asof_bucket", "__asof_prev", "__asof_edges", "__asof_own"
 
 #: Ranges that one ``by`` value is split into at most, and spine rows a range aims at.
 MAX_RANGES = 512
@@ -139,7 +139,7 @@ def _ranged(spine: DataFrame, split_rows: int) -> DataFrame:
     return split.withColumn(_BUCKET, F.when(F.col(_EDGES).isNull(), 0).otherwise(below)).drop(_EDGES)
 
 
-def _two_level_fill(spine: DataFrame, kept: tuple[str, ...] = ()) -> DataFrame:
+def _two_level_fill(spine: DataFrame, kept: tuple[str, ...] = (), order: tuple[str, ...] = (_KEY, _IS_LEFT)) -> DataFrame:
     """Forward fill split by key bucket, for keys with very many values per ``by``.
 
     Within a (by, bucket) the last right payload so far is carried as usual.
@@ -147,20 +147,30 @@ def _two_level_fill(spine: DataFrame, kept: tuple[str, ...] = ()) -> DataFrame:
     payload; a window over those rows (bounded by the number of buckets)
     gives each bucket the last payload of any earlier bucket, which fills
     left keys that have no right row earlier in their own bucket.  ``kept``
-    names further columns of the spine to return.
+    names further columns of the spine to return, ``order`` what sorts it
+    within a bucket.
+
+    Both levels need every column of the spine, and the join's test for NULLs
+    stops at the aggregate (its ``by`` is an aggregated one): so a spine that is
+    dealt by (by, bucket) is made and moved once, and read by both.
     """
     within = (
         Window.partitionBy(_BY, _BUCKET)
-        .orderBy(_KEY, _IS_LEFT)
+        .orderBy(*order)
         .rowsBetween(Window.unboundedPreceding, 0)
     )
     filled = spine.withColumn(_MATCH, F.last(_MATCH, ignorenulls=True).over(within))
     per_bucket = spine.groupBy(_BY, _BUCKET).agg(
-        F.max_by(_MATCH, F.when(F.col(_MATCH).isNotNull(), F.col(_KEY))).alias(_PREV)
-    )
+        F.max_by(_MATCH, F.when(F.col(_MATCH).isNotNull(), F.col(_KEY))).alias(_PREV),
+        F.bool_or(_IS_LEFT).alias(_IS_LEFT),
+        F.max(_BY).alias(_OWN),
+    ).select(F.col(_OWN).alias(_BY), _BUCKET, _PREV, _IS_LEFT)
     earlier = Window.partitionBy(_BY).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    carried = per_bucket.select(
-        _BY, _BUCKET, F.last(_PREV, ignorenulls=True).over(earlier).alias(_PREV)
+    # Only buckets that have left keys, and something to fill them with, go back.
+    carried = (
+        per_bucket.withColumn(_PREV, F.last(_PREV, ignorenulls=True).over(earlier))
+        .where(F.col(_IS_LEFT) & F.col(_PREV).isNotNull())
+        .drop(_IS_LEFT)
     )
     return (
         filled.where(F.col(_IS_LEFT))
@@ -169,14 +179,15 @@ def _two_level_fill(spine: DataFrame, kept: tuple[str, ...] = ()) -> DataFrame:
     )
 
 
-def filled_by_bucket(keys: DataFrame, by: str, key: str, match: str, left: str, bucket: Callable[[Column], Column]) -> DataFrame:
+def filled_by_bucket(keys: DataFrame, by: str, key: str, match: str, left: str, bucket: str) -> DataFrame:
     """``by, key, match, left`` of the keys that hold a left row (``left`` not NULL), ``match`` carried forward in two levels.
 
-    ``keys`` has one row per (``by``, ``key``), with what the key has of either side.
+    ``keys`` has one row per (``by``, ``key``), with what the key has of either side and
+    its ``bucket``.  Dealt by (``by``, ``bucket``), it isn't moved again.
     """
     spine = keys.select(F.col(by).alias(_BY), F.col(key).alias(_KEY), F.col(match).alias(_MATCH), left,
-                        F.col(left).isNotNull().alias(_IS_LEFT), bucket(F.col(key)).alias(_BUCKET))
-    return _two_level_fill(spine, (left,)).select(F.col(_BY).alias(by), F.col(_KEY).alias(key), F.col(_MATCH).alias(match), left)
+                        F.col(left).isNotNull().alias(_IS_LEFT), F.col(bucket).alias(_BUCKET))
+    return _two_level_fill(spine, (left,), (_KEY,)).select(F.col(_BY).alias(by), F.col(_KEY).alias(key), F.col(_MATCH).alias(match), left)
 
 
 def asof_join(

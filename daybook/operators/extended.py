@@ -55,9 +55,9 @@ def equity_extended(
     tables bucketed by ticker (``plans.versions``) nothing is shuffled, at the
     price of comparing a row with each filing of its ticker.
     ``few_a_day`` says that a (ticker, date_key) has a few daily rows at most (its
-    sources and listings): rows then move once, by ticker, and are sorted once.
-    Without it rows that come many to a key are reduced before they move.  The
-    result is the same.
+    sources and listings): rows then move once, by ticker (and bucket), and are sorted
+    once for each reading.  Without it rows that come many to a key are reduced before
+    they move.  The result is the same.
     """
     if by_ticker:
         if bucket is not None:
@@ -81,13 +81,16 @@ def _carried(daily: DataFrame, filings: DataFrame, bucket: Callable[[Column], Co
     filed = filings.where(F.col("ticker").isNotNull() & F.col("date_key").isNotNull()).select(
         "ticker", F.col("date_key").cast(day).alias("date_key"), filing.alias("__filing"))
     both = daily.select("ticker", "date_key", row.alias("__row")).unionByName(filed, allowMissingColumns=True)
+    dealt = ["ticker"] if bucket is None else ["ticker", "__bucket"]
     if few_a_day:
-        # The grouping and the window below both take this layout as it is.
-        both = both.repartition("ticker")
+        # The grouping and what follows take this layout as it is.
+        both = both.repartition("ticker", *([] if bucket is None else [bucket(F.col("date_key"))]))
+    if bucket is not None:
+        both = both.withColumn("__bucket", bucket(F.col("date_key")))
     # Structs compare field by field, NULLs first; a key's filing is visible to its own day.
-    keys = both.groupBy("ticker", "date_key").agg(F.min("__row").alias("__row"), F.max("__filing").alias("__filing"))
+    keys = both.groupBy(*dealt, "date_key").agg(F.min("__row").alias("__row"), F.max("__filing").alias("__filing"))
     if bucket is not None:
-        filled = filled_by_bucket(keys, "ticker", "date_key", "__filing", "__row", bucket)
+        filled = filled_by_bucket(keys if few_a_day else keys.repartition(*dealt), "ticker", "date_key", "__filing", "__row", "__bucket")
     else:
         order = Window.partitionBy("ticker").orderBy("date_key").rowsBetween(Window.unboundedPreceding, Window.currentRow)
         filled = keys.withColumn("__filing", F.last("__filing", ignorenulls=True).over(order)).where(F.col("__row").isNotNull())

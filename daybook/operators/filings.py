@@ -84,10 +84,12 @@ def filing_periods(
         & F.col("shares").isNotNull()
         & (F.col("dk") <= end_key)
     )
-    group = F.when(valid, F.when(F.col("dk") < start_key, F.lit(0)).otherwise(F.col("dk")))
+    # Periods up to ``end`` fit an int; only comparing them takes the wide key.
+    day = F.col("dk").try_cast("int")
+    group = F.when(valid, F.when(F.col("dk") < start_key, F.lit(0)).otherwise(day))
     return rows.groupBy("cik", "prio", group.alias("g")).agg(
         F.min(F.when(valid, F.struct(
-            (-F.col("dk")).alias("neg_dk"), (-F.col("fk")).alias("neg_fk"), "pos", "shares"))).alias("b"),
+            (-day).alias("neg_dk"), (-F.col("fk")).alias("neg_fk"), "pos", "shares"))).alias("b"),
         F.bool_or(F.col("form") == QUARTERLY_FORM).alias("q"),
         F.bool_or(F.col("form") == ANNUAL_FORM).alias("k"),
     )
@@ -106,20 +108,19 @@ def select_filings(
     per CIK over those aggregated groups (one row per concept and period, so
     bounded by concepts × periods, never by the number of filings).
     """
-    periods = filing_periods(facts, start, end, concepts)
+    # What told the best row from the others stays behind: the window moves a few numbers a period.
+    periods = filing_periods(facts, start, end, concepts).select(
+        "cik", "prio", "q", "k", (-F.col("b.neg_dk")).alias("date_key"), F.col("b.shares").alias("shares_outstanding")
+    )
     per_cik = Window.partitionBy("cik")
     chosen = F.coalesce(
         F.min(F.when(F.col("q"), F.col("prio"))).over(per_cik),
         F.min(F.when(F.col("k"), F.col("prio"))).over(per_cik),
     )
     picked = periods.withColumn("chosen", chosen).where(
-        (F.col("prio") == F.col("chosen")) & F.col("b").isNotNull()
-    )
-    return picked.select(
-        "cik",
-        (-F.col("b.neg_dk")).cast("int").alias("date_key"),
-        F.col("b.shares").alias("shares_outstanding"),
+        (F.col("prio") == F.col("chosen")) & F.col("date_key").isNotNull()
     )
+    return picked.select("cik", "date_key", "shares_outstanding")
 
 
 def shares_outstanding(

@@ -133,6 +133,7 @@ def q_asof_market_cap_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
         q_daily_prices(spark, sf_dir),
         q_shares_outstanding(spark, sf_dir),
         bucket=lambda k: (k / 100).cast("int"),
+        few_a_day=True,
     )
 
 

@@ -128,19 +128,22 @@ def _form(priority):
 DOCUMENT_ORDER = ["o_orderdate", "l_shipdate", "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice"]
 
 
-def _filing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _concept() -> Column:
+    return F.concat("l_returnflag", "l_linestatus").alias("concept")
+
+
+def _filing_rows(spark: SparkSession, sf_dir: str, *kind: str | Column) -> DataFrame:
+    """``lineitem ⋈ orders``; ``kind`` is what of the flag and status goes through the join."""
     li = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice",
-        "l_returnflag", "l_linestatus", "l_shipdate",
-    )
+        "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice", *kind, "l_shipdate")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_orderpriority")
     return li.join(orders, li["l_orderkey"] == orders["o_orderkey"])
 
 
-def _as_facts(rows: DataFrame, pos: Column) -> DataFrame:
+def _as_facts(rows: DataFrame, concept: str | Column, pos: Column) -> DataFrame:
     return rows.select(
         zero_pad_cik(F.col("l_partkey")).alias("cik"),
-        F.concat("l_returnflag", "l_linestatus").alias("concept"),
+        concept,
         pos.alias("pos"),
         _form(F.col("o_orderpriority")).alias("form"),
         F.date_format("o_orderdate", "yyyy-MM-dd").alias("end"),
@@ -154,8 +157,9 @@ def filing_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     ``pos`` (document order) is the struct of the ordering columns: the
     selection only compares positions, so no sort has to number the rows.
+    The concept is made ahead of the join, which then moves one text less a line.
     """
-    return _as_facts(_filing_rows(spark, sf_dir), F.struct(*DOCUMENT_ORDER))
+    return _as_facts(_filing_rows(spark, sf_dir, _concept()), "concept", F.struct(*DOCUMENT_ORDER))
 
 
 def numbered_filing_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -166,8 +170,8 @@ def numbered_filing_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns, so one company with a huge history is still spread over many
     tasks (a window per (CIK, concept) would put it in one).
     """
-    ordered = _filing_rows(spark, sf_dir).orderBy("l_partkey", "l_returnflag", "l_linestatus", *DOCUMENT_ORDER)
-    return _as_facts(ordered, F.monotonically_increasing_id())
+    ordered = _filing_rows(spark, sf_dir, "l_returnflag", "l_linestatus").orderBy("l_partkey", "l_returnflag", "l_linestatus", *DOCUMENT_ORDER)
+    return _as_facts(ordered, _concept(), F.monotonically_increasing_id())
 
 
 # Most entries one written company-facts document may hold.

@@ -175,3 +175,31 @@ def test_extended_of_few_rows_a_day_moves_once_by_ticker(spark):
     assert planned == [1, 2]
     got = [sorted(map(str, df.collect())) for df in (usual, few, monthly)]
     assert got[0] == got[1] == got[2] and len(got[0]) == 9 and usual.columns == monthly.columns
+
+
+def test_bucketed_extended_moves_its_rows_once(spark):
+    from daybook.operators import equity_extended
+    daily = spark.createDataFrame(
+        [(t, s, 20240000 + 100 * m + d, 1.0, 2.0, 0.5, 1.0 + d, 5) for t in ("A", "B", None) for m in (1, 2, 5) for d in (3, 5) for s in ("y", "x")],
+        "ticker string, source string, date_key int, stock_open double, stock_high double, stock_low double, stock_close double, volume long")
+    filings = spark.createDataFrame([("A", "1", 20240104, 10), ("A", "1", 20240105, 20), ("A", "1", 20240401, 30), ("B", "2", 20230101, 7), (None, "3", 20240101, 1)],
+                                    "ticker string, cik string, date_key int, shares_outstanding long")
+    usual = sorted(map(str, equity_extended(daily, filings).collect()))
+    for few in (True, False):
+        monthly = equity_extended(daily, filings, bucket=lambda k: (k / 100).cast("int"), few_a_day=few)
+        planned = monthly._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+        assert sorted(map(str, monthly.collect())) == usual and len(usual) == 18
+        plan = monthly._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        # Rows go by (ticker, bucket), without few_a_day by key before; both levels read them there. One row a bucket
+        # then goes by ticker, and what it is filled with back.
+        assert planned == (4 if few else 6)
+        assert plan.count("ReusedExchange") == 1 and plan.count("Scan ExistingRDD") == 2
+
+
+def test_monthly_query_reads_the_history_once(spark):
+    from daybook.plans.queries import q_asof_market_cap_monthly
+    df = q_asof_market_cap_monthly(spark, "/root/testdata/sf0.001")
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    # The price history, and the filings.
+    assert sum("FileScan" in line and "lineitem" in line for line in plan.splitlines()) == 2

@@ -36,7 +36,8 @@ COUNTED = [
 NOTES = {
     "asof_market_cap": "Daily rows and filings are grouped together by (ticker, day), partially before the shuffle; "
                        "one window per ticker, bounded by its days, carries the filing. Filings: one scan of the facts.",
-    "asof_market_cap_monthly": "The key spine, filled per (ticker, month) with a carry over one row per bucket.",
+    "asof_market_cap_monthly": "Daily rows and filings go once by (ticker, month) and are read there by both levels of the fill; "
+                               "what carries across months is one row per (ticker, month).",
     "asof_market_cap_bucketed": "Scans of published tables in buckets by ticker: no shuffle above them.",
     "asof_hot_ticker": "The key spine; a ticker above the row bound is cut at percentiles of its own times, "
                        "found by a count and a percentile aggregate; at most rows / bound edges are broadcast.",
